@@ -1,0 +1,21 @@
+"""Broadcast only what is proven small.
+
+``bounded_broadcast`` runs a bounded probe (``limit(max_rows + 1).count()``:
+it stops reading once the bound is exceeded) and adds the broadcast hint only
+when the side really has at most ``max_rows`` rows.  Otherwise the frame is
+returned unchanged and the planner / AQE choose a shuffle join, which is the
+way that works at any size.  Fact tables are never passed here.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
