@@ -24,6 +24,17 @@ def table_path(base: str, name: str) -> str:
     return os.path.join(base, f"{name}.parquet")
 
 
+# Resolved table DataFrames per (application, path, options): like a catalog
+# table, the schema and file listing are resolved once per session instead of
+# re-reading parquet footers on every query.  ``forget_tables`` refreshes.
+_RESOLVED: dict[tuple, DataFrame] = {}
+
+
+def forget_tables() -> None:
+    """Drop resolved tables (call after the underlying files changed)."""
+    _RESOLVED.clear()
+
+
 def read_table(
     spark: SparkSession,
     name: str,
@@ -48,7 +59,12 @@ def read_table(
     elif fmt == "parquet":
         if base is None:
             raise ValueError("parquet tables need a base folder")
-        df = spark.read.options(**options).parquet(table_path(base, name))
+        key = (spark.sparkContext.applicationId, id(spark), table_path(base, name),
+               tuple(sorted(options.items())))
+        df = _RESOLVED.get(key)
+        if df is None:
+            df = spark.read.options(**options).parquet(table_path(base, name))
+            _RESOLVED[key] = df
     else:
         path = options.pop("path", None) or table_path(base or ".", name).replace(".parquet", f".{fmt}")
         df = spark.read.format(fmt).options(**options).load(path)

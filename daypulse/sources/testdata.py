@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.functions.timeparts import epoch_ms
+from daypulse.plans.parallelism import spread
 from daypulse.sources.tables import read_table
 
 # Fixed surrogate choices.
@@ -91,10 +92,12 @@ def raw_logs(spark: SparkSession, base: str) -> DataFrame:
     Joins ``customer`` for the area code (left join: a user without a customer
     row gets no ``ar`` field).  A JSON line per event; see module docstring.
     """
-    ev = events(spark, base)
-    areas = user_areas(spark, base)
+    # JSON rendering is the heavy per-row work here: spread an under-split scan
+    ev = spread(events(spark, base), "event_id")
+    areas = read_table(spark, "customer", base).select(
+        "c_custkey", F.col("c_nationkey").cast("string").alias("ar"))
     uid = F.col("user_id").cast("string")
-    ev = ev.join(areas, ev["user_id"].cast("string") == areas["uid"], "left").drop("uid")
+    ev = ev.join(areas, ev["user_id"] == areas["c_custkey"], "left")
     common = F.struct(
         uid.alias("mid"), uid.alias("uid"), F.col("ar"),
         F.col("event_type").alias("ch"),
