@@ -74,3 +74,18 @@ def compact_day(dt: Column | str) -> Column:
 def today_string() -> Column:
     """F8: current date as 'yyyy-MM-dd' (callers may always pass a date instead)."""
     return F.date_format(F.current_date(), DAY_FORMAT)
+
+
+def in_days(ts: Column | str, dates) -> Column:
+    """``ts`` falls on one of ``dates`` ('yyyy-MM-dd'), as plain range predicates.
+
+    Written on the raw timestamp column (not on a formatted day string), so
+    Catalyst pushes it into the parquet scan (PushedFilters, row-group skipping).
+    """
+    col = _c(ts)
+    cond = None
+    for d in sorted(set(dates)):
+        start = F.to_timestamp_ntz(F.lit(d))
+        one = (col >= start) & (col < start + F.expr("INTERVAL 1 DAY"))
+        cond = one if cond is None else (cond | one)
+    return cond if cond is not None else F.lit(False)

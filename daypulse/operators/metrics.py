@@ -127,15 +127,35 @@ def hour_compare(hourly: DataFrame, value: str, days: DataFrame | None = None,
     """Dense 24-hour pairing of each day with the day before.
 
     (dt, hr, today, yesterday); absent hours and an absent yesterday are ``fill``.
+
+    One aggregation, no join: every hourly row contributes to its own day
+    (``today``) and to the next day (``yesterday``), and every present day
+    contributes 24 zero rows (the dense spine); summing per (dt, hr) pairs
+    them, and days that only appear as "the day after" are dropped.
+    ``days`` (optional) overrides which days are reported.
     """
-    days = days if days is not None else hourly.select("dt").distinct()
-    spine = hour_spine(days)
-    today = hourly.select("dt", "hr", F.col(value).alias("today"))
-    yday = hourly.select(shift_day("dt", 1).alias("dt"), "hr", F.col(value).alias("yesterday"))
-    out = spine.join(today, ["dt", "hr"], "left").join(yday, ["dt", "hr"], "left")
-    return out.select("dt", "hr",
-                      F.coalesce("today", F.lit(fill)).alias("today"),
-                      F.coalesce("yesterday", F.lit(fill)).alias("yesterday"))
+    zero = F.lit(fill)
+    v = F.col(value)
+    own = hourly.select("dt", "hr", v.alias("today"), zero.alias("yesterday"),
+                        F.lit(1).alias("present"))
+    nxt = hourly.select(shift_day("dt", 1).alias("dt"), "hr", zero.alias("today"),
+                        v.alias("yesterday"), F.lit(0).alias("present"))
+    src_days = days if days is not None else hourly.select("dt")
+    spine = hour_spine(src_days).select("dt", "hr", zero.alias("today"), zero.alias("yesterday"),
+                                        F.lit(1).alias("present"))
+    if days is not None:  # reported days come from ``days`` only
+        own = own.withColumn("present", F.lit(0))
+    rows = own.unionByName(nxt).unionByName(spine)
+    out = rows.groupBy("dt", "hr").agg(
+        F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"),
+        F.max("present").alias("present"))
+    return out.filter(F.col("present") == 1).select(
+        "dt", "hr", F.col("today").cast(_sum_type(hourly, value)).alias("today"),
+        F.col("yesterday").cast(_sum_type(hourly, value)).alias("yesterday"))
+
+
+def _sum_type(df: DataFrame, col: str) -> str:
+    return df.schema[col].dataType.simpleString()
 
 
 def hour_series(compare: DataFrame, metric_id: str) -> DataFrame:
@@ -214,10 +234,7 @@ def activity_rate(logs: DataFrame, key: str = "mid") -> DataFrame:
 
 def dau_cumulative(firsts: DataFrame) -> DataFrame:
     """Dense (dt, hr, dau, cum_dau): running first launches through each hour."""
-    hourly = dau_hour(firsts)
-    spine = hour_spine(hourly.select("dt").distinct())
-    dense = spine.join(hourly, ["dt", "hr"], "left").select(
-        "dt", "hr", F.coalesce("dau", F.lit(0)).alias("dau"))
+    dense = hour_compare(dau_hour(firsts), "dau").select("dt", "hr", F.col("today").alias("dau"))
     w = (Window.partitionBy("dt").orderBy("hr")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return dense.withColumn("cum_dau", F.sum("dau").over(w).cast("bigint"))
@@ -242,19 +259,22 @@ def day_over_day(daily: DataFrame, value: str) -> DataFrame:
 def realtime_total(dau: DataFrame, new_mid: DataFrame, amount: DataFrame) -> DataFrame:
     """Three cards per day (dt, ord, id, name, value DOUBLE).
 
-    Days = every day present in any input; a missing metric is 0.
+    Days = every day present in any input; a missing metric is 0.  The three
+    day-level tables are full-outer joined on ``dt`` and each day row is
+    exploded into its three cards.
     """
-    days = day_spine(dau, new_mid, amount)
-
-    def card(ord_, spec, frame, col):
-        return days.join(frame.select("dt", F.col(col).alias("v")), "dt", "left").select(
-            "dt", F.lit(ord_).alias("ord"), F.lit(spec[0]).alias("id"),
-            F.lit(spec[1]).alias("name"),
-            F.coalesce(F.col("v").cast("double"), F.lit(0.0)).alias("value"))
-
-    return (card(1, CARD_DAU, dau, "dau")
-            .unionByName(card(2, CARD_NEW_MID, new_mid, "new_mid"))
-            .unionByName(card(3, CARD_ORDER_AMOUNT, amount, "order_amount")))
+    days = (dau.select("dt", F.col("dau").alias("a"))
+            .join(new_mid.select("dt", F.col("new_mid").alias("b")), "dt", "full")
+            .join(amount.select("dt", F.col("order_amount").alias("c")), "dt", "full"))
+
+    def card(ord_, spec, col):
+        return F.struct(F.lit(ord_).alias("ord"), F.lit(spec[0]).alias("id"),
+                        F.lit(spec[1]).alias("name"),
+                        F.coalesce(F.col(col).cast("double"), F.lit(0.0)).alias("value"))
+
+    cards = F.explode(F.array(card(1, CARD_DAU, "a"), card(2, CARD_NEW_MID, "b"),
+                              card(3, CARD_ORDER_AMOUNT, "c")))
+    return days.select("dt", cards.alias("card")).select("dt", "card.*")
 
 
 def totals_json(cards: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.functions.timeparts import epoch_ms
+from daypulse.functions.timeparts import epoch_ms, in_days
 from daypulse.plans.parallelism import spread
 from daypulse.sources.tables import read_table
 
@@ -42,13 +42,15 @@ CONSUMER_GROUP = "dau_group"
 MONEY = "decimal(18,2)"
 
 
-def events(spark: SparkSession, base: str) -> DataFrame:
-    return read_table(spark, "events", base)
+def events(spark: SparkSession, base: str, dates=None) -> DataFrame:
+    """The events table; ``dates`` keeps those days via a pushable ``ts`` range."""
+    ev = read_table(spark, "events", base)
+    return ev if dates is None else ev.filter(in_days("ts", dates))
 
 
-def start_logs(spark: SparkSession, base: str) -> DataFrame:
+def start_logs(spark: SparkSession, base: str, dates=None) -> DataFrame:
     """Start logs without the area column: event_id, mid, uid, ch, vc, ts (ms)."""
-    ev = events(spark, base).filter(F.col("event_type") == START_EVENT)
+    ev = events(spark, base, dates).filter(F.col("event_type") == START_EVENT)
     mid = F.col("user_id").cast("string")
     return ev.select(
         "event_id",
@@ -68,16 +70,16 @@ def user_areas(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def signups(spark: SparkSession, base: str) -> DataFrame:
+def signups(spark: SparkSession, base: str, dates=None) -> DataFrame:
     """New-user events: event_id, uid, ts (ms)."""
-    ev = events(spark, base).filter(F.col("event_type") == SIGNUP_EVENT)
+    ev = events(spark, base, dates).filter(F.col("event_type") == SIGNUP_EVENT)
     return ev.select("event_id", F.col("user_id").cast("string").alias("uid"),
                      epoch_ms("ts").alias("ts"))
 
 
-def purchases(spark: SparkSession, base: str) -> DataFrame:
+def purchases(spark: SparkSession, base: str, dates=None) -> DataFrame:
     """Orders with a time of day: event_id, uid, amount DECIMAL(18,2), ts (ms)."""
-    ev = events(spark, base).filter(F.col("event_type") == PURCHASE_EVENT)
+    ev = events(spark, base, dates).filter(F.col("event_type") == PURCHASE_EVENT)
     return ev.select(
         "event_id",
         F.col("user_id").cast("string").alias("uid"),

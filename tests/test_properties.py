@@ -93,3 +93,20 @@ def test_entry_runs(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     assert df.columns == ["dt", "hr", "dau"] and df.count() > 0
+
+
+def test_day_restriction_reaches_parquet_scan(spark):
+    from daypulse.operators import metrics
+    from daypulse.sources import testdata as td
+    df = metrics.dau_total(td.start_logs(spark, SF001, dates=["2024-01-05"]))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = [ln for ln in plan.splitlines() if "PushedFilters" in ln][0]
+    assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+    full = {r.dt: r.dau for r in c.q_dau_total(spark, SF001).collect()}
+    assert [(r.dt, r.dau) for r in df.collect()] == [("2024-01-05", full["2024-01-05"])]
+
+
+def test_page_is_bounded_top_k(spark):
+    df = detail.sale_detail_page(spark, SF001, detail.Search.of(keyword="red"), 3, 10)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "offset=20" in plan
