@@ -5,6 +5,9 @@ Two queries, as in the reference's collector -> bus -> DAU job chain:
 ``run_router_stream``  raw lines -> per micro-batch: lines split by route
                        (start / event / reject), a raw archive partitioned by
                        ingest day, and the committed offsets per partition.
+Checkpoints default to a folder below the cluster's shared
+``spark.checkpoint.dir`` (never a machine-local temp folder).
+
 ``run_dau_stream``     start lines -> parse -> stateful first-launch dedup per
                        (device, event day) -> per micro-batch: upsert of the
                        fact rows, refresh of the day-level gold tables.
@@ -40,6 +43,7 @@ from pyspark.sql import types as T
 from daypulse.functions.timeparts import day_of_ms, hour_of_ms, minute_of_ms
 from daypulse.operators import metrics
 from daypulse.operators.upsert import latest_by_key
+from daypulse.session import checkpoint_subdir
 from daypulse.sources import applog
 
 # Fixed streaming settings.
@@ -98,6 +102,32 @@ def _batch_dir(base: str, batch_id: int) -> str:
     return os.path.join(base, f"batch_id={int(batch_id)}")
 
 
+def write_routes(routed: DataFrame, lines_path: str, batch_id: int) -> None:
+    """S4 sink: lines of one batch, one folder per route (the two topics plus rejects)."""
+    (routed.select("partition", "offset", "timestamp", "value", "route")
+     .write.mode("overwrite").partitionBy("route").parquet(_batch_dir(lines_path, batch_id)))
+
+
+def raw_archive(batch: DataFrame, archive_path: str, batch_id: int) -> None:
+    """S5 sink: raw lines unchanged, one text folder per ingest day (record time)."""
+    (batch.select("value", F.date_format("timestamp", "yyyy-MM-dd").alias("ingest_dt"))
+     .write.mode("overwrite").partitionBy("ingest_dt").text(_batch_dir(archive_path, batch_id)))
+
+
+def record_offsets(batch: DataFrame, progress_path: str, batch_id: int,
+                   topic: str, group: str) -> None:
+    """S3 sink: until-offset per partition of this batch (written after the data sinks)."""
+    (batch.groupBy("partition").agg((F.max("offset") + 1).alias("until_offset"))
+     .select(F.lit(topic).alias("topic"), F.lit(group).alias("grp"), "partition",
+             F.lit(int(batch_id)).cast("bigint").alias("batch_id"), "until_offset")
+     .write.mode("overwrite").parquet(_batch_dir(progress_path, batch_id)))
+
+
+def read_progress(spark: SparkSession, progress_path: str) -> DataFrame:
+    """The visible offset log: (topic, grp, partition, batch_id, until_offset)."""
+    return spark.read.parquet(progress_path)
+
+
 class RouterBatchWriter:
     """foreachBatch body of the router stream."""
 
@@ -110,18 +140,9 @@ class RouterBatchWriter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         routed = applog.with_route(batch).drop("_log").persist()
         try:
-            # One folder per route (the two topics plus rejects)
-            (routed.select("partition", "offset", "timestamp", "value", "route")
-             .write.mode("overwrite").partitionBy("route").parquet(_batch_dir(self.lines, batch_id)))
-            # Raw lines unchanged, one folder per ingest day
-            (routed.select("value", F.date_format("timestamp", "yyyy-MM-dd").alias("ingest_dt"))
-             .write.mode("overwrite").partitionBy("ingest_dt").text(_batch_dir(self.archive, batch_id)))
-            # S3: committed offsets per partition, after the sinks above
-            (routed.groupBy("partition").agg((F.max("offset") + 1).alias("until_offset"))
-             .select(F.lit(self.topic).alias("topic"), F.lit(self.group).alias("grp"),
-                     "partition", F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
-                     "until_offset")
-             .write.mode("overwrite").parquet(_batch_dir(self.progress, batch_id)))
+            write_routes(routed, self.lines, batch_id)
+            raw_archive(routed, self.archive, batch_id)
+            record_offsets(routed, self.progress, batch_id, self.topic, self.group)
         finally:
             routed.unpersist()
 
@@ -187,10 +208,11 @@ def _trigger(writer, trigger):
     return writer.trigger(processingTime=trigger or BATCH_INTERVAL)
 
 
-def run_router_stream(raw: DataFrame, out_base: str, checkpoint: str,
+def run_router_stream(raw: DataFrame, out_base: str, checkpoint: str | None = None,
                       topic: str = "app_start", group: str = "dau_group",
                       trigger: str | None = None, name: str | None = None):
     """Route, archive and record offsets of a raw line stream."""
+    checkpoint = checkpoint or checkpoint_subdir(raw.sparkSession, f"streams/{name or 'router'}")
     w = (raw.writeStream.foreachBatch(RouterBatchWriter(out_base, topic, group))
          .option("checkpointLocation", checkpoint))
     if name:
@@ -198,7 +220,7 @@ def run_router_stream(raw: DataFrame, out_base: str, checkpoint: str,
     return _trigger(w, trigger).start()
 
 
-def run_dau_stream(start_lines: DataFrame, table_path: str, checkpoint: str,
+def run_dau_stream(start_lines: DataFrame, table_path: str, checkpoint: str | None = None,
                    mode: str = "first_event", delay: str = LATE_DELAY,
                    gold_path: str | None = None, trigger: str | None = None,
                    name: str | None = None):
@@ -207,6 +229,7 @@ def run_dau_stream(start_lines: DataFrame, table_path: str, checkpoint: str,
     ``start_lines`` has ``value`` (JSON text) and ``offset``.  ``mode`` is
     ``first_event`` (T4, update mode) or ``first_arrival`` (T3, append mode).
     """
+    checkpoint = checkpoint or checkpoint_subdir(start_lines.sparkSession, f"streams/{name or 'dau'}")
     parsed = observed(applog.parse_start_logs(start_lines, keep=("offset",)), "dedup_in")
     if mode == "first_event":
         deduped, out_mode = dedup_first_event(parsed, delay), "update"

@@ -236,3 +236,20 @@ def test_launches_hourly_stream_equals_batch(spark, line_dir):
     want = q_launches_hourly(spark, SF0001)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_starting_offsets_json_for_resume(spark):
+    from daypulse.operators.upsert import latest_offsets, starting_offsets_json
+    prog = spark.createDataFrame(
+        [("app_start", "g", 0, 1, 10), ("app_start", "g", 0, 2, 25), ("app_start", "g", 1, 1, 7)],
+        "topic string, grp string, partition int, batch_id long, until_offset long")
+    j = json.loads(starting_offsets_json(latest_offsets(prog)).first().json)
+    assert j == {"app_start": {"0": 25, "1": 7}}
+    o = kafka_options("b:9092", "app_start", starting_offsets=json.dumps(j))
+    assert json.loads(o["startingOffsets"]) == j
+
+
+def test_default_checkpoint_under_shared_dir(spark):
+    from daypulse.session import checkpoint_subdir
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_subdir(spark, "streams/dau").startswith(base)
