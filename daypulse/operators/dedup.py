@@ -34,17 +34,12 @@ def first_seen(
         order.append(F.col(tiebreak).alias(tiebreak))
     order += [F.col(c).alias(c) for c in carry]
     first = (
-        logs.withColumn("dt", day_of_ms(ms_col))
-        .groupBy(key, "dt")
-        .agg(F.min(F.struct(*order)).alias("_first"))
-        .select(key, "dt", "_first.*")
-    )
-    cols = [key, "dt", "hr", "mi", "ts"] + ([tiebreak] if tiebreak else []) + list(carry)
-    return (
-        first.withColumn("hr", hour_of_ms("ts"))
-        .withColumn("mi", minute_of_ms("ts"))
-        .select(*cols)
+        logs.groupBy(F.col(key), day_of_ms(ms_col).alias("dt"))
+        .agg(F.min(F.struct(*order)).alias("f"))
     )
+    rest = ([tiebreak] if tiebreak else []) + list(carry)
+    return first.select(key, "dt", hour_of_ms("f.ts").alias("hr"), minute_of_ms("f.ts").alias("mi"),
+                        F.col("f.ts").alias("ts"), *[F.col(f"f.{c}").alias(c) for c in rest])
 
 
 def distinct_day_keys(logs: DataFrame, key: str = "mid", ms_col: str = "ts") -> DataFrame:

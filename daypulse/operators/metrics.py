@@ -63,15 +63,6 @@ def _money(c) -> F.Column:
 
 # --- spines ---------------------------------------------------------------
 
-def day_spine(*frames: DataFrame) -> DataFrame:
-    """Distinct ``dt`` over the given (aggregated) frames."""
-    days = None
-    for f in frames:
-        d = f.select("dt")
-        days = d if days is None else days.unionByName(d)
-    return days.distinct()
-
-
 def hour_spine(days: DataFrame) -> DataFrame:
     """(dt, hr) for 24 hours of every day: a generator, not a cross join."""
     return days.select("dt", F.explode(F.array(*[F.lit(h) for h in HOURS])).alias("hr"))
@@ -122,36 +113,34 @@ def launches_hourly(logs: DataFrame, ms_col: str = "ts") -> DataFrame:
 
 # --- A3 / A5 / J3 / U2 / P4 --------------------------------------------------
 
-def hour_compare(hourly: DataFrame, value: str, days: DataFrame | None = None,
-                 fill=0) -> DataFrame:
+def hour_compare(hourly: DataFrame, value: str, fill=0) -> DataFrame:
     """Dense 24-hour pairing of each day with the day before.
 
     (dt, hr, today, yesterday); absent hours and an absent yesterday are ``fill``.
 
-    One aggregation, no join: every hourly row contributes to its own day
-    (``today``) and to the next day (``yesterday``), and every present day
-    contributes 24 zero rows (the dense spine); summing per (dt, hr) pairs
-    them, and days that only appear as "the day after" are dropped.
-    ``days`` (optional) overrides which days are reported.
+    One pass over ``hourly`` and one aggregation, no join: every hourly row is
+    expanded (``inline``) into its own (dt, hr) as ``today``, the next day's
+    (dt, hr) as ``yesterday``, and the 24 zero rows of its day (the dense
+    spine).  Summing per (dt, hr) pairs them; days that only appear as "the
+    day after" are dropped.  Referencing the input once keeps a single scan.
     """
-    zero = F.lit(fill)
-    v = F.col(value)
-    own = hourly.select("dt", "hr", v.alias("today"), zero.alias("yesterday"),
-                        F.lit(1).alias("present"))
-    nxt = hourly.select(shift_day("dt", 1).alias("dt"), "hr", zero.alias("today"),
-                        v.alias("yesterday"), F.lit(0).alias("present"))
-    src_days = days if days is not None else hourly.select("dt")
-    spine = hour_spine(src_days).select("dt", "hr", zero.alias("today"), zero.alias("yesterday"),
-                                        F.lit(1).alias("present"))
-    if days is not None:  # reported days come from ``days`` only
-        own = own.withColumn("present", F.lit(0))
-    rows = own.unionByName(nxt).unionByName(spine)
-    out = rows.groupBy("dt", "hr").agg(
-        F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"),
-        F.max("present").alias("present"))
-    return out.filter(F.col("present") == 1).select(
-        "dt", "hr", F.col("today").cast(_sum_type(hourly, value)).alias("today"),
-        F.col("yesterday").cast(_sum_type(hourly, value)).alias("yesterday"))
+    vtype = _sum_type(hourly, value)
+    v, zero = F.col(value), F.lit(fill).cast(vtype)
+
+    def row(dt, hr, today, yesterday, present):
+        return F.struct(dt.alias("dt"), hr.alias("hr"), today.alias("today"),
+                        yesterday.alias("yesterday"), F.lit(present).alias("present"))
+
+    spine = F.transform(F.sequence(F.lit(0), F.lit(23)),
+                        lambda h: row(F.col("dt"), F.lpad(h.cast("string"), 2, "0"), zero, zero, 1))
+    rows = F.concat(F.array(row(F.col("dt"), F.col("hr"), v, zero, 1),
+                            row(shift_day("dt", 1), F.col("hr"), zero, v, 0)), spine)
+    out = (hourly.select(F.inline(rows))
+           .groupBy("dt", "hr")
+           .agg(F.sum("today").cast(vtype).alias("today"),
+                F.sum("yesterday").cast(vtype).alias("yesterday"),
+                F.max("present").alias("present")))
+    return out.filter(F.col("present") == 1).drop("present")
 
 
 def _sum_type(df: DataFrame, col: str) -> str:
@@ -159,11 +148,16 @@ def _sum_type(df: DataFrame, col: str) -> str:
 
 
 def hour_series(compare: DataFrame, metric_id: str) -> DataFrame:
-    """Long form (id, dt, series, hr, value) of a ``hour_compare`` table."""
-    cols = lambda s, c: compare.select(
-        F.lit(metric_id).alias("id"), "dt", F.lit(s).alias("series"), "hr",
-        F.col(c).cast("double").alias("value"))
-    return cols(SERIES_YESTERDAY, "yesterday").unionByName(cols(SERIES_TODAY, "today"))
+    """Long form (id, dt, series, hr, value) of a ``hour_compare`` table.
+
+    The two labelled series are a union of ``yesterday`` and ``today``, built
+    as one explode so the compare table is read once.
+    """
+    pair = F.array(
+        F.struct(F.lit(SERIES_YESTERDAY).alias("series"), F.col("yesterday").cast("double").alias("value")),
+        F.struct(F.lit(SERIES_TODAY).alias("series"), F.col("today").cast("double").alias("value")))
+    return compare.select(F.lit(metric_id).alias("id"), "dt", "hr",
+                          F.explode(pair).alias("s")).select("id", "dt", "s.series", "hr", "s.value")
 
 
 def select_metric(series: DataFrame, metric_id: str) -> DataFrame:
@@ -218,13 +212,17 @@ def new_devices(logs: DataFrame, key: str = "mid", out: str = "new_mid", dates=N
 def activity_rate(logs: DataFrame, key: str = "mid") -> DataFrame:
     """DAU / devices known up to and including that day.
 
-    (dt, dau, known, activity).  The running total is a window over the
-    day-level table (one row per calendar day), not over raw rows.
+    (dt, dau, known, activity).  One scan: per (device, day) rows, the
+    device's first day as a window over its own day rows (bounded by the
+    calendar), a count per day, and a running total of new devices over the
+    day-level table (one row per calendar day).
     """
-    daily = dau_total(logs, key)
-    new = new_devices(logs, key, out="new")
+    per_kd = _with_dt(logs).select(key, "dt").distinct()
+    first = F.min("dt").over(Window.partitionBy(key))
+    per_day = per_kd.withColumn("first_dt", first).groupBy("dt").agg(
+        F.count(F.lit(1)).alias("dau"),
+        F.count(F.when(F.col("dt") == F.col("first_dt"), 1)).alias("new"))
     w = Window.orderBy("dt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_day = daily.join(new, "dt", "left").withColumn("new", F.coalesce("new", F.lit(0)))
     known = F.sum("new").over(w).cast("bigint")
     return per_day.select("dt", "dau", known.alias("known")).withColumn(
         "activity", F.col("dau").cast("double") / F.col("known").cast("double"))
@@ -243,38 +241,71 @@ def dau_cumulative(firsts: DataFrame) -> DataFrame:
 def day_over_day(daily: DataFrame, value: str) -> DataFrame:
     """(dt, today, yesterday, rate); yesterday = the calendar day before.
 
-    Joined on the shifted day (not ``lag``), so gaps in the calendar give a
+    Paired on the shifted day (not ``lag``), so gaps in the calendar give a
     zero yesterday and a NULL rate instead of comparing with an older day.
+    One pass: each day row also counts as the next day's ``yesterday``.
     """
-    today = daily.select("dt", F.col(value).alias("today"))
-    yday = daily.select(shift_day("dt", 1).alias("dt"), F.col(value).alias("yesterday"))
-    out = today.join(yday, "dt", "left").withColumn(
-        "yesterday", F.coalesce("yesterday", F.lit(0)))
-    return out.select("dt", "today", "yesterday",
+    zero = F.lit(0).cast(_sum_type(daily, value))
+    v = F.col(value)
+    rows = F.array(
+        F.struct(F.col("dt").alias("dt"), v.alias("today"), zero.alias("yesterday"), F.lit(1).alias("present")),
+        F.struct(shift_day("dt", 1).alias("dt"), zero.alias("today"), v.alias("yesterday"),
+                 F.lit(0).alias("present")))
+    out = (daily.select(F.explode(rows).alias("r")).select("r.*").groupBy("dt")
+           .agg(F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"),
+                F.max("present").alias("present"))
+           .filter(F.col("present") == 1))
+    return out.select("dt", F.col("today").cast(_sum_type(daily, value)).alias("today"),
+                      F.col("yesterday").cast(_sum_type(daily, value)).alias("yesterday"),
                       change_rate("today", "yesterday").alias("rate"))
 
 
 # --- U1 / S11 ----------------------------------------------------------------
 
-def realtime_total(dau: DataFrame, new_mid: DataFrame, amount: DataFrame) -> DataFrame:
-    """Three cards per day (dt, ord, id, name, value DOUBLE).
+def daily_summary(activity: DataFrame, key: str = "mid") -> DataFrame:
+    """Per day: dau, new_mid and order_amount from ONE pass over the activity.
 
-    Days = every day present in any input; a missing metric is 0.  The three
-    day-level tables are full-outer joined on ``dt`` and each day row is
-    exploded into its three cards.
+    ``activity`` rows are start logs (``is_start`` true) and purchases
+    (``amount``), with ``key`` and ``ts``.  First a hash aggregate per (key,
+    day) -- a hot device collapses to one row per day -- then the device's
+    first start day as a window over that device's day rows (at most one row
+    per calendar day, so bounded), then one aggregate per day.
     """
-    days = (dau.select("dt", F.col("dau").alias("a"))
-            .join(new_mid.select("dt", F.col("new_mid").alias("b")), "dt", "full")
-            .join(amount.select("dt", F.col("order_amount").alias("c")), "dt", "full"))
-
+    per_kd = _with_dt(activity).groupBy(key, "dt").agg(
+        F.max(F.col("is_start").cast("int")).alias("started"),
+        F.sum(F.col("amount").cast(MONEY)).alias("amt"))
+    first = F.min(F.when(F.col("started") == 1, F.col("dt"))).over(Window.partitionBy(key))
+    return (per_kd.withColumn("first_dt", first).groupBy("dt").agg(
+        F.sum("started").cast("bigint").alias("dau"),
+        F.count(F.when((F.col("started") == 1) & (F.col("dt") == F.col("first_dt")), 1))
+        .alias("new_mid"),
+        _money(F.sum("amt")).alias("order_amount")))
+
+
+def cards(summary: DataFrame) -> DataFrame:
+    """Explode a daily summary (dt, dau, new_mid, order_amount) into three
+    cards per day (dt, ord, id, name, value DOUBLE); a missing metric is 0."""
     def card(ord_, spec, col):
         return F.struct(F.lit(ord_).alias("ord"), F.lit(spec[0]).alias("id"),
                         F.lit(spec[1]).alias("name"),
                         F.coalesce(F.col(col).cast("double"), F.lit(0.0)).alias("value"))
 
-    cards = F.explode(F.array(card(1, CARD_DAU, "a"), card(2, CARD_NEW_MID, "b"),
-                              card(3, CARD_ORDER_AMOUNT, "c")))
-    return days.select("dt", cards.alias("card")).select("dt", "card.*")
+    exploded = F.explode(F.array(card(1, CARD_DAU, "dau"), card(2, CARD_NEW_MID, "new_mid"),
+                                 card(3, CARD_ORDER_AMOUNT, "order_amount")))
+    return summary.select("dt", exploded.alias("card")).select("dt", "card.*")
+
+
+def realtime_total(dau: DataFrame, new_mid: DataFrame, amount: DataFrame) -> DataFrame:
+    """U1 from three precomputed day-level tables (e.g. gold tables).
+
+    Days = every day present in any input; they are full-outer joined on
+    ``dt`` (day-level rows only) and exploded into cards.  Over raw activity,
+    prefer ``cards(daily_summary(...))``, which scans the input once.
+    """
+    days = (dau.select("dt", "dau")
+            .join(new_mid.select("dt", "new_mid"), "dt", "full")
+            .join(amount.select("dt", "order_amount"), "dt", "full"))
+    return cards(days)
 
 
 def totals_json(cards: DataFrame) -> DataFrame:

@@ -145,9 +145,7 @@ def q_day_over_day(spark, base):
 
 
 def _cards(spark, base):
-    sl = td.start_logs(spark, base)
-    return metrics.realtime_total(metrics.dau_total(sl), metrics.new_devices(sl),
-                                  metrics.order_amount_total(td.purchases(spark, base)))
+    return metrics.cards(metrics.daily_summary(td.activity(spark, base)))
 
 
 def q_realtime_total(spark, base):

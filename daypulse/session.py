@@ -25,6 +25,9 @@ JOB_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture for error messages costs several driver round trips per
+    # Column function; plans here are built from many small expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -68,7 +68,7 @@ def with_route(raw: DataFrame, value: str = "value", parsed: str = "_log") -> Da
         .when(is_start, F.lit(ROUTE_REJECT))
         .otherwise(F.lit(ROUTE_EVENT))
     )
-    return raw.withColumn(parsed, parse_column(value)).withColumn("route", route)
+    return raw.select("*", parse_column(value).alias(parsed)).select("*", route.alias("route"))
 
 
 def route_logs(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

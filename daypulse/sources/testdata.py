@@ -88,6 +88,18 @@ def purchases(spark: SparkSession, base: str, dates=None) -> DataFrame:
     )
 
 
+def activity(spark: SparkSession, base: str, dates=None) -> DataFrame:
+    """Start logs and timed orders in one frame: mid, ts (ms), is_start, amount."""
+    ev = events(spark, base, dates).filter(F.col("event_type").isin(START_EVENT, PURCHASE_EVENT))
+    is_start = F.col("event_type") == START_EVENT
+    return ev.select(
+        F.col("user_id").cast("string").alias("mid"),
+        epoch_ms("ts").alias("ts"),
+        is_start.alias("is_start"),
+        F.when(~is_start, F.col("value").cast(MONEY)).alias("amount"),
+    )
+
+
 def raw_logs(spark: SparkSession, base: str) -> DataFrame:
     """Bus records derived from ``events``: partition, offset, batch_id, value (JSON text).
 

@@ -1,0 +1,27 @@
+"""Plan-shape guards: one scan per table, no cartesian / nested-loop joins."""
+
+import re
+from collections import Counter
+
+import pytest
+
+from daypulse.plans.catalog import QUERIES
+from tests.conftest import SF001
+
+# J2's two inputs are different tables in production (stored facts vs arrivals);
+# in the test mapping both come from ``events``.
+TWO_INPUTS = {"dau_anti_backfill"}
+
+SCAN = re.compile(r"FileScan parquet .*?Location: InMemoryFileIndex\(\d+ paths\)\[file:[^\]]*/(\w+)\.parquet")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_shape(spark, name):
+    df = QUERIES[name](spark, SF001)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    scans = Counter(SCAN.findall(plan))
+    assert scans, plan
+    if name not in TWO_INPUTS:
+        assert max(scans.values()) == 1, scans
