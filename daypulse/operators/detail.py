@@ -25,6 +25,7 @@ map-side partial aggregate).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,11 +70,14 @@ def user_level(acctbal) -> F.Column:
 class DetailTables:
     """Filtered, column-pruned dimension and fact frames for one search."""
 
-    def __init__(self, spark: SparkSession, base: str, search: Search = Search()):
+    def __init__(self, spark: SparkSession, base: str, search: Search = Search(),
+                 reader: Callable[[str], DataFrame] | None = None):
+        """``reader(name)`` overrides where tables come from (e.g. bucketed
+        catalog tables from ``sources.layout``); default: parquet under ``base``."""
         self.search = search
-        self.lineitem = read_table(spark, "lineitem", base).select(
-            "l_orderkey", "l_partkey", "l_linenumber")
-        orders = read_table(spark, "orders", base).select(
+        read = reader or (lambda name: read_table(spark, name, base))
+        self.lineitem = read("lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+        orders = read("orders").select(
             "o_orderkey", "o_custkey", day_string("o_orderdate").alias("dt"))
         if search.date:
             # comparing the timestamp column keeps the predicate pushable
@@ -81,13 +85,13 @@ class DetailTables:
             orders = orders.filter((F.col("o_orderdate") >= d0)
                                    & (F.col("o_orderdate") < d0 + F.expr("INTERVAL 1 DAY")))
         self.orders = orders
-        customer = read_table(spark, "customer", base).select(
+        customer = read("customer").select(
             "c_custkey", F.col("c_mktsegment").alias("user_gender"),
             user_level(F.col("c_acctbal")).alias("user_level"))
         if search.level is not None:
             customer = customer.filter(F.col("user_level") == search.level)
         self.customer = customer
-        part = read_table(spark, "part", base).select(
+        part = read("part").select(
             "p_partkey", F.col("p_size").alias("user_age"),
             F.col("p_retailprice").alias("sku_price"), F.col("p_name").alias("sku_name"),
             F.col("p_brand").alias("sku_tm_id"))
@@ -101,13 +105,16 @@ class DetailTables:
                                 F.col("o_custkey") == F.col("c_custkey"), "left_semi")
 
 
-def sale_detail_wide(spark: SparkSession, base: str, search: Search = Search()) -> DataFrame:
+def sale_detail_wide(spark: SparkSession, base: str, search: Search = Search(),
+                     reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """The wide order-detail rows matching ``search``."""
-    t = DetailTables(spark, base, search)
-    # per-row work (three joins, key rendering) on an under-split scan: spread
-    # it by the order key, which the first join then reuses
+    t = DetailTables(spark, base, search, reader)
+    # per-row work (three joins, key rendering) on an under-split parquet scan:
+    # spread it by the order key, which the first join then reuses.  Tables
+    # from a custom reader (bucketed layouts) keep their own partitioning.
+    lineitem = t.lineitem if reader else spread(t.lineitem, "l_orderkey")
     rows = (
-        spread(t.lineitem, "l_orderkey").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     )
@@ -122,7 +129,8 @@ def sale_detail_wide(spark: SparkSession, base: str, search: Search = Search())
 
 
 def sale_detail_page(spark: SparkSession, base: str, search: Search = Search(),
-                     page: int = 1, size: int = 20) -> DataFrame:
+                     page: int = 1, size: int = 20,
+                     reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """P2 + L3: one 1-based page of the search, in a total order over all columns.
 
     ``orderBy(...).offset(n).limit(size)`` plans as TakeOrderedAndProject: each
@@ -130,19 +138,20 @@ def sale_detail_page(spark: SparkSession, base: str, search: Search = Search(),
     """
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
-    wide = sale_detail_wide(spark, base, search)
+    wide = sale_detail_wide(spark, base, search, reader)
     order = ["dt", "order_id", "order_detail_id", "sku_id", "user_id", "user_gender",
              "user_age", "user_level", "sku_price", "sku_name", "sku_tm_id"]
     return wide.orderBy(*order).offset((page - 1) * size).limit(size)
 
 
-def sale_detail_total(spark: SparkSession, base: str, search: Search = Search()) -> DataFrame:
+def sale_detail_total(spark: SparkSession, base: str, search: Search = Search(),
+                      reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """Total rows of the search -> one row (total).
 
     lineitem is semi-joined to the filtered orders (by order key) and parts
     (by part key); no wide row is built.
     """
-    t = DetailTables(spark, base, search)
+    t = DetailTables(spark, base, search, reader)
     li = (t.lineitem.join(t.valid_orders(), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
           .join(t.part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"), "left_semi"))
     return li.agg(F.count(F.lit(1)).alias("total"))
@@ -153,9 +162,10 @@ def _share(counts: DataFrame, name_col: str) -> DataFrame:
     return agg.withColumn("pct", share_pct("value"))
 
 
-def category_share(spark: SparkSession, base: str, search: Search = Search()) -> DataFrame:
+def category_share(spark: SparkSession, base: str, search: Search = Search(),
+                   reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """A10: rows per user category (gender stand-in) -> (name, value, pct)."""
-    t = DetailTables(spark, base, search)
+    t = DetailTables(spark, base, search, reader)
     per_order = (
         t.lineitem.join(t.part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"),
                         "left_semi")
@@ -167,9 +177,10 @@ def category_share(spark: SparkSession, base: str, search: Search = Search()) ->
     return _share(per_cat, "user_gender")
 
 
-def age_share(spark: SparkSession, base: str, search: Search = Search()) -> DataFrame:
+def age_share(spark: SparkSession, base: str, search: Search = Search(),
+              reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """Rows per age band (F11) -> (name, value, pct)."""
-    t = DetailTables(spark, base, search)
+    t = DetailTables(spark, base, search, reader)
     per_part = (
         t.lineitem.join(t.valid_orders(), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
         .groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
