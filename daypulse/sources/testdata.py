@@ -100,46 +100,38 @@ def activity(spark: SparkSession, base: str, dates=None) -> DataFrame:
     )
 
 
+# JSON renderings of an event row (SQL expressions over the joined event row).
+_COMMON = ("named_struct('mid', cast(user_id AS string), 'uid', cast(user_id AS string), "
+           "'ar', ar, 'ch', event_type, 'vc', get_json_object(props, '$.k'))")
+_TS_MS = "unix_millis(cast(ts AS timestamp))"
+_START_JSON = (f"to_json(named_struct('common', {_COMMON}, "
+               f"'start', named_struct('entry', 'icon'), 'ts', {_TS_MS}))")
+_EVENT_JSON = (f"to_json(named_struct('common', {_COMMON}, "
+               f"'page', named_struct('page_id', event_type), 'ts', {_TS_MS}))")
+# malformed line: the event log with its closing brace cut off
+_LINE = (f"CASE WHEN event_type = '{START_EVENT}' THEN {_START_JSON} "
+         f"WHEN event_type = '{MALFORMED_EVENT}' THEN regexp_replace({_EVENT_JSON}, '}}$', '') "
+         f"ELSE {_EVENT_JSON} END")
+
+
 def raw_logs(spark: SparkSession, base: str) -> DataFrame:
-    """Bus records derived from ``events``: partition, offset, batch_id, value (JSON text).
+    """Bus records derived from ``events``: partition, offset, batch_id, timestamp, value.
 
     Joins ``customer`` for the area code (left join: a user without a customer
-    row gets no ``ar`` field).  A JSON line per event; see module docstring.
+    row gets no ``ar`` field).  One JSON line per event; see module docstring.
+    The line is one SQL expression (a single projection to analyse and codegen).
     """
     # JSON rendering is the heavy per-row work here: spread an under-split scan
     ev = spread(events(spark, base), "event_id")
-    areas = read_table(spark, "customer", base).select(
-        "c_custkey", F.col("c_nationkey").cast("string").alias("ar"))
-    uid = F.col("user_id").cast("string")
+    areas = read_table(spark, "customer", base).selectExpr(
+        "c_custkey", "cast(c_nationkey AS string) AS ar")
     ev = ev.join(areas, ev["user_id"] == areas["c_custkey"], "left")
-    common = F.struct(
-        uid.alias("mid"), uid.alias("uid"), F.col("ar"),
-        F.col("event_type").alias("ch"),
-        F.get_json_object("props", "$.k").alias("vc"),
-    )
-    ms = epoch_ms("ts")
-    start_json = F.to_json(F.struct(
-        common.alias("common"),
-        F.struct(F.lit("icon").alias("entry")).alias("start"),
-        ms.alias("ts"),
-    ))
-    event_json = F.to_json(F.struct(
-        common.alias("common"),
-        F.struct(F.col("event_type").alias("page_id")).alias("page"),
-        ms.alias("ts"),
-    ))
-    value = (
-        F.when(F.col("event_type") == START_EVENT, start_json)
-        # malformed line: the event log with its closing brace cut off
-        .when(F.col("event_type") == MALFORMED_EVENT, F.regexp_replace(event_json, "}$", ""))
-        .otherwise(event_json)
-    )
-    return ev.select(
-        (F.col("event_id") % OFFSET_PARTITIONS).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.floor(F.col("event_id") / BATCH_SIZE).cast("bigint").alias("batch_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        value.alias("value"),
+    return ev.selectExpr(
+        f"cast(event_id % {OFFSET_PARTITIONS} AS int) AS partition",
+        "event_id AS offset",
+        f"cast(floor(event_id / {BATCH_SIZE}) AS bigint) AS batch_id",
+        "cast(ts AS timestamp) AS timestamp",
+        f"{_LINE} AS value",
     )
 
 

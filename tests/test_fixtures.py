@@ -183,3 +183,21 @@ def test_latest_by_key_prefers_batch_then_order(spark):
                                "key long, batch_id long, event_id long, v string")
     out = {r.key: r.v for r in latest_by_key(df, "key", ["event_id"]).collect()}
     assert out == {1: "b", 2: "c"}
+
+
+def test_jdbc_options_partitioned_read():
+    from daypulse.sources.tables import jdbc_options
+    o = jdbc_options("jdbc:mysql://h/db", "orders", "o_orderkey", 1, 1000, 16, user="u")
+    assert o["partitionColumn"] == "o_orderkey" and o["numPartitions"] == "16"
+    assert o["lowerBound"] == "1" and o["upperBound"] == "1000" and o["user"] == "u"
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", "k")
+
+
+def test_read_table_reuses_resolved_table(spark):
+    from daypulse.sources.tables import read_table
+    from tests.conftest import SF001
+    a = read_table(spark, "nation", SF001)
+    b = read_table(spark, "nation", SF001)
+    assert a is b and a.count() == 25
+    assert read_table(spark, "nation", SF001, columns=["n_name"]).columns == ["n_name"]
