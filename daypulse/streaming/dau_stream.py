@@ -253,3 +253,34 @@ def launches_hourly_stream(start: DataFrame, delay: str = LATE_DELAY) -> DataFra
         F.count(F.lit(1)).alias("launches"))
     return agg.select(F.date_format("w.start", "yyyy-MM-dd").alias("dt"),
                       F.date_format("w.start", "HH").alias("hr"), "launches")
+
+
+class HourlyBatchWriter:
+    """foreachBatch body of the hourly rollup: upsert (dt, hr) rows of update mode."""
+
+    def __init__(self, table_path: str):
+        self.table_path = table_path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(_batch_dir(self.table_path, batch_id))
+
+
+def read_hourly(spark: SparkSession, table_path: str) -> DataFrame:
+    """Current hourly launches: the newest version of each (dt, hr) window."""
+    df = spark.read.option("basePath", table_path).parquet(table_path)
+    return latest_by_key(df, ["dt", "hr"], []).drop("batch_id")
+
+
+def run_launches_hourly_stream(start_lines: DataFrame, table_path: str,
+                               checkpoint: str | None = None, delay: str = LATE_DELAY,
+                               trigger: str | None = None, name: str | None = None):
+    """Launches per event hour, update mode, upserted per micro-batch."""
+    checkpoint = checkpoint or checkpoint_subdir(start_lines.sparkSession,
+                                                 f"streams/{name or 'launches_hourly'}")
+    parsed = applog.parse_start_logs(start_lines, keep=("offset",))
+    w = (launches_hourly_stream(parsed, delay).writeStream.outputMode("update")
+         .foreachBatch(HourlyBatchWriter(table_path))
+         .option("checkpointLocation", checkpoint))
+    if name:
+        w = w.queryName(name)
+    return _trigger(w, trigger).start()

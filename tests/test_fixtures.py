@@ -201,3 +201,23 @@ def test_read_table_reuses_resolved_table(spark):
     b = read_table(spark, "nation", SF001)
     assert a is b and a.count() == 25
     assert read_table(spark, "nation", SF001, columns=["n_name"]).columns == ["n_name"]
+
+
+def test_compact_keeps_current_view(spark, tmp_path):
+    from daypulse.operators.upsert import compact
+    path, out = str(tmp_path / "t"), str(tmp_path / "c")
+    write_batch(spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "key long, event_id long, v string"), path, 1)
+    write_batch(spark.createDataFrame([(1, 2, "c")], "key long, event_id long, v string"), path, 2)
+    compact(spark, path, "key", ["event_id"], out)
+    got = {r.key: r.v for r in read_upsert_table(spark, out, "key", ["event_id"]).collect()}
+    assert got == {1: "c", 2: "b"}
+
+
+def test_hourly_active_approx_close_to_exact(spark):
+    from daypulse.sources import testdata as td
+    from tests.conftest import SF001
+    sl = td.start_logs(spark, SF001)
+    exact = {(r.dt, r.hr): r.active for r in metrics.hourly_active(sl).collect()}
+    approx = {(r.dt, r.hr): r.active for r in metrics.hourly_active(sl, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(1, 0.1 * exact[k]) for k in exact)

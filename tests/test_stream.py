@@ -253,3 +253,24 @@ def test_default_checkpoint_under_shared_dir(spark):
     from daypulse.session import checkpoint_subdir
     base = spark.conf.get("spark.checkpoint.dir")
     assert checkpoint_subdir(spark, "streams/dau").startswith(base)
+
+
+def test_launches_hourly_update_stream_upserts_to_batch_result(spark, line_dir):
+    from daypulse.plans.catalog import q_launches_hourly
+    table = _scratch()
+    q = ds.run_launches_hourly_stream(line_file_stream(spark, line_dir), table, _scratch(),
+                                      trigger="availableNow")
+    q.awaitTermination(300)
+    got = ds.read_hourly(spark, table).select("dt", "hr", "launches")
+    want = q_launches_hourly(spark, SF0001)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+
+
+def test_split_routes_three_frames(spark):
+    from daypulse.sources.testdata import raw_logs
+    start, event, reject = applog.split_routes(raw_logs(spark, SF0001), keep=("offset",))
+    ev = spark.read.parquet(f"{SF0001}/events.parquet")
+    assert start.count() == ev.filter("event_type = 'view'").count()
+    assert reject.count() == ev.filter("event_type = 'error'").count()
+    assert start.count() + event.count() + reject.count() == ev.count()
