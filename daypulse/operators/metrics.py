@@ -10,9 +10,8 @@ Scale notes
 * All raw-data aggregations are hash aggregates with a map-side partial step,
   so a hot key (one device / one day holding a third of the rows) is combined
   before the exchange.
-* Day x hour spines are generated per day with ``explode`` of a fixed 24-entry
-  array -- no cross join -- and joined to the (already aggregated) metric
-  tables; those are at most days x 24 rows and AQE broadcasts them at runtime.
+* Day x hour spines are generated per row of the (already aggregated) hourly
+  table with ``inline`` of a 24-entry array -- no cross join, no spine join.
 * The only windows run over aggregated day-level or (day, hour)-level tables.
 """
 
@@ -25,7 +24,6 @@ from pyspark.sql import functions as F
 
 from daypulse.functions.scalar import change_rate
 from daypulse.functions.timeparts import day_of_ms, hour_of_ms, shift_day
-from daypulse.operators.dedup import first_seen
 
 # ---------------------------------------------------------------------------
 # Fixed values of the metric cards: id and display name, in display order.
@@ -61,13 +59,6 @@ def _money(c) -> F.Column:
     return c.cast(MONEY).cast("double")
 
 
-# --- spines ---------------------------------------------------------------
-
-def hour_spine(days: DataFrame) -> DataFrame:
-    """(dt, hr) for 24 hours of every day: a generator, not a cross join."""
-    return days.select("dt", F.explode(F.array(*[F.lit(h) for h in HOURS])).alias("hr"))
-
-
 # --- A1 / A2 / A7 / A8 -----------------------------------------------------
 
 def dau_total(logs: DataFrame, key: str = "mid", dates=None) -> DataFrame:
@@ -329,8 +320,3 @@ def dedup_stats(logs: DataFrame, key: str = "mid") -> DataFrame:
         F.count(F.lit(1)).alias("input_rows"),
         F.countDistinct(key).alias("kept_rows"),
     ).withColumn("dropped_rows", F.col("input_rows") - F.col("kept_rows"))
-
-
-def first_launches(logs: DataFrame) -> DataFrame:
-    """P1 shortcut used by the hour metrics."""
-    return first_seen(logs)

@@ -221,3 +221,20 @@ def test_hourly_active_approx_close_to_exact(spark):
     approx = {(r.dt, r.hr): r.active for r in metrics.hourly_active(sl, approx=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= max(1, 0.1 * exact[k]) for k in exact)
+
+
+def test_api_helpers(spark, tmp_path):
+    from daypulse.functions import offset_key, today_string
+    from daypulse.operators import detail
+    from daypulse.sources.tables import day_partition
+    from tests.conftest import SF001
+    r = spark.range(1).select(offset_key(F.lit("app_start"), F.lit("g")).alias("k"),
+                              today_string().alias("d")).first()
+    assert r.k == "app_start:g" and len(r.d) == 10
+    df = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "dt string, v long")
+    assert [x.v for x in day_partition(df, "2024-01-02").collect()] == [2]
+    assert day_partition(df, None).count() == 2
+    bundle = detail.sale_detail_bundle(spark, SF001, detail.Search.of(keyword="red"), 1, 10)
+    assert set(bundle) == {"total", "stat_age", "stat_category", "detail"}
+    assert bundle["detail"].count() == 10
+    assert bundle["stat_age"].agg(F.sum("value")).first()[0] == bundle["total"].first().total

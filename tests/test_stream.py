@@ -274,3 +274,17 @@ def test_split_routes_three_frames(spark):
     assert start.count() == ev.filter("event_type = 'view'").count()
     assert reject.count() == ev.filter("event_type = 'error'").count()
     assert start.count() + event.count() + reject.count() == ev.count()
+
+
+def test_source_stream_files_and_progress_reader(spark, line_dir):
+    from daypulse.streaming.sources import source_stream
+    s = source_stream(spark, "files", path=line_dir)
+    assert s.isStreaming and s.columns == ["partition", "offset", "timestamp", "value"]
+    with pytest.raises(ValueError):
+        source_stream(spark, "socket")
+    out = _scratch()
+    q = ds.run_router_stream(s, out, _scratch(), trigger="availableNow")
+    q.awaitTermination(300)
+    prog = ds.read_progress(spark, os.path.join(out, "progress"))
+    assert set(prog.columns) == {"topic", "grp", "partition", "batch_id", "until_offset"}
+    assert prog.select("batch_id").distinct().count() == len(os.listdir(line_dir))
