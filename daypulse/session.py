@@ -25,6 +25,11 @@ JOB_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+# Static settings: only take effect when the session is built (cluster
+# submit config or ``local_session``), never set at runtime.
+STATIC_DEFAULTS = {
     # Call-site capture for error messages costs several driver round trips per
     # Column function; plans here are built from many small expressions.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -47,7 +52,7 @@ def local_session(
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
-    for k, v in JOB_DEFAULTS.items():
+    for k, v in {**JOB_DEFAULTS, **STATIC_DEFAULTS}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -65,8 +70,11 @@ def apply_job_defaults(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED.items():
         spark.conf.set(k, v)
     for k, v in JOB_DEFAULTS.items():
-        if spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)
+        try:
+            if spark.conf.get(k, None) is None:
+                spark.conf.set(k, v)
+        except Exception:  # not modifiable in this session (static / managed)
+            pass
     return spark
 
 

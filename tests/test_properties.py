@@ -110,3 +110,27 @@ def test_page_is_bounded_top_k(spark):
     df = detail.sale_detail_page(spark, SF001, detail.Search.of(keyword="red"), 3, 10)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "offset=20" in plan
+
+
+def test_job_defaults_tolerate_unmodifiable_settings():
+    """A driver-built session may refuse some settings; only the time zone is required."""
+    from daypulse.session import apply_job_defaults
+
+    class Conf:
+        def __init__(self):
+            self.values = {}
+
+        def get(self, k, default=None):
+            return self.values.get(k, default)
+
+        def set(self, k, v):
+            if k != "spark.sql.session.timeZone":
+                raise RuntimeError("static")
+            self.values[k] = v
+
+    class Session:
+        conf = Conf()
+
+    s = Session()
+    apply_job_defaults(s)
+    assert s.conf.values == {"spark.sql.session.timeZone": "UTC"}
