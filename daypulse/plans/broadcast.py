@@ -18,8 +18,11 @@ _PROBED: dict[tuple, bool] = {}
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """Bounded probe, memoised per (application, analysed plan, bound)."""
-    key = (df.sparkSession.sparkContext.applicationId,
-           df._jdf.queryExecution().analyzed().toString(), max_rows)
+    try:
+        key = (df.sparkSession.sparkContext.applicationId,
+               df._jdf.queryExecution().analyzed().toString(), max_rows)
+    except Exception:  # no JVM handle (e.g. Spark Connect): probe without memo
+        return df.limit(max_rows + 1).count() <= max_rows
     ok = _PROBED.get(key)
     if ok is None:
         ok = _PROBED[key] = df.limit(max_rows + 1).count() <= max_rows

@@ -22,17 +22,28 @@ def parallelism(df: DataFrame) -> int:
 _SPLITS: dict[tuple, int] = {}
 
 
-def scan_partitions(df: DataFrame) -> int:
-    """Partitions the (unshuffled) input yields; memoised per resolved plan."""
-    key = (df.sparkSession.sparkContext.applicationId, df._jdf.queryExecution().analyzed().toString())
-    n = _SPLITS.get(key)
-    if n is None:
-        n = _SPLITS[key] = df.rdd.getNumPartitions()
-    return n
+def scan_partitions(df: DataFrame) -> int | None:
+    """Partitions the (unshuffled) input yields; memoised per resolved plan.
+
+    ``None`` when the session cannot say (e.g. Spark Connect has no RDDs).
+    """
+    try:
+        key = (df.sparkSession.sparkContext.applicationId,
+               df._jdf.queryExecution().analyzed().toString())
+        n = _SPLITS.get(key)
+        if n is None:
+            n = _SPLITS[key] = df.rdd.getNumPartitions()
+        return n
+    except Exception:
+        return None
 
 
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or parallelism(df)
-    if scan_partitions(df) >= target:
+    try:
+        target = min_partitions or parallelism(df)
+    except Exception:
+        return df
+    n = scan_partitions(df)
+    if n is None or n >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
