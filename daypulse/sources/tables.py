@@ -30,6 +30,13 @@ def table_path(base: str, name: str) -> str:
 _RESOLVED: dict[tuple, DataFrame] = {}
 
 
+def _session_key(spark: SparkSession):
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return ("session", id(spark))
+
+
 def forget_tables() -> None:
     """Drop resolved tables (call after the underlying files changed)."""
     _RESOLVED.clear()
@@ -59,8 +66,7 @@ def read_table(
     elif fmt == "parquet":
         if base is None:
             raise ValueError("parquet tables need a base folder")
-        key = (spark.sparkContext.applicationId, id(spark), table_path(base, name),
-               tuple(sorted(options.items())))
+        key = (_session_key(spark), table_path(base, name), tuple(sorted(options.items())))
         df = _RESOLVED.get(key)
         if df is None:
             df = spark.read.options(**options).parquet(table_path(base, name))
