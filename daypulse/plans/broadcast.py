@@ -17,11 +17,11 @@ _PROBED: dict[tuple, bool] = {}
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded probe, memoised per (application, analysed plan, bound)."""
+    """Bounded probe, memoised per (application, plan's semantic hash, bound)."""
     try:
-        key = (df.sparkSession.sparkContext.applicationId,
-               df._jdf.queryExecution().analyzed().toString(), max_rows)
-    except Exception:  # no JVM handle (e.g. Spark Connect): probe without memo
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+               df.schema.simpleString(), max_rows)
+    except Exception:  # no local SparkContext (e.g. Spark Connect): probe without memo
         return df.limit(max_rows + 1).count() <= max_rows
     ok = _PROBED.get(key)
     if ok is None:

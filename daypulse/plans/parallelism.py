@@ -28,8 +28,8 @@ def scan_partitions(df: DataFrame) -> int | None:
     ``None`` when the session cannot say (e.g. Spark Connect has no RDDs).
     """
     try:
-        key = (df.sparkSession.sparkContext.applicationId,
-               df._jdf.queryExecution().analyzed().toString())
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+               df.schema.simpleString())
         n = _SPLITS.get(key)
         if n is None:
             n = _SPLITS[key] = df.rdd.getNumPartitions()
