@@ -77,3 +77,26 @@ def source_stream(spark: SparkSession, kind: str = "kafka", **kw) -> DataFrame:
         return line_file_stream(spark, kw["path"], kw.get("files_per_trigger", 1),
                                 kw.get("fmt", "parquet"))
     raise ValueError(f"unknown source kind {kind!r}")
+
+
+def resume_kafka_options(spark: SparkSession, progress_path: str, bootstrap: str, topic: str,
+                         group: str | None = None, **kw) -> dict[str, str]:
+    """Start from the stored offsets when there are any, else from ``latest``.
+
+    Reads the visible offset log (``topic, grp, partition, batch_id,
+    until_offset``) written by the router stream, keeps the newest until-offset
+    per partition and renders Kafka's ``startingOffsets`` JSON.  Needed only
+    for a new checkpoint; an existing checkpoint already knows its offsets.
+    """
+    import os
+
+    from daypulse.operators.upsert import latest_offsets, starting_offsets_json
+
+    starting = None
+    if os.path.exists(progress_path) and os.listdir(progress_path):
+        prog = spark.read.parquet(progress_path).filter(F.col("topic") == topic)
+        if group is not None:
+            prog = prog.filter(F.col("grp") == group)
+        row = starting_offsets_json(latest_offsets(prog)).first()  # one row per topic
+        starting = row.json if row else None
+    return kafka_options(bootstrap, topic, group, starting_offsets=starting, **kw)

@@ -288,3 +288,16 @@ def test_source_stream_files_and_progress_reader(spark, line_dir):
     prog = ds.read_progress(spark, os.path.join(out, "progress"))
     assert set(prog.columns) == {"topic", "grp", "partition", "batch_id", "until_offset"}
     assert prog.select("batch_id").distinct().count() == len(os.listdir(line_dir))
+
+
+def test_resume_options_from_progress(spark, tmp_path):
+    from daypulse.streaming.sources import resume_kafka_options
+    empty = str(tmp_path / "none")
+    assert resume_kafka_options(spark, empty, "b:9092", "app_start", "g")["startingOffsets"] == "latest"
+    prog = str(tmp_path / "progress")
+    spark.createDataFrame(
+        [("app_start", "g", 0, 1, 10), ("app_start", "g", 0, 2, 25), ("app_start", "g", 1, 2, 7),
+         ("other", "g", 0, 9, 99)],
+        "topic string, grp string, partition int, batch_id long, until_offset long").write.parquet(prog)
+    o = resume_kafka_options(spark, prog, "b:9092", "app_start", "g")
+    assert json.loads(o["startingOffsets"]) == {"app_start": {"0": 25, "1": 7}}
