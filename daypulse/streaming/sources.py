@@ -88,13 +88,16 @@ def resume_kafka_options(spark: SparkSession, progress_path: str, bootstrap: str
     per partition and renders Kafka's ``startingOffsets`` JSON.  Needed only
     for a new checkpoint; an existing checkpoint already knows its offsets.
     """
-    import os
+    from pyspark.errors import AnalysisException
 
     from daypulse.operators.upsert import latest_offsets, starting_offsets_json
 
     starting = None
-    if os.path.exists(progress_path) and os.listdir(progress_path):
+    try:  # works on any Hadoop-compatible path; missing / empty log -> no offsets
         prog = spark.read.parquet(progress_path).filter(F.col("topic") == topic)
+    except AnalysisException:
+        prog = None
+    if prog is not None:
         if group is not None:
             prog = prog.filter(F.col("grp") == group)
         row = starting_offsets_json(latest_offsets(prog)).first()  # one row per topic
