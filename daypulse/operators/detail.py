@@ -18,9 +18,10 @@ the other dimensions only as semi-join filters:
   count per customer -> ⋈ customer -> count per segment;
 * age share: lineitem ⋉ orders -> count per part -> ⋈ part -> count per band.
 
-So lineitem is shuffled once, on two columns, and every later exchange
-carries pre-aggregated rows (hot orders, customers or parts collapse in the
-map-side partial aggregate).
+So full lineitem rows (two columns) cross at most one exchange -- the
+semi-join key, or none when that side is broadcast -- and every later
+exchange carries pre-aggregated rows (hot orders, customers or parts collapse
+in the map-side partial aggregate).
 """
 
 from __future__ import annotations

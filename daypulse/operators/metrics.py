@@ -2,14 +2,15 @@
 
 Inputs are DataFrames with at least ``mid`` (or another key) and ``ts`` (epoch
 ms); purchases also carry ``amount`` DECIMAL(18,2).  Every metric is computed
-for **every day** present in its input; pass ``dates`` to restrict (the filter
-on ``dt`` is pushed down to the scan as a ``ts`` range, or prunes ``dt``
-partitions of a stored fact table).
+for **every day** present in its input.  ``dates`` restricts on the ``dt``
+column, which prunes the ``dt`` partitions of a stored fact table; for raw
+events pass ``dates`` to the source instead (``sources.testdata``), which
+pushes a ``ts`` range into the parquet scan.
 
 Scale notes
-* All raw-data aggregations are hash aggregates with a map-side partial step,
-  so a hot key (one device / one day holding a third of the rows) is combined
-  before the exchange.
+* All raw-data aggregations have a map-side partial step (hash aggregates;
+  struct-valued min/max plan as sort aggregates), so a hot key -- one device
+  or one day holding a third of the rows -- is combined before the exchange.
 * Day x hour spines are generated per row of the (already aggregated) hourly
   table with ``inline`` of a 24-entry array -- no cross join, no spine join.
 * The only windows run over aggregated day-level or (day, hour)-level tables.
@@ -33,8 +34,6 @@ CARD_ORDER_AMOUNT = ("order_amount", "新增交易额")
 # Hour-series labels.
 SERIES_TODAY = "today"
 SERIES_YESTERDAY = "yesterday"
-# Hour keys of a day, zero padded.
-HOURS = tuple(f"{h:02d}" for h in range(24))
 # ---------------------------------------------------------------------------
 
 MONEY = "decimal(18,2)"
