@@ -187,15 +187,10 @@ def read_facts(spark: SparkSession, table_path: str, days: list[str] | None = No
 def refresh_gold(spark: SparkSession, table_path: str, gold_path: str, days: list[str]) -> None:
     """Recompute dau_total and dau_hour for ``days`` only; overwrite just those partitions."""
     facts = read_facts(spark, table_path, days)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        metrics.dau_total(facts).write.mode("overwrite").partitionBy("dt").parquet(
-            os.path.join(gold_path, "dau_total"))
-        metrics.dau_hour(facts).write.mode("overwrite").partitionBy("dt").parquet(
-            os.path.join(gold_path, "dau_hour"))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    for name, frame in (("dau_total", metrics.dau_total(facts)), ("dau_hour", metrics.dau_hour(facts))):
+        # dynamic overwrite per write: only the partitions of ``days`` are replaced
+        (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt").parquet(os.path.join(gold_path, name)))
 
 
 # --- query runners -------------------------------------------------------------------
