@@ -43,6 +43,9 @@ WIDE_COLUMNS = (
 )
 # Page sizes offered by the dashboard (fixed values).
 PAGE_SIZES = (10, 20, 50, 100)
+# Total order of the detail rows for paging (every column; full rows are distinct).
+PAGE_ORDER = ("dt", "order_id", "order_detail_id", "sku_id", "user_id", "user_gender",
+              "user_age", "user_level", "sku_price", "sku_name", "sku_tm_id")
 
 
 @dataclass(frozen=True)
@@ -140,9 +143,30 @@ def sale_detail_page(spark: SparkSession, base: str, search: Search = Search(),
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
     wide = sale_detail_wide(spark, base, search, reader)
-    order = ["dt", "order_id", "order_detail_id", "sku_id", "user_id", "user_gender",
-             "user_age", "user_level", "sku_price", "sku_name", "sku_tm_id"]
-    return wide.orderBy(*order).offset((page - 1) * size).limit(size)
+    return wide.orderBy(*PAGE_ORDER).offset((page - 1) * size).limit(size)
+
+
+def sale_detail_page_after(spark: SparkSession, base: str, search: Search = Search(),
+                           after: tuple | None = None, size: int = 20,
+                           reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """L3 for deep pages: keyset ("seek") paging in the same total order.
+
+    ``after`` is the ``PAGE_ORDER`` tuple of the previous page's last row
+    (``None`` for the first page).  Rows strictly after it are filtered with a
+    struct comparison and the top ``size`` taken, so each task keeps ``size``
+    rows however deep the page -- unlike ``offset``, whose per-task top-k
+    grows with the page number.
+    """
+    if size < 1:
+        raise ValueError("size starts at 1")
+    wide = sale_detail_wide(spark, base, search, reader)
+    if after is not None:
+        if len(after) != len(PAGE_ORDER):
+            raise ValueError(f"after needs {len(PAGE_ORDER)} values in PAGE_ORDER")
+        key = F.struct(*[F.col(c) for c in PAGE_ORDER])
+        wide = wide.filter(key > F.struct(*[F.lit(v).cast(wide.schema[c].dataType).alias(c)
+                                             for c, v in zip(PAGE_ORDER, after)]))
+    return wide.orderBy(*PAGE_ORDER).limit(size)
 
 
 def sale_detail_total(spark: SparkSession, base: str, search: Search = Search(),

@@ -134,3 +134,20 @@ def test_job_defaults_tolerate_unmodifiable_settings():
     s = Session()
     apply_job_defaults(s)
     assert s.conf.values == {"spark.sql.session.timeZone": "UTC"}
+
+
+def test_keyset_pages_equal_offset_pages(spark):
+    s = detail.Search.of(keyword="red")
+    size, after, seen = 25, None, []
+    for page in range(1, 5):
+        by_offset = [tuple(r) for r in detail.sale_detail_page(spark, SF001, s, page, size).collect()]
+        by_key = detail.sale_detail_page_after(spark, SF001, s, after, size)
+        rows = [tuple(r[c] for c in detail.PAGE_ORDER) for r in by_key.collect()]
+        cols = by_key.columns
+        assert [tuple(r[cols.index(c)] for c in detail.PAGE_ORDER) for r in by_offset] == rows
+        after = rows[-1]
+        seen += rows
+    assert len(set(seen)) == len(seen)
+    plan = detail.sale_detail_page_after(spark, SF001, s, after, size)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=25," in plan
