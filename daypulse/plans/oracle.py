@@ -136,8 +136,8 @@ SELECT 'dau' AS id, dt, 'yesterday' AS series, hr, CAST(yesterday AS DOUBLE) AS
 UNION ALL
 SELECT 'dau' AS id, dt, 'today' AS series, hr, CAST(today AS DOUBLE) AS value FROM cmp""",
     "dau_hour_json": f"""WITH cmp AS ({_DAU_COMPARE})
-SELECT dt, to_json({{'yesterday': map_from_entries(list((hr, yesterday) ORDER BY hr)),
-                    'today': map_from_entries(list((hr, today) ORDER BY hr))}}) AS json
+SELECT dt, CAST(to_json({{'yesterday': map_from_entries(list((hr, yesterday) ORDER BY hr)),
+                         'today': map_from_entries(list((hr, today) ORDER BY hr))}}) AS VARCHAR) AS json
 FROM cmp GROUP BY dt""",
     "order_amount_total": f"""WITH {_PURCHASE}
 SELECT dt, CAST(sum(amount) AS DOUBLE) AS order_amount FROM p GROUP BY dt""",
@@ -176,7 +176,8 @@ SELECT dt, today, yesterday,
 FROM j""",
     "realtime_total": f"WITH {_CARDS}\nSELECT * FROM cards",
     "totals_json": f"""WITH {_CARDS}
-SELECT dt, to_json(list({{'id': id, 'name': name, 'value': CAST(value AS DECIMAL(18,2))}} ORDER BY ord)) AS json
+SELECT dt, CAST(to_json(list({{'id': id, 'name': name, 'value': CAST(value AS DECIMAL(18,2))}}
+                            ORDER BY ord)) AS VARCHAR) AS json
 FROM cards GROUP BY dt""",
     "latest_offsets": """WITH prog AS (
   SELECT 'app_start' AS topic, 'dau_group' AS grp, CAST(event_id % 4 AS INTEGER) AS partition,
