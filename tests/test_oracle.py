@@ -18,3 +18,14 @@ def test_query_matches_oracle(spark, duck, name):
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
+
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, duck, name):
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in queries()[name](spark, SF001).schema.fields}
+    rel = duck.sql(oracle_sql()[name])
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
