@@ -158,9 +158,10 @@ class DauBatchWriter:
         spark = batch.sparkSession
         facts = batch.persist()
         try:
-            # S6 + S8: overwrite this batch's folder, partitioned by event day
-            facts.write.mode("overwrite").partitionBy("dt").parquet(
-                _batch_dir(self.table_path, batch_id))
+            # S6 + S8: overwrite this batch's folder, partitioned by event day;
+            # the processing day is kept as a column (ingest_dt), not the key
+            (facts.withColumn("ingest_dt", F.date_format(F.current_date(), "yyyy-MM-dd"))
+             .write.mode("overwrite").partitionBy("dt").parquet(_batch_dir(self.table_path, batch_id)))
             if self.gold_path:
                 # The days touched by this batch -- bounded by the watermark
                 # (today and the days inside the lateness delay), so a short list
@@ -174,9 +175,12 @@ class DauBatchWriter:
 def read_facts(spark: SparkSession, table_path: str, days: list[str] | None = None) -> DataFrame:
     """Current fact rows: last version per (dt, mid) over all batch folders.
 
-    ``days`` prunes the ``dt`` partitions of every batch folder.
+    Columns: the 9 fact columns plus ``ingest_dt`` (processing day of the
+    batch that wrote the row).  ``days`` prunes the ``dt`` partitions of every
+    batch folder.
     """
-    schema = T.StructType(applog.FACT_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
+    schema = T.StructType(applog.FACT_SCHEMA.fields + [T.StructField("ingest_dt", T.StringType()),
+                                                       T.StructField("batch_id", T.LongType())])
     # explicit schema: partition values keep their declared types (dt stays a string)
     df = spark.read.schema(schema).option("basePath", table_path).parquet(table_path)
     if days is not None:

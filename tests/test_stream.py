@@ -301,3 +301,12 @@ def test_resume_options_from_progress(spark, tmp_path):
         "topic string, grp string, partition int, batch_id long, until_offset long").write.parquet(prog)
     o = resume_kafka_options(spark, prog, "b:9092", "app_start", "g")
     assert json.loads(o["startingOffsets"]) == {"app_start": {"0": 25, "1": 7}}
+
+
+def test_facts_keep_processing_day_column(spark):
+    from datetime import date
+    table = _scratch()
+    rows = [("1", "1", "0", "view", "3", "2024-01-01", "10", "00", 1704103200000)]
+    ds.DauBatchWriter(table)(spark.createDataFrame(rows, applog.FACT_SCHEMA), 3)
+    r = ds.read_facts(spark, table).first()
+    assert r.dt == "2024-01-01" and r.ingest_dt == date.today().isoformat()
