@@ -5,9 +5,10 @@ No table format with MERGE is available, so an upsert is a *batch folder*:
 rewrites the same folder, which makes the write idempotent), and the read
 view keeps, per key, the row of the highest (batch_id, tiebreak).
 
-"Last per key" is a hash aggregate of ``max(struct(batch_id, tiebreak, ...))``
--- it has a map-side partial step, so a key updated in a third of all rows is
-reduced before the shuffle (a ``row_number`` window would not be).
+"Last per key" is an aggregate of ``max(struct(batch_id, tiebreak, ...))``
+(partial + final; struct buffers plan as sort aggregates).  The map-side
+partial step reduces a key updated in a third of all rows before the shuffle,
+which a ``row_number`` window would not.
 """
 
 from __future__ import annotations
