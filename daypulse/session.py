@@ -101,3 +101,32 @@ def checkpoint_subdir(spark: SparkSession, name: str) -> str:
     """A named folder below the shared checkpoint dir (stream checkpoints, tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 128 << 20,
+                   max_split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run (set at submit time).
+
+    * scans: splits of at most ``max_split_bytes`` (``maxPartitionBytes``);
+    * shuffles: start from enough partitions that the largest exchange -- at
+      most the input size after projection -- lands near
+      ``target_partition_bytes`` per task, never fewer than 2 waves of cores;
+      AQE then coalesces small partitions to the advisory size and splits
+      skewed ones, so over-provisioning costs little and every task fits in
+      executor memory (sort/aggregate spill covers the rest).
+
+    Example: 100 TB on 1000 executors x 8 cores gives 819,200 initial shuffle
+    partitions of about 128 MB each.
+    """
+    shuffle = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
