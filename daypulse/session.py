@@ -104,22 +104,25 @@ def checkpoint_subdir(spark: SparkSession, name: str) -> str:
 
 
 def scale_settings(input_bytes: int, total_cores: int,
+                   shuffle_fraction: float = 0.1,
                    target_partition_bytes: int = 128 << 20,
                    max_split_bytes: int = 256 << 20) -> dict[str, str]:
     """Partition sizing for a cluster run (set at submit time).
 
     * scans: splits of at most ``max_split_bytes`` (``maxPartitionBytes``);
-    * shuffles: start from enough partitions that the largest exchange -- at
-      most the input size after projection -- lands near
-      ``target_partition_bytes`` per task, never fewer than 2 waves of cores;
-      AQE then coalesces small partitions to the advisory size and splits
-      skewed ones, so over-provisioning costs little and every task fits in
-      executor memory (sort/aggregate spill covers the rest).
-
-    Example: 100 TB on 1000 executors x 8 cores gives 819,200 initial shuffle
-    partitions of about 128 MB each.
+    * shuffles: the largest exchange is estimated as ``shuffle_fraction`` of
+      the input (queries here shuffle a few projected columns, mostly after a
+      partial aggregate), divided into ``target_partition_bytes`` pieces and
+      clamped to 2..20 waves of cores -- enough that every task fits in
+      executor memory, few enough that shuffle metadata (maps x reducers)
+      stays small.  AQE then coalesces small partitions to the advisory size
+      and splits skewed ones; sort / aggregate spill covers the rest.
+
+    Example: 100 TB on 1000 executors x 8 cores -> 81,920 initial shuffle
+    partitions of about 128 MB.
     """
-    shuffle = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    est = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
+    shuffle = min(max(est, 2 * total_cores), 20 * total_cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -156,7 +156,7 @@ def test_keyset_pages_equal_offset_pages(spark):
 def test_scale_settings_sizes_partitions():
     from daypulse.session import scale_settings
     s = scale_settings(100 * 2**40, 8000)
-    assert int(s["spark.sql.shuffle.partitions"]) == 819200
+    assert int(s["spark.sql.shuffle.partitions"]) == 81920
     assert s["spark.sql.adaptive.enabled"] == "true"
     small = scale_settings(10 * 2**20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
