@@ -49,6 +49,8 @@ def local_session(
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", driver_memory)
+        # catalog tables of local runs (tests) go to scratch space, not the cwd
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="daypulse-warehouse-"))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
