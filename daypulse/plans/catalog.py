@@ -62,8 +62,8 @@ def q_dau_first_seen(spark, base):
 
 
 def q_dau_detail(spark, base):
-    """F5 end to end: raw lines -> route -> parse -> first seen -> 9-column fact row."""
-    parsed = applog.parse_start_logs(td.raw_logs(spark, base), keep=("offset",))
+    """F5 end to end: start-topic lines -> parse -> first seen -> 9-column fact row."""
+    parsed = applog.parse_start_logs(td.start_topic_lines(spark, base), keep=("offset",))
     firsts = first_seen(parsed, tiebreak="offset", carry=("uid", "ar", "ch", "vc"))
     return firsts.select(*applog.FACT_COLUMNS)
 

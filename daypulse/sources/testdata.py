@@ -114,15 +114,19 @@ _LINE = (f"CASE WHEN event_type = '{START_EVENT}' THEN {_START_JSON} "
          f"ELSE {_EVENT_JSON} END")
 
 
-def raw_logs(spark: SparkSession, base: str) -> DataFrame:
+def raw_logs(spark: SparkSession, base: str, event_types: tuple[str, ...] | None = None) -> DataFrame:
     """Bus records derived from ``events``: partition, offset, batch_id, timestamp, value.
 
     Joins ``customer`` for the area code (left join: a user without a customer
     row gets no ``ar`` field).  One JSON line per event; see module docstring.
     The line is one SQL expression (a single projection to analyse and codegen).
+    ``event_types`` keeps only those events (pushed into the scan).
     """
+    ev = events(spark, base)
+    if event_types is not None:
+        ev = ev.filter(F.col("event_type").isin(list(event_types)))
     # JSON rendering is the heavy per-row work here: spread an under-split scan
-    ev = spread(events(spark, base), "event_id")
+    ev = spread(ev, "event_id")
     areas = read_table(spark, "customer", base).selectExpr(
         "c_custkey", "cast(c_nationkey AS string) AS ar")
     ev = ev.join(areas, ev["user_id"] == areas["c_custkey"], "left")
@@ -135,6 +139,11 @@ def raw_logs(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def start_topic_lines(spark: SparkSession, base: str) -> DataFrame:
+    """The lines the router sends to the start topic: what the DAU job consumes."""
+    return raw_logs(spark, base, event_types=(START_EVENT,))
+
+
 def stream_progress(spark: SparkSession, base: str) -> DataFrame:
     """Per-batch committed offsets (topic, grp, partition, batch_id, until_offset)."""
     ev = events(spark, base).select("event_id")
