@@ -83,8 +83,9 @@ def apply_job_defaults(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.  Only
-    when it is unset (local tests) do we create a scratch folder under /tmp.
+    On a cluster this setting points at shared storage and is used as is; if it
+    is unset there, this raises.  Only a local-mode session (tests) gets a
+    scratch folder under /tmp.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -93,7 +94,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
-    current = tempfile.mkdtemp(prefix="daypulse-ckpt-")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset: point it at shared storage "
+                         "(stream checkpoints and lineage cuts must survive executor loss)")
+    current = tempfile.mkdtemp(prefix="daypulse-ckpt-")  # local runs (tests) only
     spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
