@@ -310,3 +310,19 @@ def test_facts_keep_processing_day_column(spark):
     ds.DauBatchWriter(table)(spark.createDataFrame(rows, applog.FACT_SCHEMA), 3)
     r = ds.read_facts(spark, table).first()
     assert r.dt == "2024-01-01" and r.ingest_dt == date.today().isoformat()
+
+
+def test_first_event_stream_pre_aggregates_before_state(spark, line_dir):
+    """T4 collapses a hot device map-side: partial min below the state store."""
+    import contextlib
+    import io
+    q = ds.run_dau_stream(line_file_stream(spark, line_dir), _scratch(), _scratch(),
+                          mode="first_event", trigger="availableNow")
+    q.awaitTermination(300)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    plan = buf.getvalue()
+    assert "StateStoreSave" in plan
+    after_state = plan[plan.index("StateStoreRestore"):]
+    assert "partial_min" in after_state, plan
