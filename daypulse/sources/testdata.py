@@ -88,9 +88,15 @@ def purchases(spark: SparkSession, base: str, dates=None) -> DataFrame:
     )
 
 
-def activity(spark: SparkSession, base: str, dates=None) -> DataFrame:
-    """Start logs and timed orders in one frame: mid, ts (ms), is_start, amount."""
-    ev = events(spark, base, dates).filter(F.col("event_type").isin(START_EVENT, PURCHASE_EVENT))
+def activity(spark: SparkSession, base: str, dates=None, before: str | None = None) -> DataFrame:
+    """Start logs and timed orders in one frame: mid, ts (ms), is_start, amount.
+
+    ``before`` ('yyyy-MM-dd') keeps events earlier than that day, as a scan predicate.
+    """
+    ev = events(spark, base, dates)
+    if before is not None:
+        ev = ev.filter(F.col("ts") < F.to_timestamp_ntz(F.lit(before)))
+    ev = ev.filter(F.col("event_type").isin(START_EVENT, PURCHASE_EVENT))
     is_start = F.col("event_type") == START_EVENT
     return ev.select(
         F.col("user_id").cast("string").alias("mid"),

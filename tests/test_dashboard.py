@@ -1,0 +1,58 @@
+"""Endpoint functions: per-date answers equal the all-days queries for that date."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from daypulse.plans import catalog as c
+from daypulse.plans import dashboard as db
+from tests.conftest import SF001
+
+
+def test_realtime_total_for_a_date(spark):
+    date = "2024-01-07"
+    got = [(r.ord, r.id, r.value) for r in db.realtime_total(spark, SF001, date).orderBy("ord").collect()]
+    want = [(r.ord, r.id, r.value) for r in c.q_realtime_total(spark, SF001)
+            .filter(F.col("dt") == date).orderBy("ord").collect()]
+    assert got == want and len(got) == 3
+
+
+def test_realtime_total_empty_day_is_zero(spark):
+    got = [(r.id, r.value) for r in db.realtime_total(spark, SF001, "2030-01-01").orderBy("ord").collect()]
+    assert got == [("dau", 0.0), ("new_mid", 0.0), ("order_amount", 0.0)]
+
+
+def test_realtime_hour_for_a_date(spark):
+    date = "2024-01-07"
+    got = sorted((r.series, r.hr, r.value) for r in db.realtime_hour(spark, SF001, "dau", date).collect())
+    want = sorted((r.series, r.hr, r.value) for r in c.q_hour_series(spark, SF001)
+                  .filter(F.col("dt") == date).collect())
+    assert got == want and len(got) == 48
+    amt = db.realtime_hour(spark, SF001, "order_amount", date)
+    want_amt = c.q_order_amount_hour_compare(spark, SF001).filter(F.col("dt") == date)
+    assert sorted((r.hr, r.value) for r in amt.filter("series = 'today'").collect()) == \
+        sorted((r.hr, r.today) for r in want_amt.collect())
+    assert db.realtime_hour(spark, SF001, "nope", date).count() == 0
+
+
+def test_realtime_hour_reads_two_days_only(spark):
+    df = db.realtime_hour(spark, SF001, "dau", "2024-01-07")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pushed = [ln for ln in plan.splitlines() if "PushedFilters" in ln and "events" in ln][0]
+    assert "GreaterThanOrEqual(ts" in pushed
+
+
+def test_realtime_hour_json_and_empty_day(spark):
+    j = json.loads(db.realtime_hour_json(spark, SF001, "dau", "2024-01-07").first().json)
+    assert list(j) == ["yesterday", "today"] and len(j["today"]) == 24
+    empty = db.realtime_hour(spark, SF001, "dau", "2030-01-01").collect()
+    assert len(empty) == 48 and all(r.value == 0 for r in empty)
+
+
+def test_sale_detail_and_region_map(spark):
+    out = db.sale_detail(spark, SF001, date="", keyword="red", startpage=2, size=20, level="")
+    assert out["detail"].count() == 20
+    assert [tuple(r) for r in out["detail"].collect()] == \
+        [tuple(r) for r in c.q_sale_detail_page(spark, SF001).collect()]
+    m = db.region_map(spark, SF001)
+    assert m.count() == 25 and set(m.columns) == {"name", "value", "bin"}
