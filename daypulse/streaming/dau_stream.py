@@ -12,9 +12,10 @@ Checkpoints default to a folder below the cluster's shared
                        (device, event day) -> per micro-batch: upsert of the
                        fact rows, refresh of the day-level gold tables.
 
-Exactly-once: every sink write of micro-batch N overwrites the folder
-``batch_id=N`` only, so a batch re-run after a failure (lost executor, driver
-restart from the checkpoint) rewrites the same folder; state, offsets and the
+Exactly-once: every sink write of micro-batch N overwrites only the folders
+of batch N (``batch_id=N``, under ``dt=D`` for the facts), so a batch re-run
+after a failure (lost executor, driver restart from the checkpoint) rewrites
+the same folders; state, offsets and the
 batch id commit together in the query checkpoint (unlike the reference, which
 inserted into its device set before writing the sink and could lose records).
 
@@ -158,10 +159,14 @@ class DauBatchWriter:
         spark = batch.sparkSession
         facts = batch.persist()
         try:
-            # S6 + S8: overwrite this batch's folder, partitioned by event day;
-            # the processing day is kept as a column (ingest_dt), not the key
+            # S6 + S8: day-first layout dt=D/batch_id=N.  Dynamic overwrite
+            # replaces exactly this batch's (day, batch) folders, so a replay
+            # rewrites them and nothing else; a day read lists only its own
+            # folders.  The processing day is kept as a column, not the key.
             (facts.withColumn("ingest_dt", F.date_format(F.current_date(), "yyyy-MM-dd"))
-             .write.mode("overwrite").partitionBy("dt").parquet(_batch_dir(self.table_path, batch_id)))
+             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("dt", "batch_id").parquet(self.table_path))
             if self.gold_path:
                 # The days touched by this batch -- bounded by the watermark
                 # (today and the days inside the lateness delay), so a short list
@@ -176,8 +181,8 @@ def read_facts(spark: SparkSession, table_path: str, days: list[str] | None = No
     """Current fact rows: last version per (dt, mid) over all batch folders.
 
     Columns: the 9 fact columns plus ``ingest_dt`` (processing day of the
-    batch that wrote the row).  ``days`` prunes the ``dt`` partitions of every
-    batch folder.
+    batch that wrote the row).  ``days`` prunes the top-level ``dt``
+    partitions, so only those days' batch folders are listed and read.
     """
     schema = T.StructType(applog.FACT_SCHEMA.fields + [T.StructField("ingest_dt", T.StringType()),
                                                        T.StructField("batch_id", T.LongType())])

@@ -326,3 +326,17 @@ def test_first_event_stream_pre_aggregates_before_state(spark, line_dir):
     assert "StateStoreSave" in plan
     after_state = plan[plan.index("StateStoreRestore"):]
     assert "partial_min" in after_state, plan
+
+
+def test_fact_layout_is_day_first_and_day_reads_prune(spark):
+    table = _scratch()
+    w = ds.DauBatchWriter(table)
+    rows = lambda d, mid: [(mid, mid, "0", "view", "3", d, "10", "00", 1704103200000)]
+    w(spark.createDataFrame(rows("2024-01-01", "a") + rows("2024-01-02", "b"), applog.FACT_SCHEMA), 1)
+    w(spark.createDataFrame(rows("2024-01-02", "c"), applog.FACT_SCHEMA), 2)
+    assert sorted(os.listdir(os.path.join(table, "dt=2024-01-02"))) == ["batch_id=1", "batch_id=2"]
+    one = ds.read_facts(spark, table, days=["2024-01-01"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-01" in plan
+    assert [r.mid for r in one.collect()] == ["a"]
+    assert sorted(r.mid for r in ds.read_facts(spark, table).collect()) == ["a", "b", "c"]
