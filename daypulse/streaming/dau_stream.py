@@ -104,15 +104,23 @@ def _batch_dir(base: str, batch_id: int) -> str:
 
 
 def write_routes(routed: DataFrame, lines_path: str, batch_id: int) -> None:
-    """S4 sink: lines of one batch, one folder per route (the two topics plus rejects)."""
-    (routed.select("partition", "offset", "timestamp", "value", "route")
-     .write.mode("overwrite").partitionBy("route").parquet(_batch_dir(lines_path, batch_id)))
+    """S4 sink: lines per route (the two topics plus rejects), ``route=R/batch_id=N``.
+
+    Route-first, so a consumer of one route lists only that route's folders;
+    dynamic overwrite replaces exactly this batch's folders (idempotent).
+    """
+    (routed.select("partition", "offset", "timestamp", "value", "route",
+                   F.lit(int(batch_id)).cast("bigint").alias("batch_id"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("route", "batch_id").parquet(lines_path))
 
 
 def raw_archive(batch: DataFrame, archive_path: str, batch_id: int) -> None:
-    """S5 sink: raw lines unchanged, one text folder per ingest day (record time)."""
-    (batch.select("value", F.date_format("timestamp", "yyyy-MM-dd").alias("ingest_dt"))
-     .write.mode("overwrite").partitionBy("ingest_dt").text(_batch_dir(archive_path, batch_id)))
+    """S5 sink: raw lines unchanged as text, ``ingest_dt=D/batch_id=N`` (one tree per day)."""
+    (batch.select("value", F.date_format("timestamp", "yyyy-MM-dd").alias("ingest_dt"),
+                  F.lit(int(batch_id)).cast("bigint").alias("batch_id"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("ingest_dt", "batch_id").text(archive_path))
 
 
 def record_offsets(batch: DataFrame, progress_path: str, batch_id: int,

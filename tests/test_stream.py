@@ -340,3 +340,15 @@ def test_fact_layout_is_day_first_and_day_reads_prune(spark):
     assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-01" in plan
     assert [r.mid for r in one.collect()] == ["a"]
     assert sorted(r.mid for r in ds.read_facts(spark, table).collect()) == ["a", "b", "c"]
+
+
+def test_router_layout_route_and_day_first(spark, line_dir):
+    out = _scratch()
+    q = ds.run_router_stream(line_file_stream(spark, line_dir), out, _scratch(), trigger="availableNow")
+    q.awaitTermination(300)
+    routes = sorted(d for d in os.listdir(os.path.join(out, "lines")) if d.startswith("route="))
+    assert routes == ["route=event", "route=reject", "route=start"]
+    days = [d for d in os.listdir(os.path.join(out, "archive")) if d.startswith("ingest_dt=")]
+    assert days and all(os.listdir(os.path.join(out, "archive", d))[0].startswith("batch_id=") for d in days)
+    starts = spark.read.parquet(os.path.join(out, "lines", "route=start"))
+    assert starts.count() == spark.read.parquet(f"{SF0001}/events.parquet").filter("event_type = 'view'").count()
