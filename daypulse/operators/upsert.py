@@ -1,9 +1,9 @@
 """Idempotent upsert by key and consumer offsets.
 
 No table format with MERGE is available, so an upsert is a *batch folder*:
-``<table>/batch_id=N/`` is overwritten as a whole by micro-batch N (a replay
-rewrites the same folder, which makes the write idempotent), and the read
-view keeps, per key, the row of the highest (batch_id, tiebreak).
+the folders ``[dt=D/]batch_id=N`` of micro-batch N are overwritten as a whole
+(a replay rewrites the same folders, which makes the write idempotent), and
+the read view keeps, per key, the row of the highest (batch_id, tiebreak).
 
 "Last per key" is an aggregate of ``max(struct(batch_id, tiebreak, ...))``
 (partial + final; struct buffers plan as sort aggregates).  The map-side
@@ -13,8 +13,6 @@ which a ``row_number`` window would not.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,13 +30,17 @@ def latest_by_key(df: DataFrame, key: list[str] | str, order: list[str],
 
 def write_batch(df: DataFrame, table_path: str, batch_id: int,
                 partition_by: list[str] | None = None) -> str:
-    """S6 write: overwrite ``table_path/batch_id=N`` with this batch (idempotent on replay)."""
-    target = os.path.join(table_path, f"batch_id={int(batch_id)}")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
-    return target
+    """S6 write: replace this batch's folders (idempotent on replay).
+
+    Layout ``[<partition_by>=v/...]batch_id=N``: partition columns first, so a
+    read restricted on them (e.g. a day) lists only its own batch folders.
+    Dynamic overwrite replaces exactly the folders this batch writes.
+    """
+    cols = list(partition_by or []) + ["batch_id"]
+    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*cols).parquet(table_path))
+    return table_path
 
 
 def read_upsert_table(spark: SparkSession, table_path: str, key: list[str] | str,

@@ -238,3 +238,15 @@ def test_api_helpers(spark, tmp_path):
     assert set(bundle) == {"total", "stat_age", "stat_category", "detail"}
     assert bundle["detail"].count() == 10
     assert bundle["stat_age"].agg(F.sum("value")).first()[0] == bundle["total"].first().total
+
+
+def test_upsert_day_first_layout_and_day_read(spark, tmp_path):
+    import os
+    path = str(tmp_path / "u")
+    schema = "key long, event_id long, dt string"
+    write_batch(spark.createDataFrame([(1, 1, "2024-01-01"), (2, 2, "2024-01-02")], schema), path, 1, ["dt"])
+    write_batch(spark.createDataFrame([(2, 3, "2024-01-02")], schema), path, 2, ["dt"])
+    write_batch(spark.createDataFrame([(2, 3, "2024-01-02")], schema), path, 2, ["dt"])  # replay
+    assert sorted(os.listdir(os.path.join(path, "dt=2024-01-02"))) == ["batch_id=1", "batch_id=2"]
+    day = read_upsert_table(spark, path, ["dt", "key"], ["event_id"], dt="2024-01-02").collect()
+    assert [(r.key, r.event_id, r.batch_id) for r in day] == [(2, 3, 2)]
