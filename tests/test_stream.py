@@ -304,12 +304,12 @@ def test_resume_options_from_progress(spark, tmp_path):
 
 
 def test_facts_keep_processing_day_column(spark):
-    from datetime import date
+    from datetime import datetime, timezone
     table = _scratch()
     rows = [("1", "1", "0", "view", "3", "2024-01-01", "10", "00", 1704103200000)]
     ds.DauBatchWriter(table)(spark.createDataFrame(rows, applog.FACT_SCHEMA), 3)
     r = ds.read_facts(spark, table).first()
-    assert r.dt == "2024-01-01" and r.ingest_dt == date.today().isoformat()
+    assert r.dt == "2024-01-01" and r.ingest_dt == datetime.now(timezone.utc).date().isoformat()
 
 
 def test_first_event_stream_pre_aggregates_before_state(spark, line_dir):
