@@ -56,10 +56,16 @@ def parse_column(value: str = "value"):
     )
 
 
+def parsed_ok(parsed: str = "_log"):
+    """The line is valid JSON (the parsed struct exists and nothing went to the corrupt column)."""
+    j = F.col(parsed)
+    return j.isNotNull() & j[CORRUPT_COL].isNull()
+
+
 def with_route(raw: DataFrame, value: str = "value", parsed: str = "_log") -> DataFrame:
     """Add ``route`` (start / event / reject) and the parsed struct ``parsed``."""
     j = F.col(parsed)
-    bad = j.isNull() | j[CORRUPT_COL].isNotNull()
+    bad = ~parsed_ok(parsed)
     is_start = is_present(j["start"])
     complete = j["common"]["mid"].isNotNull() & j["ts"].isNotNull()
     route = (

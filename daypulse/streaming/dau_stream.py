@@ -147,10 +147,12 @@ class RouterBatchWriter:
         self.topic, self.group = topic, group
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        routed = applog.with_route(batch).drop("_log").persist()
+        routed = (applog.with_route(batch)
+                  .withColumn("parsed", applog.parsed_ok("_log")).drop("_log").persist())
         try:
-            write_routes(routed, self.lines, batch_id)
-            raw_archive(routed, self.archive, batch_id)
+            write_routes(routed.drop("parsed"), self.lines, batch_id)
+            # archive every accepted (parseable) line; unparseable ones stay in the reject route
+            raw_archive(routed.filter("parsed"), self.archive, batch_id)
             record_offsets(routed, self.progress, batch_id, self.topic, self.group)
         finally:
             routed.unpersist()
