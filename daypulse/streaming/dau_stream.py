@@ -132,18 +132,26 @@ def record_offsets(batch: DataFrame, progress_path: str, batch_id: int,
      .write.mode("overwrite").parquet(_batch_dir(progress_path, batch_id)))
 
 
+def record_route_counts(routed: DataFrame, stats_path: str, batch_id: int) -> None:
+    """Lines per route of this batch (rejects counted), ``batch_id=N``."""
+    (routed.groupBy("route").agg(F.count(F.lit(1)).alias("lines"))
+     .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").parquet(_batch_dir(stats_path, batch_id)))
+
+
 def read_progress(spark: SparkSession, progress_path: str) -> DataFrame:
     """The visible offset log: (topic, grp, partition, batch_id, until_offset)."""
     return spark.read.parquet(progress_path)
 
 
 class RouterBatchWriter:
-    """foreachBatch body of the router stream."""
+    """foreachBatch body of the router stream (S3, S4, S5; route counts for Q4)."""
 
     def __init__(self, out_base: str, topic: str, group: str):
         self.lines = os.path.join(out_base, "lines")
         self.archive = os.path.join(out_base, "archive")
         self.progress = os.path.join(out_base, "progress")
+        self.stats = os.path.join(out_base, "route_counts")
         self.topic, self.group = topic, group
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -153,6 +161,7 @@ class RouterBatchWriter:
             write_routes(routed.drop("parsed"), self.lines, batch_id)
             # archive every accepted (parseable) line; unparseable ones stay in the reject route
             raw_archive(routed.filter("parsed"), self.archive, batch_id)
+            record_route_counts(routed, self.stats, batch_id)
             record_offsets(routed, self.progress, batch_id, self.topic, self.group)
         finally:
             routed.unpersist()

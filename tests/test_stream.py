@@ -78,6 +78,8 @@ def test_router_stream_routes_archives_and_records_offsets(spark, line_dir, raw_
     accepted = [r["value"] for r in raw_rows if _is_json(r["value"])]
     assert len(accepted) < len(raw_rows)  # the malformed lines are not archived
     assert sorted(r[0] for r in archived.collect()) == sorted(accepted)
+    counts = spark.read.parquet(os.path.join(out, "route_counts")).groupBy("route").sum("lines")
+    assert {r[0]: r[1] for r in counts.collect()} == want  # rejects counted per batch
     prog = spark.read.parquet(os.path.join(out, "progress"))
     from daypulse.operators.upsert import latest_offsets
     latest = {r["partition"]: r["until_offset"] for r in latest_offsets(prog).collect()}
