@@ -67,10 +67,21 @@ def local_session(
 REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 
 
+_CONFIGURED: set[int] = set()
+
+
 def apply_job_defaults(spark: SparkSession) -> SparkSession:
-    """Pin the required settings; set the other defaults only where unset."""
+    """Pin the required settings; set the other defaults only where unset.
+
+    The defaults are applied once per session; the required settings are
+    re-checked on every call (one read) in case the caller changed them.
+    """
     for k, v in REQUIRED.items():
-        spark.conf.set(k, v)
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    if id(spark) in _CONFIGURED:
+        return spark
+    _CONFIGURED.add(id(spark))
     for k, v in JOB_DEFAULTS.items():
         try:
             if spark.conf.get(k, None) is None:
