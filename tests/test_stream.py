@@ -363,3 +363,18 @@ def test_router_layout_route_and_day_first(spark, line_dir):
     assert days and all(os.listdir(os.path.join(out, "archive", d))[0].startswith("batch_id=") for d in days)
     starts = spark.read.parquet(os.path.join(out, "lines", "route=start"))
     assert starts.count() == spark.read.parquet(f"{SF0001}/events.parquet").filter("event_type = 'view'").count()
+
+
+def test_router_then_dau_chain_equals_batch(spark, line_dir):
+    """Collector -> start topic -> DAU job: the DAU stream reads the router's start folder."""
+    out = _scratch()
+    q1 = ds.run_router_stream(line_file_stream(spark, line_dir), out, _scratch(), trigger="availableNow")
+    q1.awaitTermination(300)
+    start_lines = line_file_stream(spark, os.path.join(out, "lines", "route=start"), files_per_trigger=4)
+    table = _scratch()
+    q2 = ds.run_dau_stream(start_lines, table, _scratch(), mode="first_event", trigger="availableNow")
+    q2.awaitTermination(300)
+    facts = ds.read_facts(spark, table).select(*applog.FACT_COLUMNS)
+    batch = q_dau_detail(spark, SF0001)
+    assert facts.count() == batch.count()
+    assert facts.exceptAll(batch).count() == 0
