@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.operators import detail, metrics, region
+from daypulse.operators import detail, metrics, region, registry
 from daypulse.operators.dedup import first_seen
 from daypulse.sources import testdata as td
 
@@ -31,17 +31,26 @@ def _next(date: str) -> str:
     return (d.fromisoformat(date) + timedelta(days=1)).isoformat()
 
 
-def realtime_total(spark: SparkSession, base: str, date: str) -> DataFrame:
+def realtime_total(spark: SparkSession, base: str, date: str,
+                   registry_path: str | None = None) -> DataFrame:
     """``realtime-total?date=``: the three cards (ord, id, name, value) of one day.
 
-    DAU and amount need only that day; new devices need every earlier day to
-    know who was seen before, so activity is read up to the end of ``date``.
+    DAU and amount need only that day.  New devices need to know who was seen
+    before: with a device registry (``operators.registry``) that is one
+    registry partition and the whole call reads a single day; without one,
+    activity is read up to the end of ``date``.
     """
-    act = td.activity(spark, base, before=_next(date))
-    summary = metrics.daily_summary(act).filter(F.col("dt") == date)
     # a day without any activity still gets its three cards, valued 0
     day = spark.range(1).select(F.lit(date).alias("dt"))
-    return metrics.cards(day.join(summary, "dt", "left")).drop("dt")
+    if registry_path is None:
+        act = td.activity(spark, base, before=_next(date))
+        summary = metrics.daily_summary(act).filter(F.col("dt") == date)
+        return metrics.cards(day.join(summary, "dt", "left")).drop("dt")
+    dau = metrics.dau_total(td.start_logs(spark, base, dates=[date]))
+    amount = metrics.order_amount_total(td.purchases(spark, base, dates=[date]))
+    new = registry.new_devices_on(spark, registry_path, [date])
+    summary = day.join(dau, "dt", "left").join(new, "dt", "left").join(amount, "dt", "left")
+    return metrics.cards(summary).drop("dt")
 
 
 def realtime_hour(spark: SparkSession, base: str, metric_id: str, date: str) -> DataFrame:
