@@ -1,9 +1,9 @@
 """Registered queries: one per batch-testable operator of the inventory.
 
 Each query takes ``(spark, base)`` -- ``base`` is a folder of parquet tables --
-reads whole tables and computes the metric for every day present (the
-dashboard's per-date calls are the same functions with ``dates=[...]``).
-The matching DuckDB statement for each lives in ``daypulse.plans.oracle``.
+reads whole tables and computes the metric for every day present.  The
+dashboard's per-date calls are in ``daypulse.plans.dashboard``; the matching
+DuckDB statement for each query lives in ``daypulse.plans.oracle``.
 """
 
 from __future__ import annotations
