@@ -203,13 +203,40 @@ def read_facts(spark: SparkSession, table_path: str, days: list[str] | None = No
     batch that wrote the row).  ``days`` prunes the top-level ``dt``
     partitions, so only those days' batch folders are listed and read.
     """
+    # explicit schema inside: partition values keep their declared types (dt stays a string)
+    return read_facts_with_batch(spark, table_path, days).drop("batch_id")
+
+
+def compact_fact_days(spark: SparkSession, table_path: str, days: list[str]) -> None:
+    """Rewrite each final day's batch folders as one folder of current rows.
+
+    Run only for days older than the watermark (no batch writes them any
+    more).  The current view of the day is staged under ``_compact_stage``
+    (ignored by readers), then ``dt=D`` is overwritten from the stage -- a path
+    cannot be overwritten while it is being read.  The result keeps the
+    newest batch id, so later reads and upserts order the same way.
+    """
+    for day in days:
+        stage = os.path.join(table_path, "_compact_stage", f"dt={day}")
+        current = read_facts_with_batch(spark, table_path, [day]).drop("dt")
+        newest = current.agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            continue
+        (current.withColumn("batch_id", F.lit(int(newest)).cast("bigint"))
+         .write.mode("overwrite").partitionBy("batch_id").parquet(stage))
+        (spark.read.parquet(stage).write.mode("overwrite").partitionBy("batch_id")
+         .parquet(os.path.join(table_path, f"dt={day}")))
+
+
+def read_facts_with_batch(spark: SparkSession, table_path: str,
+                          days: list[str] | None = None) -> DataFrame:
+    """Like ``read_facts`` but keeps the batch id of each current row."""
     schema = T.StructType(applog.FACT_SCHEMA.fields + [T.StructField("ingest_dt", T.StringType()),
                                                        T.StructField("batch_id", T.LongType())])
-    # explicit schema: partition values keep their declared types (dt stays a string)
     df = spark.read.schema(schema).option("basePath", table_path).parquet(table_path)
     if days is not None:
         df = df.filter(F.col("dt").isin(days))
-    return latest_by_key(df, FACT_KEY, ["ts"]).drop("batch_id")
+    return latest_by_key(df, FACT_KEY, ["ts"])
 
 
 def refresh_gold(spark: SparkSession, table_path: str, gold_path: str, days: list[str]) -> None:

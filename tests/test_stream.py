@@ -378,3 +378,18 @@ def test_router_then_dau_chain_equals_batch(spark, line_dir):
     batch = q_dau_detail(spark, SF0001)
     assert facts.count() == batch.count()
     assert facts.exceptAll(batch).count() == 0
+
+
+def test_compact_final_day_keeps_current_rows(spark):
+    table = _scratch()
+    w = ds.DauBatchWriter(table)
+    row = lambda mid, hr, ts: (mid, mid, "0", "view", "3", "2024-01-01", hr, "00", ts)
+    w(spark.createDataFrame([row("a", "10", 1704103200000), row("b", "11", 1704106800000)], applog.FACT_SCHEMA), 1)
+    w(spark.createDataFrame([row("a", "09", 1704099600000)], applog.FACT_SCHEMA), 2)  # earlier launch of a
+    w(spark.createDataFrame([row("c", "12", 1704110400000)], applog.FACT_SCHEMA), 3)
+    before = sorted(map(tuple, ds.read_facts(spark, table).collect()))
+    ds.compact_fact_days(spark, table, ["2024-01-01"])
+    folders = [d for d in os.listdir(os.path.join(table, "dt=2024-01-01")) if d.startswith("batch_id=")]
+    assert folders == ["batch_id=3"]
+    after = sorted(map(tuple, ds.read_facts(spark, table).collect()))
+    assert after == before and len(after) == 3
