@@ -228,6 +228,21 @@ def compact_fact_days(spark: SparkSession, table_path: str, days: list[str]) ->
          .parquet(os.path.join(table_path, f"dt={day}")))
 
 
+def finalize_days(spark: SparkSession, table_path: str, registry_path: str,
+                  days: list[str]) -> None:
+    """Daily job for days past the watermark: register their new devices, compact their facts.
+
+    Days are processed in calendar order (the registry's "seen before" needs
+    the earlier days first); each step is idempotent, so a failed run is
+    simply re-run.
+    """
+    from daypulse.operators.registry import update_device_registry
+
+    for day in sorted(days):
+        update_device_registry(spark, read_facts(spark, table_path, [day]), registry_path, day)
+        compact_fact_days(spark, table_path, [day])
+
+
 def read_facts_with_batch(spark: SparkSession, table_path: str,
                           days: list[str] | None = None) -> DataFrame:
     """Like ``read_facts`` but keeps the batch id of each current row."""

@@ -393,3 +393,22 @@ def test_compact_final_day_keeps_current_rows(spark):
     assert folders == ["batch_id=3"]
     after = sorted(map(tuple, ds.read_facts(spark, table).collect()))
     assert after == before and len(after) == 3
+
+
+def test_finalize_days_registers_and_compacts(spark, line_dir):
+    from daypulse.operators import metrics
+    from daypulse.operators.registry import new_devices_on
+    table, reg = _scratch(), _scratch()
+    q = ds.run_dau_stream(line_file_stream(spark, line_dir), table, _scratch(),
+                          mode="first_event", trigger="availableNow")
+    q.awaitTermination(300)
+    before = sorted(map(tuple, ds.read_facts(spark, table).collect()))
+    days = sorted(r.dt for r in ds.read_facts(spark, table).select("dt").distinct().collect())[:-2]
+    ds.finalize_days(spark, table, reg, days)
+    ds.finalize_days(spark, table, reg, days)  # re-run: idempotent
+    assert sorted(map(tuple, ds.read_facts(spark, table).collect())) == before
+    for d in days:
+        assert len([x for x in os.listdir(os.path.join(table, f"dt={d}")) if x.startswith("batch_id=")]) == 1
+    got = {r.dt: r.new_mid for r in new_devices_on(spark, reg, days).collect()}
+    want = {r.dt: r.new_mid for r in metrics.new_devices(td.start_logs(spark, SF0001)).collect() if r.dt in days}
+    assert got == want
