@@ -60,10 +60,15 @@ def _money(c) -> F.Column:
 
 # --- A1 / A2 / A7 / A8 -----------------------------------------------------
 
-def dau_total(logs: DataFrame, key: str = "mid", dates=None) -> DataFrame:
-    """A1: distinct devices per day -> (dt, dau)."""
+def dau_total(logs: DataFrame, key: str = "mid", dates=None, approx: bool = False) -> DataFrame:
+    """A1: distinct devices per day -> (dt, dau).
+
+    ``approx=True`` uses HyperLogLog++ (fixed-size sketch per day, no per-device
+    shuffle) for very large days; the exact count is the default.
+    """
     df = _only(_with_dt(logs), dates)
-    return df.groupBy("dt").agg(F.countDistinct(key).alias("dau"))
+    agg = F.approx_count_distinct(key) if approx else F.countDistinct(key)
+    return df.groupBy("dt").agg(agg.alias("dau"))
 
 
 def dau_hour(firsts: DataFrame, dates=None) -> DataFrame:

@@ -99,3 +99,19 @@ def sale_detail(spark: SparkSession, base: str, date: str | None = None, keyword
 def region_map(spark: SparkSession, base: str) -> DataFrame:
     """Province map: (name, value, bin) for every region, legend bin included."""
     return region.region_bins(region.region_sales(spark, base))
+
+
+def activity_on(spark: SparkSession, base: str, date: str, registry_path: str) -> DataFrame:
+    """A16 for one date: (dau, known, activity) with known = devices registered up to ``date``.
+
+    Reads that day's start logs and the registry partitions up to ``date``
+    (device-level rows, not raw history).
+    """
+    dau = metrics.dau_total(td.start_logs(spark, base, dates=[date]))
+    known = (registry.read_registry(spark, registry_path).filter(F.col("first_dt") <= date)
+             .agg(F.count(F.lit(1)).alias("known")).withColumn("dt", F.lit(date)))
+    day = spark.range(1).select(F.lit(date).alias("dt"))
+    dau_v = F.coalesce(F.col("dau"), F.lit(0)).cast("bigint")
+    return day.join(dau, "dt", "left").join(known, "dt", "left").select(
+        dau_v.alias("dau"), "known",
+        F.try_divide(dau_v.cast("double"), F.col("known").cast("double")).alias("activity"))

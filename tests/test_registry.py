@@ -41,3 +41,23 @@ def test_realtime_total_with_registry_reads_one_day(spark):
     plan = fast._jdf.queryExecution().executedPlan().toString()
     scans = [ln for ln in plan.splitlines() if "PushedFilters" in ln and "events" in ln]
     assert scans and all("GreaterThanOrEqual(ts" in ln for ln in scans)
+
+
+def test_activity_on_date_matches_all_days(spark):
+    from daypulse.plans import dashboard as db
+    path = tempfile.mkdtemp(prefix="daypulse-registry-")
+    logs = td.start_logs(spark, SF0001).withColumn("dt", day_of_ms("ts"))
+    days = sorted(r.dt for r in logs.select("dt").distinct().collect())[:5]
+    for d in days:
+        update_device_registry(spark, logs.filter(F.col("dt") == d), path, d)
+    got = db.activity_on(spark, SF0001, days[-1], path).first()
+    want = [r for r in metrics.activity_rate(td.start_logs(spark, SF0001)).collect() if r.dt == days[-1]][0]
+    assert (got.dau, got.known, got.activity) == (want.dau, want.known, want.activity)
+
+
+def test_dau_total_approx_close(spark):
+    sl = td.start_logs(spark, SF0001)
+    exact = {r.dt: r.dau for r in metrics.dau_total(sl).collect()}
+    approx = {r.dt: r.dau for r in metrics.dau_total(sl, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(1, 0.1 * exact[k]) for k in exact)
