@@ -10,6 +10,11 @@ J2: D's distinct devices ``left_anti`` the registry's earlier partitions.  The
 result is written as partition ``first_dt=D`` with dynamic overwrite, and the
 earlier partitions alone are read (``first_dt < D``), so re-running day D is
 idempotent.  "New devices on D" is then a count of one partition.
+
+The daily anti join shuffles both sides on ``mid`` (a day's devices are not
+broadcastable at scale).  With billions of registered devices, store the
+registry bucketed by ``mid`` as well (``sources.layout.write_bucketed``), so
+the registry side is read in place and only the day's devices move.
 """
 
 from __future__ import annotations
