@@ -112,3 +112,22 @@ def test_daily_summary_and_activity(frames, logs):
     for d in sorted(dau):
         known += new.get(d, 0)
         assert act[d] == (len(dau[d]), known)
+
+
+def test_scalar_rules_against_python(spark):
+    from daypulse.functions import age_band, change_rate, value_bin
+    from daypulse.functions.scalar import AGE_BAND_LABELS
+    rng = np.random.default_rng(3)
+    vals = [int(x) for x in rng.integers(-50, 900, size=2000)]
+    prev = [int(x) for x in rng.integers(0, 5, size=2000)]
+    df = spark.createDataFrame(list(zip(vals, prev)), "v long, y long")
+    got = df.select("v", "y", age_band("v").alias("band"), value_bin("v").alias("bin"),
+                    change_rate("v", "y").alias("rate")).collect()
+
+    def band(a):
+        return AGE_BAND_LABELS[0] if a < 20 else AGE_BAND_LABELS[1] if a <= 30 else AGE_BAND_LABELS[2]
+
+    for r in got:
+        assert r.band == band(r.v)
+        assert r.bin == max(0, min(r.v // 100, 5))
+        assert r.rate == (None if r.y == 0 else (r.v - r.y) / r.y)
