@@ -116,3 +116,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     return fps.join(words, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("least").alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand for their group: doc_id is its component_id.
+
+    Rows with a null doc_id stay.  Of rows that repeat a doc_id all stay or go together.
+    """
+    found = near_duplicates(docs, shingle, max_bits)
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
+    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")

@@ -208,3 +208,16 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score under ``threshold``; no shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        weights, bias = sent.value
+        for b in batches:
+            yield b.filter(pa.array(scores(byte_texts(b.column(at)), weights, bias) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
