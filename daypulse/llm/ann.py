@@ -86,7 +86,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def search(
-    vectors: DataFrame, every: int = 20, k: int = 20, centroids: int = 64, share: float = 0.4, sample: int = 20_000
+    vectors: DataFrame, every: int = 20, k: int = 20, centroids: int = 64, share: float = 0.47, sample: int = 20_000
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row whose vec_id ``every`` divides.
 

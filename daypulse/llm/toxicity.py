@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from daypulse.llm.common import Words, byte_texts, chunks, labelled_sample
 
 BITS = 18
+#: A feature without weight.
+NOTHING = 3 << BITS
 #: Bytes of word beginnings that are features beside the whole word.
 BEGINNINGS = (4, 6)
 #: Words in a sentence at most; a longer one is cut.
@@ -24,6 +26,9 @@ LONGEST = 40
 #: Labelled documents of each class that the fit reads at most, and sentences of one of them.
 PER_CLASS, SENTENCES = 3000, 64
 
+#: Standard errors of a feature's log odds that count as chance.
+ERRORS = 3.0
+
 #: Identity terms, swapped within a row.
 IDENTITY_TERMS = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"),
@@ -60,7 +65,11 @@ def sentences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(new)
     place = np.arange(len(new)) - np.repeat(first, np.diff(np.append(first, len(new))))
     first = np.flatnonzero(place % LONGEST == 0)
-    return _features(words), first, words.doc[first]
+    f = _features(words)
+    same = np.zeros(len(f), bool)
+    same[1:] = (f[1:] == f[:-1]).all(axis=1)
+    f[same] = NOTHING  # a word said again and again counts once
+    return f, first, words.doc[first]
 
 
 def scores(texts: list[bytes], weights: np.ndarray, bias: float) -> np.ndarray:
@@ -108,7 +117,7 @@ def swaps(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80, penalty: float = 1.0) -> tuple[np.ndarray, float]:
     """Weights and bias from ``bags`` (features of each sentence), the document of each, and labels."""
-    size = 3 << BITS
+    size = NOTHING + 1
     weights, bias = np.zeros(size, np.float32), -2.0
     if not len(bags) or len(np.unique(y)) < 2:
         rate = float(np.mean(y)) if len(y) else 0.0
@@ -117,15 +126,24 @@ def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80
     lens = np.array([len(b) for b in bags])
     offs = np.cumsum(lens) - lens
     of_doc = np.repeat(doc, lens)
-    # start from the log odds of documents that hold a feature
-    pairs = np.unique(of_doc.astype(np.int64) * size + flat)
+    # start from the log odds of documents that hold a feature; what copies repeat (a word
+    # after the same word) counts once, and odds within their own error count nothing
+    word = flat[::3].astype(np.int64)
+    before = np.roll(word, 1)
+    before[offs // 3] = size
+    fresh = np.zeros(len(word), bool)
+    fresh[np.unique(word * (size + 1) + before, return_index=True)[1]] = True
+    fresh = np.repeat(fresh, 3)
+    pairs = np.unique(of_doc[fresh].astype(np.int64) * size + flat[fresh])
     held, where = pairs % size, pairs // size
-    pos = np.bincount(held[y[where] == 1], minlength=size)
-    neg = np.bincount(held[y[where] == 0], minlength=size)
+    pos = np.bincount(held[y[where] == 1], minlength=size) + 0.5
+    neg = np.bincount(held[y[where] == 0], minlength=size) + 0.5
     n1, n0 = y.sum(), len(y) - y.sum()
-    weights = (np.log((pos + 0.5) / (n1 + 1)) - np.log((neg + 0.5) / (n0 + 1))).astype(np.float32)
-    weights *= (pos + neg) / (pos + neg + 8.0)  # rare features say little
-    weights = np.clip(weights, -0.5, 4).astype(np.float32)
+    odds = np.log(pos / (n1 + 1)) - np.log(neg / (n0 + 1))
+    known = np.sign(odds) * np.maximum(0, np.abs(odds) - ERRORS * np.sqrt(1 / pos + 1 / neg))
+    weights = np.clip(known, -1, 4).astype(np.float32)
+    weights[NOTHING] = 0
+    told = weights != 0
     out, into = swaps(flat)
     first = np.flatnonzero(np.diff(doc, prepend=-1))
     ids = doc[first]
@@ -148,7 +166,7 @@ def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80
         np.add.at(grad, into.ravel(), np.repeat(push, 3))
         gone = out[:, 0] >= 0
         np.add.at(grad, out[gone].ravel(), -np.repeat(push[gone], 3))
-        grad += 1e-5 * weights
+        grad = np.where(told, grad, 0) + 1e-5 * weights
         square += grad**2
         weights = (weights - rate * grad / np.sqrt(square)).astype(np.float32)
         bias -= rate * err.sum()
