@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm import decontam, packing, simhash, toxicity
+from daypulse.llm import decontam, packing, pii, simhash, toxicity
 from daypulse.llm.common import table
 from daypulse.llm.tokenizers_path import vocabulary
 from daypulse.session import ensure_checkpoint_dir
@@ -40,8 +40,6 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with each span of personal data replaced by its kind; n_chars follows."""
-    from daypulse.llm import pii
-
     return pii.mask(docs, pii.train(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

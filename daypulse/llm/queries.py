@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm import ann, chat, decontam, packing, simhash, substring, toxicity, urlfilter
+from daypulse.llm import ann, chat, decontam, packing, pii, quality, simhash, substring, toxicity, urlfilter
 from daypulse.llm.common import id_remainder, table
 from daypulse.llm.tokenizers_path import vocabulary
 
@@ -17,6 +17,10 @@ RULES = [
 ]
 
 
+def _held_out(scored: DataFrame) -> DataFrame:
+    return scored.select("doc_id", (id_remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -29,6 +33,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return _held_out(quality.score(docs, model, threshold=0.3))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -41,10 +56,6 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def _held_out(scored: DataFrame) -> DataFrame:
-    return scored.select("doc_id", (id_remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
-
-
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -63,6 +74,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash, op2_url_filter, op3_packing, op6_substring_dedup, op7_ann, op8_decontamination, op9_toxicity, op10_chat_format)
+    for f in (
+        op1_simhash, op2_url_filter, op3_packing, op4_quality, op5_pii, op6_substring_dedup, op7_ann, op8_decontamination,
+        op9_toxicity, op10_chat_format,
+    )
 }
 ORACLE: dict[str, str] = {}
