@@ -67,7 +67,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lies = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
 
     span = F.least(F.size("test"), F.lit(WINDOW))
-    equal = F.transform("test", lambda x, i: F.coalesce((F.get("words", F.col("shift") + i) == x).cast("int"), F.lit(0)))
+    # the words are split once a row: as the one element of an array they are a variable of the inner functions
+    compared = F.transform(
+        F.array(words_of(F.col("text"))),
+        lambda w: F.transform("test", lambda x, i: F.coalesce((F.get(w, F.col("shift") + i) == x).cast("int"), F.lit(0))),
+    )
     count = F.transform(
         F.sequence(F.lit(0), F.size("equal") - F.col("span")),
         lambda s: F.struct(
@@ -78,8 +82,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     test = items.select("item_id", F.col("words").alias("test"))
     beside = (
         named.join(lies, "doc_id").join(test, "item_id")
-        .select("doc_id", "item_id", "shift", "test", words_of(F.col("text")).alias("words"))
-        .select("doc_id", "item_id", "shift", equal.alias("equal"), span.alias("span"))
+        .select("doc_id", "item_id", "shift", span.alias("span"), F.explode(compared).alias("equal"))
         .select("doc_id", "item_id", "span", F.array_max(count).alias("best"))
         .where(F.col("best.matched") >= F.ceil(F.lit(SHARE) * F.col("span")))
     )
