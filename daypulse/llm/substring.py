@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from daypulse.llm.common import SPACE, Words, byte_texts, chunks, mix
 
 #: Rows of one minimiser that a task holds before it deals them by window.
-CROWD = 20_000
+CROWD = 200_000
 #: Packed strings that a task remembers.
 MEMORY = 50_000
 
@@ -73,7 +73,12 @@ def minimisers(texts: list[bytes], k: int, m: int) -> tuple[np.ndarray, ...]:
 
 
 def _probe(k: int, m: int):
-    """Minimiser rows; ``sure`` marks those that repeat within the batch, of which one goes to the bucket and the rest anywhere."""
+    """Minimiser rows: key, low (the minimiser where key is not), doc_id, place.
+
+    place packs the first window, the number of windows and whether the
+    minimiser is sure to repeat (it does within the batch).  Of such rows one
+    goes to the minimiser's bucket and the others anywhere.
+    """
 
     def run(batches):
         for b in batches:
@@ -90,13 +95,15 @@ def _probe(k: int, m: int):
                 sure = (times[back] > 1) | again
                 lead = np.zeros(len(low), bool)
                 lead[one] = True
-                key = np.where(sure & ~lead, mix(low + np.arange(len(low), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), low)
+                away = sure & ~lead
+                key = np.where(away, mix(low + np.arange(len(low), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)), low)
+                place = start.astype(np.int64) << 32 | n.astype(np.int64) << 1 | sure
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(key.view(np.int64)), pa.array(low.view(np.int64)), pa.array(sure),
-                        pa.array(ids[doc].astype(np.int64)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)),
+                        pa.array(key.view(np.int64)), pa.array(low.view(np.int64), mask=~away),
+                        pa.array(ids[doc].astype(np.int64)), pa.array(place),
                     ],
-                    ["key", "low", "sure", "doc_id", "start", "n"],
+                    ["key", "low", "doc_id", "place"],
                 )
 
     return run
@@ -132,20 +139,30 @@ def _pack(k: int):
 def _settle(k: int, split: bool):
     """Rows sorted by key and place: ranges of repeated windows, and single windows of crowded keys."""
 
-    def ranges(rows, seen, emit):
+    def ranges(rows, seen, emit, often=None):
+        """Settle rows in order; ``often``: hashes of the only windows that can repeat."""
         for _, doc, start, n, packed in rows:
-            words, here, run = packed.split(b" "), start, None
+            words, run = packed.split(b" "), None
             for i in range(len(words) - k + 1):
-                window = b" ".join(words[i : i + k])
-                at = seen.setdefault(window, (doc, here + i))
-                if at < (doc, here + i):
-                    run = (run[0] if run else here + i, here + i)
+                window, here = b" ".join(words[i : i + k]), (doc, start + i)
+                again = (often is None or xxhash.xxh64_intdigest(window) in often) and seen.setdefault(window, here) < here
+                if again:
+                    run = (run[0] if run else start + i, start + i)
                 elif run:
                     emit((0, doc, run[0], run[1] - run[0] + 1, None))
                     run = None
             if run:
                 emit((0, doc, run[0], run[1] - run[0] + 1, None))
 
+    def frequent(rows):
+        """Hashes that more than one window of a large group has."""
+        hashes = np.array(
+            [xxhash.xxh64_intdigest(b" ".join(w[i : i + k])) for r in rows if (w := r[4].split(b" ")) for i in range(len(w) - k + 1)],
+            np.uint64,
+        )
+        found, times = np.unique(hashes, return_counts=True)
+        return set(found[times > 1].tolist())
+
     def scatter(rows, seen, emit):
         for _, doc, start, n, packed in rows:
             words = packed.split(b" ")
@@ -171,7 +188,7 @@ def _settle(k: int, split: bool):
 
         def close():
             if mode == "hold" and (len(group) > 1 or group and group[0][3] > 1):
-                ranges(group, {}, emit)
+                ranges(group, {}, emit, frequent(group) if len(group) > 1000 else None)
 
         for b in batches:
             for row in zip(*(b.column(i).to_pylist() for i in range(5))):
@@ -231,16 +248,25 @@ def _finish(k: int, with_text: bool):
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """The two columns; unaliased where no cast is needed, so that both joins read one exchange of the texts."""
+    have = dict(docs.dtypes)
+    want = {"doc_id": "bigint", "text": "string"}
+    return docs.select(*(F.col(c) if have[c] == t else F.col(c).cast(t).alias(c) for c, t in want.items()))
 
 
-def repeated_windows(docs: DataFrame, k: int = 20, m: int = 10) -> DataFrame:
+def repeated_windows(docs: DataFrame, k: int = 20, m: int = 7) -> DataFrame:
     """doc_id, start, n: runs of ``n`` windows from word ``start`` whose words also start earlier."""
     texts = _texts(docs).where("doc_id is not null")
-    lows = texts.mapInArrow(_probe(k, m), "key long, low long, sure boolean, doc_id long, start int, n int")
-    beside = Window.partitionBy("key").orderBy("doc_id", "start")
-    marks = lows.withColumn("twice", F.lag(F.lit(1)).over(beside).isNotNull() | F.lead(F.lit(1)).over(beside).isNotNull())
-    per_doc = marks.where("sure or twice").groupBy("doc_id").agg(F.collect_set(F.struct("low", "start", "n")).alias("marks"))
+    lows = texts.mapInArrow(_probe(k, m), "key long, low long, doc_id long, place long")
+    beside = Window.partitionBy("key").orderBy("doc_id", "place")
+    twice = F.lag(F.lit(1)).over(beside).isNotNull() | F.lead(F.lit(1)).over(beside).isNotNull()
+    sure = F.col("place").bitwiseAND(F.lit(1)) == 1
+    mark = F.struct(
+        F.coalesce("low", "key").alias("low"), F.shiftright("place", 32).cast("int").alias("start"),
+        F.shiftright(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)), 1).cast("int").alias("n"),
+    )
+    marks = lows.withColumn("twice", twice).where(sure | F.col("twice")).select("doc_id", mark.alias("mark"))
+    per_doc = marks.groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
     packed = texts.join(per_doc, "doc_id").select("doc_id", "text", "marks").mapInArrow(_pack(k), ROW)
 
     def bucketed(df):
@@ -250,7 +276,7 @@ def repeated_windows(docs: DataFrame, k: int = 20, m: int = 10) -> DataFrame:
     return bucketed(first).mapInArrow(_settle(k, False), ROW).select("doc_id", "start", "n")
 
 
-def remove_repeats(docs: DataFrame, k: int = 20, m: int = 10, with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = 20, m: int = 7, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept_text) of every row of ``docs`` (doc_id, text).
 
     A word goes if a window of ``k`` consecutive words that covers it also
