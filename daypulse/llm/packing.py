@@ -11,7 +11,9 @@ tasks look their items up in it.  Texts and tokens are never shuffled.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,9 @@ from pyspark.sql import functions as F
 
 from daypulse.llm.common import cut
 
-#: Different pieces of text whose ids a task keeps at most.
-CACHE = 200_000
+#: Different pieces of text whose ids a Python worker keeps at most (about 230 bytes each).
+CACHE = 800_000
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
 class Encoder:
@@ -42,7 +45,7 @@ class Encoder:
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in done]
+        return [array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes() for e in done]
 
     def __call__(self, text: str) -> bytes:
         if "  " in text:
@@ -59,6 +62,16 @@ class Encoder:
         return b"".join(map(known.__getitem__, parts))
 
 
+def shared_encoder(path: str) -> Encoder:
+    """The worker's encoder for ``path``: it lives as long as the Python worker, over all its tasks."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_shared_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def fill(counts: dict[int, int], room: int) -> dict[int, int]:
     """The fullest combination of at most ``counts`` items per length that fits into ``room``."""
     reach, steps, full = 1, [], (1 << (room + 1)) - 1
@@ -107,7 +120,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
     stop = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode, task, seen = Encoder(tokenizer_path), TaskContext.get().partitionId(), [0] * (capacity + 1)
+        encode, task, seen = shared_encoder(tokenizer_path), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for b in batches:
             cols = [[] for _ in range(6)]
             ids = b.column(0).to_pylist()
