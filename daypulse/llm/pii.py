@@ -23,7 +23,7 @@ from daypulse.llm.tagger import KINDS
 #: Length and step of the tagger's windows.
 WINDOW, STEP = 64, 32
 #: Documents that the fit reads at most, and windows of one of them.
-DOCS, WINDOWS = 4000, 4
+DOCS, WINDOWS = 12_000, 4
 #: Smallest mean probability of an added span.
 SURE = 0.9
 
@@ -109,11 +109,14 @@ def tagged_spans(texts: list[str], model: dict, batch: int = 2048) -> list[list[
     return out
 
 
-def _plausible(kind: int, span: str) -> bool:
-    digits = sum(c in "0123456789" for c in span)
-    if span != span.strip():
+def _plausible(kind: int, text: str, a: int, z: int) -> bool:
+    """Whether a tagged span is a whole token of its kind's size (a card also by its check digit)."""
+    span = text[a:z]
+    if span != span.strip() or text[max(0, a - 1) : a].isalnum() or text[z : z + 1].isalnum():
         return False
-    return ("@" in span[1:-1], span.count(".") == 3 and 4 <= digits <= 12, 13 <= digits <= 19, 9 <= digits <= 15)[kind]
+    digits = "".join(c for c in span if c in "0123456789")
+    n = len(digits)
+    return ("@" in span[1:-1], span.count(".") == 3 and 4 <= n <= 12, 13 <= n <= 19 and _luhn(digits), 9 <= n <= 15)[kind]
 
 
 def all_spans(texts: list[str], model: dict) -> list[tuple[list, list]]:
@@ -123,7 +126,7 @@ def all_spans(texts: list[str], model: dict) -> list[tuple[list, list]]:
         base = base_spans(text)
         added = [
             (k, a, z) for k, a, z, p in tagged
-            if p >= SURE and _plausible(k, text[a:z]) and not any(a < e and s < z for _, s, e in base)
+            if p >= SURE and _plausible(k, text, a, z) and not any(a < e and s < z for _, s, e in base)
         ]
         out.append((base, added))
     return out

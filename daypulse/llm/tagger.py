@@ -158,25 +158,23 @@ def gradients(model: dict, cls: np.ndarray, tags: np.ndarray):
     }
 
 
-def fit(cls: np.ndarray, tags: np.ndarray, rounds: int = 8, batch: int = 64, rate: float = 0.01) -> dict:
-    """The model from labelled windows, by Adam over shuffled batches; none give an untrained model that tags nothing."""
+def fit(cls: np.ndarray, tags: np.ndarray, steps: int = 500, batch: int = 64, rate: float = 0.02) -> dict:
+    """The model from labelled windows, by Adam in ``steps`` shuffled batches; none give an untrained model that tags nothing."""
     model, rng = new_model(), np.random.default_rng(5)
     if not len(cls):
         model["o"][0] = 50
         return model
-    m1, m2, step = {k: np.zeros_like(v) for k, v in model.items()}, {k: np.zeros_like(v) for k, v in model.items()}, 0
-    for r in range(rounds):
-        order = rng.permutation(len(cls))
-        for a in range(0, len(cls), batch):
-            own = order[a : a + batch]
-            _, grads = gradients(model, cls[own], tags[own])
-            norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
-            step += 1
-            pace = rate * (0.6**r) * min(1, 5 / (norm + 1e-9))
-            for k, g in grads.items():
-                m1[k] = 0.9 * m1[k] + 0.1 * g
-                m2[k] = 0.99 * m2[k] + 0.01 * g**2
-                model[k] = (model[k] - pace * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+    m1, m2 = ({k: np.zeros_like(v) for k, v in model.items()} for _ in range(2))
+    order = np.concatenate([rng.permutation(len(cls)) for _ in range(-(-steps * batch // len(cls)))])
+    for step in range(1, steps + 1):
+        own = order[(step - 1) * batch : step * batch]
+        _, grads = gradients(model, cls[own], tags[own])
+        norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
+        scale, pace = min(1, 5 / (norm + 1e-9)), rate * (1 - 0.95 * step / steps)
+        for k, g in grads.items():
+            m1[k] = 0.9 * m1[k] + 0.1 * scale * g
+            m2[k] = 0.99 * m2[k] + 0.01 * (scale * g) ** 2
+            model[k] = (model[k] - pace * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
     return model
 
 

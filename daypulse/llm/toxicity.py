@@ -27,7 +27,7 @@ LONGEST = 40
 PER_CLASS, SENTENCES = 3000, 64
 
 #: Standard errors of a feature's log odds that count as chance.
-ERRORS = 3.0
+ERRORS = 2.5
 
 #: Identity terms, swapped within a row.
 IDENTITY_TERMS = (
@@ -125,19 +125,20 @@ def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80
     flat = np.concatenate(bags)
     lens = np.array([len(b) for b in bags])
     offs = np.cumsum(lens) - lens
-    of_doc = np.repeat(doc, lens)
+    of_doc = np.repeat(doc.astype(np.int32), lens)
     # start from the log odds of documents that hold a feature; what copies repeat (a word
     # after the same word) counts once, and odds within their own error count nothing
-    word = flat[::3].astype(np.int64)
-    before = np.roll(word, 1)
+    before = np.roll(flat[::3], 1).astype(np.int64)
     before[offs // 3] = size
-    fresh = np.zeros(len(word), bool)
-    fresh[np.unique(word * (size + 1) + before, return_index=True)[1]] = True
-    fresh = np.repeat(fresh, 3)
-    pairs = np.unique(of_doc[fresh].astype(np.int64) * size + flat[fresh])
-    held, where = pairs % size, pairs // size
-    pos = np.bincount(held[y[where] == 1], minlength=size) + 0.5
-    neg = np.bincount(held[y[where] == 0], minlength=size) + 0.5
+    fresh = np.zeros(len(before), bool)
+    fresh[np.unique(flat[::3] * np.int64(size + 1) + before, return_index=True)[1]] = True
+    fresh, before = np.repeat(fresh, 3), None
+    seen = np.full((2, size), 0.5, np.float32)
+    ends = np.searchsorted(of_doc, np.arange(len(y) + 1))
+    for d in range(len(y)):
+        own = slice(ends[d], ends[d + 1])
+        seen[y[d], np.unique(flat[own][fresh[own]])] += 1
+    neg, pos = seen
     n1, n0 = y.sum(), len(y) - y.sum()
     odds = np.log(pos / (n1 + 1)) - np.log(neg / (n0 + 1))
     known = np.sign(odds) * np.maximum(0, np.abs(odds) - ERRORS * np.sqrt(1 / pos + 1 / neg))
@@ -145,6 +146,7 @@ def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80
     weights[NOTHING] = 0
     told = weights != 0
     out, into = swaps(flat)
+    weights[np.unique(into)] = 0  # identity terms start without weight
     first = np.flatnonzero(np.diff(doc, prepend=-1))
     ids = doc[first]
     rate, square = 0.2, np.full(size, 1e-3)
