@@ -79,4 +79,45 @@ QUERIES = {
         op9_toxicity, op10_chat_format,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_url_filter": """
+        WITH p AS (
+            SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), q AS (
+            SELECT page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+                   translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+            FROM p
+        ), r AS (
+            SELECT page_id, host, path, '.' || host AS h,
+                   CASE WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                        WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                        WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                        WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+            FROM q
+        )
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+                    WHEN rule IS NOT NULL THEN 'block'
+                    WHEN h LIKE '%.ads-%' OR h LIKE '%.adult-%' OR h LIKE '%.casino-%' OR h LIKE '%.cheap-pills%'
+                         OR h LIKE '%.free-bets%' OR h LIKE '%.spam-%' THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM r
+    """,
+    "op10_chat_format": """
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+        ), e AS (
+            SELECT *, row_number() OVER w AS n,
+                   sum(length('<|' || role || '|>' || chr(10) || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lb;')
+                              || '</s>' || chr(10))) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS stop
+            FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+               sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(CASE WHEN role = 'assistant' THEN stop ELSE 0 END)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
+}
