@@ -27,14 +27,14 @@ def first_seen(
     """Earliest row per (key, event day).
 
     Output: key, dt, hr, mi, ts, [tiebreak], *carry.  ``carry`` columns come
-    from the same (earliest) row.
+    from the same (earliest) row.  Rows without a key count as no device.
     """
     order = [F.col(ms_col).alias("ts")]
     if tiebreak:
         order.append(F.col(tiebreak).alias(tiebreak))
     order += [F.col(c).alias(c) for c in carry]
     first = (
-        logs.groupBy(F.col(key), day_of_ms(ms_col).alias("dt"))
+        logs.where(F.col(key).isNotNull()).groupBy(F.col(key), day_of_ms(ms_col).alias("dt"))
         .agg(F.min(F.struct(*order)).alias("f"))
     )
     rest = ([tiebreak] if tiebreak else []) + list(carry)

@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from daypulse.functions.scalar import age_band, share_pct
 from daypulse.functions.timeparts import day_string
-from daypulse.plans.parallelism import spread
 from daypulse.sources.tables import read_table
 
 WIDE_COLUMNS = (
@@ -113,12 +112,10 @@ def sale_detail_wide(spark: SparkSession, base: str, search: Search = Search(),
                      reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """The wide order-detail rows matching ``search``."""
     t = DetailTables(spark, base, search, reader)
-    # per-row work (three joins, key rendering) on an under-split parquet scan:
-    # spread it by the order key, which the first join then reuses.  Tables
-    # from a custom reader (bucketed layouts) keep their own partitioning.
-    lineitem = t.lineitem if reader else spread(t.lineitem, "l_orderkey")
+    # no repartition by the order key before the join: only an exchange that the
+    # planner adds itself can be split when one order holds many lines
     rows = (
-        lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     )

@@ -190,8 +190,8 @@ def order_amount_hour(purchases: DataFrame, dates=None) -> DataFrame:
 # --- A6 / A9 / A16 ---------------------------------------------------------
 
 def first_day(logs: DataFrame, key: str) -> DataFrame:
-    """Earliest day per key -> (key, dt)."""
-    return _with_dt(logs).groupBy(key).agg(F.min("dt").alias("dt"))
+    """Earliest day per key -> (key, dt); rows without a key count as none."""
+    return _with_dt(logs).where(F.col(key).isNotNull()).groupBy(key).agg(F.min("dt").alias("dt"))
 
 
 def new_devices(logs: DataFrame, key: str = "mid", out: str = "new_mid", dates=None) -> DataFrame:
@@ -212,7 +212,7 @@ def activity_rate(logs: DataFrame, key: str = "mid") -> DataFrame:
     calendar), a count per day, and a running total of new devices over the
     day-level table (one row per calendar day).
     """
-    per_kd = _with_dt(logs).select(key, "dt").distinct()
+    per_kd = _with_dt(logs).where(F.col(key).isNotNull()).select(key, "dt").distinct()
     first = F.min("dt").over(Window.partitionBy(key))
     per_day = per_kd.withColumn("first_dt", first).groupBy("dt").agg(
         F.count(F.lit(1)).alias("dau"),
@@ -269,6 +269,8 @@ def daily_summary(activity: DataFrame, key: str = "mid") -> DataFrame:
     per_kd = _with_dt(activity).groupBy(key, "dt").agg(
         F.max(F.col("is_start").cast("int")).alias("started"),
         F.sum(F.col("amount").cast(MONEY)).alias("amt"))
+    # amounts without a device count, devices without a key do not
+    per_kd = per_kd.withColumn("started", F.when(F.col(key).isNotNull(), F.col("started")))
     first = F.min(F.when(F.col("started") == 1, F.col("dt"))).over(Window.partitionBy(key))
     return (per_kd.withColumn("first_dt", first).groupBy("dt").agg(
         F.sum("started").cast("bigint").alias("dau"),

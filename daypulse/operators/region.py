@@ -6,12 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daypulse.functions.scalar import value_bin
-from daypulse.plans.broadcast import bounded_broadcast
 from daypulse.sources.tables import read_table
 
-# TPC-H fixes the nation dimension at 25 rows; the spine is broadcast only
-# after a bounded count confirms it stays under this many rows.
-MAX_REGION_ROWS = 10_000
 # Terms aggregation returns the top ten buckets by document count (fixed).
 DEFAULT_TERMS = 10
 
@@ -21,7 +17,8 @@ def region_sales(spark: SparkSession, base: str) -> DataFrame:
 
     Orders are pre-aggregated per customer (map-side partial aggregate, so a
     hot customer collapses early), joined to customer for the nation, summed
-    per nation, and right-joined to the nation spine (zero where no orders).
+    per nation, and joined to the nation spine (zero where no orders); the
+    planner broadcasts the aggregate if it stays small.
     """
     orders = read_table(spark, "orders", base).select(
         "o_custkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
@@ -30,9 +27,8 @@ def region_sales(spark: SparkSession, base: str) -> DataFrame:
     customer = read_table(spark, "customer", base).select("c_custkey", "c_nationkey")
     per_nation = (per_cust.join(customer, F.col("o_custkey") == F.col("c_custkey"))
                   .groupBy("c_nationkey").agg(F.sum("n").alias("n"), F.sum("amt").alias("amt")))
-    nation = bounded_broadcast(
-        read_table(spark, "nation", base).select("n_nationkey", "n_name"), MAX_REGION_ROWS)
-    out = per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "right")
+    nation = read_table(spark, "nation", base).select("n_nationkey", "n_name")
+    out = nation.join(per_nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return out.select(
         F.col("n_name").alias("name"),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("value"),

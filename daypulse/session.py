@@ -130,16 +130,15 @@ def scale_settings(input_bytes: int, total_cores: int,
     * shuffles: the largest exchange is estimated as ``shuffle_fraction`` of
       the input (queries here shuffle a few projected columns, mostly after a
       partial aggregate), divided into ``target_partition_bytes`` pieces and
-      clamped to 2..20 waves of cores -- enough that every task fits in
-      executor memory, few enough that shuffle metadata (maps x reducers)
-      stays small.  AQE then coalesces small partitions to the advisory size
+      at least 2 waves of cores, so that every task fits in executor
+      memory whatever the number of cores.  AQE then coalesces small partitions to the advisory size
       and splits skewed ones; sort / aggregate spill covers the rest.
 
     Example: 100 TB on 1000 executors x 8 cores -> 81,920 initial shuffle
     partitions of about 128 MB.
     """
     est = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
-    shuffle = min(max(est, 2 * total_cores), 20 * total_cores)
+    shuffle = max(est, 2 * total_cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -12,6 +12,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Tables of the supplied test data (fixed names).
 TABLES = (
@@ -24,10 +25,10 @@ def table_path(base: str, name: str) -> str:
     return os.path.join(base, f"{name}.parquet")
 
 
-# Resolved table DataFrames per (application, path, options): like a catalog
-# table, the schema and file listing are resolved once per session instead of
-# re-reading parquet footers on every query.  ``forget_tables`` refreshes.
-_RESOLVED: dict[tuple, DataFrame] = {}
+# Schemas per (application, path, options): parquet footers are read once per
+# session, while every read lists the files anew, so appended rows are seen.
+# ``forget_tables`` is for tables whose columns changed.
+_SCHEMAS: dict[tuple, StructType] = {}
 
 
 def _session_key(spark: SparkSession):
@@ -38,8 +39,8 @@ def _session_key(spark: SparkSession):
 
 
 def forget_tables() -> None:
-    """Drop resolved tables (call after the underlying files changed)."""
-    _RESOLVED.clear()
+    """Drop remembered schemas (call after a table's columns changed)."""
+    _SCHEMAS.clear()
 
 
 def read_table(
@@ -67,10 +68,11 @@ def read_table(
         if base is None:
             raise ValueError("parquet tables need a base folder")
         key = (_session_key(spark), table_path(base, name), tuple(sorted(options.items())))
-        df = _RESOLVED.get(key)
-        if df is None:
-            df = spark.read.options(**options).parquet(table_path(base, name))
-            _RESOLVED[key] = df
+        reader = spark.read.options(**options)
+        if key in _SCHEMAS:
+            reader = reader.schema(_SCHEMAS[key])
+        df = reader.parquet(table_path(base, name))
+        _SCHEMAS[key] = df.schema
     else:
         path = options.pop("path", None) or table_path(base or ".", name).replace(".parquet", f".{fmt}")
         df = spark.read.format(fmt).options(**options).load(path)
