@@ -2,12 +2,15 @@
 
 A log line is a JSON text.  A *start* log carries a non-empty ``start`` value
 and ``common.{mid,uid,ar,ch,vc}`` plus ``ts`` (epoch ms); any other valid JSON
-line is an *event* log.  Lines that are not JSON, or start logs without
-``common.mid`` or ``ts``, go to the *reject* route instead of failing the task.
-
-The line is parsed once with ``from_json`` into a declared schema; the
-``start`` field is declared STRING so that any JSON value (object, string,
-number) arrives as its text, and "present" means non-null and non-empty.
+line is an *event* log.  Lines that are not JSON, or start logs without a
+``common.mid`` or a usable ``ts``, go to the *reject* route instead of failing
+the task.
+
+A line is valid when ``try_parse_json`` accepts it, whatever the types of its
+fields: it is parsed once into a VARIANT and the fields are read from that as
+text, so a field of an unexpected type is NULL and never costs the line.
+``ts`` may be a number, a decimal or a quoted number.  A line that repeats a
+key within one object is not accepted by ``try_parse_json`` and is rejected.
 """
 
 from __future__ import annotations
@@ -24,22 +27,10 @@ ROUTE_START = "start"
 ROUTE_EVENT = "event"
 ROUTE_REJECT = "reject"
 
-CORRUPT_COL = "_corrupt_record"
-
-COMMON_SCHEMA = T.StructType([
-    T.StructField("mid", T.StringType()),
-    T.StructField("uid", T.StringType()),
-    T.StructField("ar", T.StringType()),
-    T.StructField("ch", T.StringType()),
-    T.StructField("vc", T.StringType()),
-])
+# Latest event time that can be rendered as a day: the end of year 9999, in epoch ms.
+MAX_TS = 253402300799999
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("common", COMMON_SCHEMA),
-    T.StructField("start", T.StringType()),
-    T.StructField("ts", T.LongType()),
-    T.StructField(CORRUPT_COL, T.StringType()),
-])
+COMMON_FIELDS = ("mid", "uid", "ar", "ch", "vc")
 
 # The flat fact row written per first launch (9 fields, in order).
 FACT_COLUMNS = ("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts")
@@ -49,32 +40,33 @@ FACT_SCHEMA = T.StructType(
 )
 
 
-def parse_column(value: str = "value"):
-    return F.from_json(
-        F.col(value), LOG_SCHEMA,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL},
-    )
+def _text(parsed: str, path: str):
+    """A field of the parsed line as text; NULL when absent, JSON null or below a non-object."""
+    return F.try_variant_get(F.col(parsed), path, "string")
+
+
+def event_ms(parsed: str = "_log"):
+    """``ts`` as epoch ms from a number, a decimal or a quoted number; else NULL."""
+    ms = _text(parsed, "$.ts").try_cast("decimal(38,6)").try_cast("bigint")
+    return F.when(ms.between(0, MAX_TS), ms)
 
 
 def parsed_ok(parsed: str = "_log"):
-    """The line is valid JSON (the parsed struct exists and nothing went to the corrupt column)."""
-    j = F.col(parsed)
-    return j.isNotNull() & j[CORRUPT_COL].isNull()
+    """The line is valid JSON."""
+    return F.col(parsed).isNotNull()
 
 
 def with_route(raw: DataFrame, value: str = "value", parsed: str = "_log") -> DataFrame:
-    """Add ``route`` (start / event / reject) and the parsed struct ``parsed``."""
-    j = F.col(parsed)
-    bad = ~parsed_ok(parsed)
-    is_start = is_present(j["start"])
-    complete = j["common"]["mid"].isNotNull() & j["ts"].isNotNull()
+    """Add ``route`` (start / event / reject) and the parsed line ``parsed`` (VARIANT)."""
+    is_start = is_present(_text(parsed, "$.start"))
+    complete = _text(parsed, "$.common.mid").isNotNull() & event_ms(parsed).isNotNull()
     route = (
-        F.when(bad, F.lit(ROUTE_REJECT))
+        F.when(~parsed_ok(parsed), F.lit(ROUTE_REJECT))
         .when(is_start & complete, F.lit(ROUTE_START))
         .when(is_start, F.lit(ROUTE_REJECT))
         .otherwise(F.lit(ROUTE_EVENT))
     )
-    return raw.select("*", parse_column(value).alias(parsed)).select("*", route.alias("route"))
+    return raw.select("*", F.try_parse_json(value).alias(parsed)).select("*", route.alias("route"))
 
 
 def route_logs(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -87,12 +79,8 @@ def parse_start_logs(raw: DataFrame, value: str = "value", keep: tuple[str, ...]
     routed = with_route(raw, value)
     return routed.filter(F.col("route") == ROUTE_START).select(
         *keep,
-        F.col("_log.common.mid").alias("mid"),
-        F.col("_log.common.uid").alias("uid"),
-        F.col("_log.common.ar").alias("ar"),
-        F.col("_log.common.ch").alias("ch"),
-        F.col("_log.common.vc").alias("vc"),
-        F.col("_log.ts").alias("ts"),
+        *[_text("_log", f"$.common.{c}").alias(c) for c in COMMON_FIELDS],
+        event_ms("_log").alias("ts"),
     )
 
 

@@ -15,7 +15,9 @@ database.  The test tables stand in for them:
                     until offset ``event_id + 1``
 * raw log lines  <- every event rendered as JSON text; ``view`` rows carry a
                     ``start`` object, ``error`` rows are cut short (malformed
-                    text, exercising the reject route), the rest are event logs.
+                    text, exercising the reject route), the rest are event logs;
+                    some lines have a quoted or decimal ``ts`` or a ``common``
+                    that is no object.
 
 Everything here is a lazy DataFrame over the tables, so work grows with them.
 """
@@ -37,7 +39,6 @@ MALFORMED_EVENT = "error"
 OFFSET_PARTITIONS = 4
 BATCH_SIZE = 1000
 START_TOPIC = "app_start"
-EVENT_TOPIC = "app_event"
 CONSUMER_GROUP = "dau_group"
 MONEY = "decimal(18,2)"
 
@@ -62,14 +63,6 @@ def start_logs(spark: SparkSession, base: str, dates=None) -> DataFrame:
     )
 
 
-def user_areas(spark: SparkSession, base: str) -> DataFrame:
-    """uid -> ar lookup (one row per customer)."""
-    return read_table(spark, "customer", base).select(
-        F.col("c_custkey").cast("string").alias("uid"),
-        F.col("c_nationkey").cast("string").alias("ar"),
-    )
-
-
 def signups(spark: SparkSession, base: str, dates=None) -> DataFrame:
     """New-user events: event_id, uid, ts (ms)."""
     ev = events(spark, base, dates).filter(F.col("event_type") == SIGNUP_EVENT)
@@ -110,10 +103,24 @@ def activity(spark: SparkSession, base: str, dates=None, before: str | None = No
 _COMMON = ("named_struct('mid', cast(user_id AS string), 'uid', cast(user_id AS string), "
            "'ar', ar, 'ch', event_type, 'vc', get_json_object(props, '$.k'))")
 _TS_MS = "unix_millis(cast(ts AS timestamp))"
-_START_JSON = (f"to_json(named_struct('common', {_COMMON}, "
-               f"'start', named_struct('entry', 'icon'), 'ts', {_TS_MS}))")
-_EVENT_JSON = (f"to_json(named_struct('common', {_COMMON}, "
-               f"'page', named_struct('page_id', event_type), 'ts', {_TS_MS}))")
+
+
+def _start_json(ts: str) -> str:
+    return (f"to_json(named_struct('common', {_COMMON}, "
+            f"'start', named_struct('entry', 'icon'), 'ts', {ts}))")
+
+
+def _event_json(common: str) -> str:
+    return (f"to_json(named_struct('common', {common}, "
+            f"'page', named_struct('page_id', event_type), 'ts', {_TS_MS}))")
+
+
+# Some clients send the time quoted or as a decimal, or a field of another type.
+_START_JSON = (f"CASE event_id % 7 WHEN 3 THEN {_start_json(f'cast({_TS_MS} AS string)')} "
+               f"WHEN 5 THEN {_start_json(f'cast({_TS_MS} AS decimal(18,1))')} "
+               f"ELSE {_start_json(_TS_MS)} END")
+_EVENT_JSON = (f"CASE event_id % 5 WHEN 2 THEN {_event_json('event_type')} "
+               f"WHEN 4 THEN {_event_json('array(event_type)')} ELSE {_event_json(_COMMON)} END")
 # malformed line: the event log with its closing brace cut off
 _LINE = (f"CASE WHEN event_type = '{START_EVENT}' THEN {_START_JSON} "
          f"WHEN event_type = '{MALFORMED_EVENT}' THEN regexp_replace({_EVENT_JSON}, '}}$', '') "

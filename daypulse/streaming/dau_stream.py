@@ -28,9 +28,16 @@ Dedup flavours
   day arrives, so the hour is that of the earliest event (equal to the batch
   ``first_seen``).  The sink upserts on (dt, mid).
 
-Late data (T5): the watermark is ``2 days`` on the *day* column, so rows of
-yesterday are still deduplicated against their own day while today runs, and
-anything older is dropped (counted in ``numRowsDroppedByWatermark``).
+Late data (T5): no row is dropped for its time.  Before the state, each row is
+classed by its event day against the day on which the broker received it:
+``in_time`` rows go through the state; ``late`` rows (more than ``LATE_DAYS``
+behind) skip it and are upserted into their own day, where the read view keeps
+the earliest launch per (dt, mid); ``future`` rows (more than a day ahead, a
+wrong clock) go to a quarantine table and never move the watermark.  Rows
+without a broker time count as in time.  The watermark only bounds the state:
+at ``STATE_DELAY`` it leaves partitions that are read unevenly five days of
+slack beyond ``LATE_DAYS``; a row behind that shows in
+``numRowsDroppedByWatermark``.
 """
 
 from __future__ import annotations
@@ -46,11 +53,24 @@ from daypulse.operators import metrics
 from daypulse.operators.upsert import latest_by_key
 from daypulse.session import checkpoint_subdir
 from daypulse.sources import applog
+from daypulse.sources.paths import partition_values, read_days, remove
 
 # Fixed streaming settings.
 BATCH_INTERVAL = "5 seconds"          # T1: micro-batch interval
-LATE_DELAY = "2 days"                  # T5: watermark delay on the event day
+LATE_DAYS = 2                          # T5: days behind the broker's day that go through the state
+STATE_DELAY = "7 days"                 # T5: watermark delay on the event day (bounds the state)
+MERGE_EVERY = 100                      # S8: batches after which the days in work are merged
+GOLD_DAYS = 31                         # T7: days refreshed by one job
 FACT_KEY = ["dt", "mid"]
+FACT_TABLE_SCHEMA = T.StructType(applog.FACT_SCHEMA.fields + [
+    T.StructField("ingest_dt", T.StringType()), T.StructField("batch_id", T.LongType())])
+HOURLY_SCHEMA = T.StructType([
+    T.StructField("dt", T.StringType()), T.StructField("hr", T.StringType()),
+    T.StructField("launches", T.LongType()), T.StructField("late", T.BooleanType()),
+    T.StructField("batch_id", T.LongType())])
+# Classes of arrival, and the kinds of row a micro-batch hands to its writer.
+IN_TIME, LATE, FUTURE = "in_time", "late", "future"
+OFFSET = "offset"
 
 
 # --- stream transformations ----------------------------------------------------
@@ -61,18 +81,25 @@ def with_event_day(start: DataFrame, ms_col: str = "ts") -> DataFrame:
     return start.withColumn("event_time", et).withColumn("day", F.date_trunc("day", et))
 
 
-def late_policy(start: DataFrame, delay: str = LATE_DELAY) -> DataFrame:
-    """T5: watermark on the event day; rows older than ``newest day - delay`` are dropped."""
+def arrival_class(ms_col: str = "ts", broker_col: str = "timestamp"):
+    """T5: ``in_time``, ``late`` or ``future`` by event day against the broker's day."""
+    ahead = F.date_diff(F.to_date(F.timestamp_millis(ms_col)), F.to_date(broker_col))
+    return (F.when(ahead > 1, F.lit(FUTURE)).when(ahead < -LATE_DAYS, F.lit(LATE))
+            .otherwise(F.lit(IN_TIME)))
+
+
+def late_policy(start: DataFrame, delay: str = STATE_DELAY) -> DataFrame:
+    """T5: watermark on the event day; the state of days behind it is released."""
     return with_event_day(start).withWatermark("day", delay)
 
 
-def dedup_first_arrival(start: DataFrame, delay: str = LATE_DELAY) -> DataFrame:
+def dedup_first_arrival(start: DataFrame, delay: str = STATE_DELAY) -> DataFrame:
     """First arrival per (mid, event day) -> fact columns; append mode."""
     kept = late_policy(start, delay).dropDuplicates(["mid", "day"])
     return _fact_columns(kept)
 
 
-def dedup_first_event(start: DataFrame, delay: str = LATE_DELAY,
+def dedup_first_event(start: DataFrame, delay: str = STATE_DELAY,
                       tiebreak: str = "offset") -> DataFrame:
     """T4: earliest event per (mid, event day) -> fact columns; update mode."""
     carry = [c for c in ("uid", "ar", "ch", "vc") if c in start.columns]
@@ -83,13 +110,13 @@ def dedup_first_event(start: DataFrame, delay: str = LATE_DELAY,
     return _fact_columns(firsts)
 
 
-def _fact_columns(df: DataFrame) -> DataFrame:
+def _fact_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     out = (df.withColumn("dt", day_of_ms("ts")).withColumn("hr", hour_of_ms("ts"))
            .withColumn("mi", minute_of_ms("ts")))
     for c in ("uid", "ar", "ch", "vc"):
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast("string"))
-    return out.select(*applog.FACT_COLUMNS)
+    return out.select(*applog.FACT_COLUMNS, *keep)
 
 
 def observed(df: DataFrame, name: str) -> DataFrame:
@@ -159,7 +186,7 @@ class RouterBatchWriter:
                   .withColumn("parsed", applog.parsed_ok("_log")).drop("_log").persist())
         try:
             write_routes(routed.drop("parsed"), self.lines, batch_id)
-            # archive every accepted (parseable) line; unparseable ones stay in the reject route
+            # archive every valid line; invalid ones stay in the reject route
             raw_archive(routed.filter("parsed"), self.archive, batch_id)
             record_route_counts(routed, self.stats, batch_id)
             record_offsets(routed, self.progress, batch_id, self.topic, self.group)
@@ -168,73 +195,125 @@ class RouterBatchWriter:
 
 
 class DauBatchWriter:
-    """foreachBatch body of the DAU stream."""
+    """foreachBatch body of the DAU stream.
 
-    def __init__(self, table_path: str, gold_path: str | None = None):
+    Rows carry a ``kind``: the state's output (``in_time``), ``late`` rows,
+    ``future`` rows, and one ``offset`` row per input line when offsets are
+    recorded.  Frames without ``kind`` are fact rows.
+    """
+
+    def __init__(self, table_path: str, gold_path: str | None = None,
+                 quarantine_path: str | None = None, progress_path: str | None = None,
+                 topic: str | None = None, group: str | None = None,
+                 merge_every: int = MERGE_EVERY):
         self.table_path = table_path
         self.gold_path = gold_path
+        self.quarantine_path = quarantine_path or table_path.rstrip("/") + "_quarantine"
+        self.progress_path, self.topic, self.group = progress_path, topic, group
+        self.merge_every = merge_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        facts = batch.persist()
+        rows = (batch if "kind" in batch.columns
+                else batch.withColumn("kind", F.lit(IN_TIME))).persist()
         try:
-            # S6 + S8: day-first layout dt=D/batch_id=N.  Dynamic overwrite
-            # replaces exactly this batch's (day, batch) folders, so a replay
-            # rewrites them and nothing else; a day read lists only its own
-            # folders.  The processing day is kept as a column, not the key.
-            (facts.withColumn("ingest_dt", F.date_format(F.current_date(), "yyyy-MM-dd"))
-             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("dt", "batch_id").parquet(self.table_path))
+            # one row per kind and calendar day
+            found = [(r.kind, r.dt) for r in rows.filter(F.col("kind") != OFFSET)
+                     .select("kind", "dt").distinct().collect()]
+            days = sorted({dt for kind, dt in found if kind != FUTURE})
+            if days:
+                self._write_facts(rows, batch_id)
+            if any(kind == FUTURE for kind, _ in found):
+                _write_days(rows.filter(F.col("kind") == FUTURE).select(*applog.FACT_COLUMNS),
+                            self.quarantine_path, batch_id)
+            if self.merge_every and (batch_id + 1) % self.merge_every == 0:
+                # no other writer touches the table while this batch runs
+                compact_fact_days(spark, self.table_path, days)
             if self.gold_path:
-                # The days touched by this batch -- bounded by the watermark
-                # (today and the days inside the lateness delay), so a short list
-                days = [r[0] for r in facts.select("dt").distinct().collect()]
-                if days:
-                    refresh_gold(spark, self.table_path, self.gold_path, days)
+                for i in range(0, len(days), GOLD_DAYS):
+                    refresh_gold(spark, self.table_path, self.gold_path, days[i:i + GOLD_DAYS])
+            if self.progress_path:  # S3: after the sinks
+                record_offsets(rows.filter(F.col("kind") == OFFSET), self.progress_path,
+                               batch_id, self.topic, self.group)
         finally:
-            facts.unpersist()
+            rows.unpersist()
+
+    def _write_facts(self, rows: DataFrame, batch_id: int) -> None:
+        """S6 + S8: day-first layout ``dt=D/batch_id=N``.
+
+        A replay rewrites exactly this batch's folders; the processing day is
+        a column, not the key.  Late rows shrink to one per device and day first.
+        """
+        cols = list(applog.FACT_COLUMNS)
+        late = _earliest(rows.filter(F.col("kind") == LATE).select(*cols), ["ts"])
+        facts = rows.filter(F.col("kind") == IN_TIME).select(*cols).unionByName(late)
+        _write_days(facts.withColumn("ingest_dt", F.date_format(F.current_date(), "yyyy-MM-dd")),
+                    self.table_path, batch_id)
+
+
+def _write_days(df: DataFrame, path: str, batch_id: int) -> None:
+    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dt", "batch_id").parquet(path))
+
+
+def _earliest(df: DataFrame, order: list) -> DataFrame:
+    """Per (dt, mid) the row with the smallest ``order``, with a map-side partial step."""
+    rest = [c for c in df.columns if c not in FACT_KEY]
+    packed = F.struct(*[F.col(c).alias(f"_o{i}") if isinstance(c, str) else c.alias(f"_o{i}")
+                        for i, c in enumerate(order)], *[F.col(c) for c in rest])
+    first = df.groupBy(*FACT_KEY).agg(F.min(packed).alias("_f"))
+    return first.select(*[F.col(c) if c in FACT_KEY else F.col(f"_f.{c}").alias(c)
+                          for c in df.columns])
 
 
 def read_facts(spark: SparkSession, table_path: str, days: list[str] | None = None) -> DataFrame:
-    """Current fact rows: last version per (dt, mid) over all batch folders.
+    """Current fact rows: the earliest launch per (dt, mid) over all batch folders.
 
     Columns: the 9 fact columns plus ``ingest_dt`` (processing day of the
-    batch that wrote the row).  ``days`` prunes the top-level ``dt``
-    partitions, so only those days' batch folders are listed and read.
+    batch that wrote the row).  With ``days`` only those days' folders are
+    listed and read; a day that was never written has no rows.  Rows of equal
+    time: the one of the later batch counts (the state corrected it).
     """
-    # explicit schema inside: partition values keep their declared types (dt stays a string)
-    return read_facts_with_batch(spark, table_path, days).drop("batch_id")
+    # explicit schema: partition values keep their declared types (dt stays a string)
+    df = read_days(spark, table_path, FACT_TABLE_SCHEMA, days)
+    return _earliest(df, ["ts", -F.col("batch_id")]).drop("batch_id")
 
 
 def compact_fact_days(spark: SparkSession, table_path: str, days: list[str]) -> None:
-    """Rewrite each final day's batch folders as one folder of current rows.
-
-    Run only for days older than the watermark (no batch writes them any
-    more).  The current view of the day is staged under ``_compact_stage``
-    (ignored by readers), then ``dt=D`` is overwritten from the stage -- a path
-    cannot be overwritten while it is being read.  The result keeps the
-    newest batch id, so later reads and upserts order the same way.
+    """Merge each day's batch folders into one folder of current rows.
+
+    The merged rows go into a *new* folder (a negative batch id, which no
+    stream batch has and which none of the day's folders uses); only after
+    their count is checked are the folders that were read removed.  The read
+    view keeps one row per (dt, mid), so every intermediate state -- a partly
+    written new folder, both present, some old ones removed -- reads the same,
+    and a failed run is simply repeated.
     """
     for day in days:
-        stage = os.path.join(table_path, "_compact_stage", f"dt={day}")
-        current = read_facts_with_batch(spark, table_path, [day]).drop("dt")
-        newest = current.agg(F.max("batch_id")).first()[0]
-        if newest is None:
+        folder = os.path.join(table_path, f"dt={day}")
+        ids = [int(v) for v in partition_values(spark, folder, "batch_id")]
+        if len(ids) < 2:
             continue
-        (current.withColumn("batch_id", F.lit(int(newest)).cast("bigint"))
-         .write.mode("overwrite").partitionBy("batch_id").parquet(stage))
-        (spark.read.parquet(stage).write.mode("overwrite").partitionBy("batch_id")
-         .parquet(os.path.join(table_path, f"dt={day}")))
+        merged = min(0, *ids) - 1
+        current = read_facts(spark, table_path, [day])
+        target = os.path.join(folder, f"batch_id={merged}")
+        current.drop("dt").write.mode("overwrite").parquet(target)
+        written, expected = spark.read.parquet(target).count(), current.count()
+        if written < expected:  # the day may shrink to fewer folders, never to fewer rows
+            raise RuntimeError(f"merge of {folder}: {written} rows written, {expected} expected")
+        for i in ids:
+            remove(spark, os.path.join(folder, f"batch_id={i}"))
 
 
 def finalize_days(spark: SparkSession, table_path: str, registry_path: str,
                   days: list[str]) -> None:
-    """Daily job for days past the watermark: register their new devices, compact their facts.
+    """Daily job: register the new devices of past days, compact their facts.
 
     Days are processed in calendar order (the registry's "seen before" needs
     the earlier days first); each step is idempotent, so a failed run is
-    simply re-run.
+    simply re-run.  When late rows reach a day that was finalized, finalize
+    it and the days after it again.
     """
     from daypulse.operators.registry import update_device_registry
 
@@ -243,24 +322,26 @@ def finalize_days(spark: SparkSession, table_path: str, registry_path: str,
         compact_fact_days(spark, table_path, [day])
 
 
-def read_facts_with_batch(spark: SparkSession, table_path: str,
-                          days: list[str] | None = None) -> DataFrame:
-    """Like ``read_facts`` but keeps the batch id of each current row."""
-    schema = T.StructType(applog.FACT_SCHEMA.fields + [T.StructField("ingest_dt", T.StringType()),
-                                                       T.StructField("batch_id", T.LongType())])
-    df = spark.read.schema(schema).option("basePath", table_path).parquet(table_path)
-    if days is not None:
-        df = df.filter(F.col("dt").isin(days))
-    return latest_by_key(df, FACT_KEY, ["ts"])
+def _write_gold(frame: DataFrame, gold_path: str, name: str) -> None:
+    # dynamic overwrite: only the partitions of the refreshed days are replaced
+    (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dt").parquet(os.path.join(gold_path, name)))
 
 
 def refresh_gold(spark: SparkSession, table_path: str, gold_path: str, days: list[str]) -> None:
     """Recompute dau_total and dau_hour for ``days`` only; overwrite just those partitions."""
     facts = read_facts(spark, table_path, days)
-    for name, frame in (("dau_total", metrics.dau_total(facts)), ("dau_hour", metrics.dau_hour(facts))):
-        # dynamic overwrite per write: only the partitions of ``days`` are replaced
-        (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("dt").parquet(os.path.join(gold_path, name)))
+    _write_gold(metrics.dau_total(facts), gold_path, "dau_total")
+    _write_gold(metrics.dau_hour(facts), gold_path, "dau_hour")
+
+
+def refresh_order_gold(purchases: DataFrame, gold_path: str, days: list[str]) -> None:
+    """T7 for the amount card: order_amount_total and order_amount_hour of ``days``.
+
+    ``purchases`` should be restricted to ``days`` already (a scan predicate).
+    """
+    _write_gold(metrics.order_amount_total(purchases, days), gold_path, "order_amount_total")
+    _write_gold(metrics.order_amount_hour(purchases, days), gold_path, "order_amount_hour")
 
 
 # --- query runners -------------------------------------------------------------------
@@ -273,45 +354,75 @@ def _trigger(writer, trigger):
     return writer.trigger(processingTime=trigger or BATCH_INTERVAL)
 
 
-def run_router_stream(raw: DataFrame, out_base: str, checkpoint: str | None = None,
-                      topic: str = "app_start", group: str = "dau_group",
+def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str | None) -> str:
+    """The given checkpoint, else one named after the query: streams never share a default."""
+    if checkpoint:
+        return checkpoint
+    if not name:
+        raise ValueError("a stream needs a name or a checkpoint of its own")
+    return checkpoint_subdir(spark, f"streams/{name}")
+
+
+def _start(writer, checkpoint: str, trigger: str | None, name: str | None):
+    w = writer.option("checkpointLocation", checkpoint)
+    return _trigger(w.queryName(name) if name else w, trigger).start()
+
+
+def run_router_stream(raw: DataFrame, out_base: str, checkpoint: str | None = None, *,
+                      topic: str, group: str = "router_group",
                       trigger: str | None = None, name: str | None = None):
-    """Route, archive and record offsets of a raw line stream."""
-    checkpoint = checkpoint or checkpoint_subdir(raw.sparkSession, f"streams/{name or 'router'}")
-    w = (raw.writeStream.foreachBatch(RouterBatchWriter(out_base, topic, group))
-         .option("checkpointLocation", checkpoint))
-    if name:
-        w = w.queryName(name)
-    return _trigger(w, trigger).start()
+    """Route, archive and record offsets of a raw line stream.
+
+    ``topic`` is the topic that ``raw`` was read from; its offsets are recorded under it.
+    """
+    checkpoint = _checkpoint(raw.sparkSession, checkpoint, name)
+    return _start(raw.writeStream.foreachBatch(RouterBatchWriter(out_base, topic, group)),
+                  checkpoint, trigger, name)
+
+
+def _parsed_arrivals(start_lines: DataFrame) -> DataFrame:
+    parsed = applog.parse_start_logs(start_lines, keep=("offset", "timestamp"))
+    return parsed.withColumn("kind", arrival_class())
 
 
 def run_dau_stream(start_lines: DataFrame, table_path: str, checkpoint: str | None = None,
-                   mode: str = "first_event", delay: str = LATE_DELAY,
+                   mode: str = "first_event", delay: str = STATE_DELAY,
                    gold_path: str | None = None, trigger: str | None = None,
-                   name: str | None = None):
+                   name: str | None = None, quarantine_path: str | None = None,
+                   progress_path: str | None = None, topic: str = "app_start",
+                   group: str = "dau_group", merge_every: int = MERGE_EVERY):
     """T1 + T2: parse start lines, dedup per (device, event day), upsert facts.
 
-    ``start_lines`` has ``value`` (JSON text) and ``offset``.  ``mode`` is
-    ``first_event`` (T4, update mode) or ``first_arrival`` (T3, append mode).
+    ``start_lines`` has ``value`` (JSON text), ``partition``, ``offset`` and
+    ``timestamp`` (the broker's).  ``mode`` is ``first_event`` (T4, update mode) or
+    ``first_arrival`` (T3, append mode).  With ``progress_path`` the job records
+    its own until-offsets after its sinks, under ``topic`` and ``group`` (S3).
+    Wrong clocks go to ``quarantine_path`` (default: beside the table).
     """
-    checkpoint = checkpoint or checkpoint_subdir(start_lines.sparkSession, f"streams/{name or 'dau'}")
-    parsed = observed(applog.parse_start_logs(start_lines, keep=("offset",)), "dedup_in")
+    checkpoint = _checkpoint(start_lines.sparkSession, checkpoint, name)
+    arrivals = _parsed_arrivals(start_lines)
+    in_time = observed(arrivals.filter(F.col("kind") == IN_TIME), "dedup_in")
     if mode == "first_event":
-        deduped, out_mode = dedup_first_event(parsed, delay), "update"
+        deduped, out_mode = dedup_first_event(in_time, delay), "update"
     elif mode == "first_arrival":
-        deduped, out_mode = dedup_first_arrival(parsed, delay), "append"
+        deduped, out_mode = dedup_first_arrival(in_time, delay), "append"
     else:
         raise ValueError(f"unknown dedup mode {mode!r}")
-    deduped = observed(deduped, "dedup_out")
-    w = (deduped.writeStream.outputMode(out_mode)
-         .foreachBatch(DauBatchWriter(table_path, gold_path))
-         .option("checkpointLocation", checkpoint))
-    if name:
-        w = w.queryName(name)
-    return _trigger(w, trigger).start()
-
-
-def launches_hourly_stream(start: DataFrame, delay: str = LATE_DELAY) -> DataFrame:
+    rows = observed(deduped, "dedup_out").withColumn("kind", F.lit(IN_TIME))
+    aside = arrivals.filter(F.col("kind") != IN_TIME).observe(
+        "aside", F.count_if(F.col("kind") == LATE).alias(LATE),
+        F.count_if(F.col("kind") == FUTURE).alias(FUTURE))
+    rows = rows.unionByName(_fact_columns(aside, keep=("kind",)))
+    if progress_path:
+        offsets = start_lines.select(F.lit(OFFSET).alias("kind"), "partition", "offset")
+        rows = rows.unionByName(offsets, allowMissingColumns=True)
+    writer = DauBatchWriter(table_path, gold_path, quarantine_path, progress_path, topic, group,
+                            merge_every)
+    return _start(rows.writeStream.outputMode(out_mode).foreachBatch(writer),
+                  checkpoint, trigger, name)
+
+
+def launches_hourly_stream(start: DataFrame, delay: str = STATE_DELAY) -> DataFrame:
     """Launches per 1-hour event-time window, update mode -> (dt, hr, launches)."""
     ev = with_event_day(start).withWatermark("event_time", delay)
     agg = ev.groupBy(F.window("event_time", "1 hour").alias("w")).agg(
@@ -321,31 +432,58 @@ def launches_hourly_stream(start: DataFrame, delay: str = LATE_DELAY) -> DataFra
 
 
 class HourlyBatchWriter:
-    """foreachBatch body of the hourly rollup: upsert (dt, hr) rows of update mode."""
+    """foreachBatch body of the hourly rollup, ``dt=D/batch_id=N``.
+
+    Rows of update mode replace older ones of their hour; ``late`` rows (which
+    skip the state) are counted per hour and add to it.
+    """
 
     def __init__(self, table_path: str):
         self.table_path = table_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_dir(self.table_path, batch_id))
+        rows = batch.groupBy("dt", "hr", "late").agg(F.sum("launches").alias("launches"))
+        _write_days(rows, self.table_path, batch_id)
+
+
+def read_hourly(spark: SparkSession, table_path: str, days: list[str] | None = None) -> DataFrame:
+    """Current hourly launches: the newest version of each (dt, hr) plus its late rows."""
+    df = read_days(spark, table_path, HOURLY_SCHEMA, days)
+    newest = latest_by_key(df.filter(~F.col("late")), ["dt", "hr"], []).select("dt", "hr", "launches")
+    late = df.filter("late").select("dt", "hr", "launches")
+    return newest.unionByName(late).groupBy("dt", "hr").agg(F.sum("launches").alias("launches"))
+
 
+def compact_hourly_days(spark: SparkSession, table_path: str, days: list[str]) -> None:
+    """Remove the folders of final days whose rows are all superseded.
 
-def read_hourly(spark: SparkSession, table_path: str) -> DataFrame:
-    """Current hourly launches: the newest version of each (dt, hr) window."""
-    df = spark.read.option("basePath", table_path).parquet(table_path)
-    return latest_by_key(df, ["dt", "hr"], []).drop("batch_id")
+    At most 24 folders with current rows stay per day, and those with late rows.
+    """
+    for day in days:
+        folder = os.path.join(table_path, f"dt={day}")
+        ids = [int(v) for v in partition_values(spark, folder, "batch_id")]
+        df = read_days(spark, table_path, HOURLY_SCHEMA, [day])
+        late_ids = {r.batch_id for r in df.filter("late").select("batch_id").distinct().collect()}
+        newest = latest_by_key(df.filter(~F.col("late")), ["dt", "hr"], [])
+        keep = {r.batch_id for r in newest.select("batch_id").distinct().collect()}
+        for i in ids:
+            if i not in keep and i not in late_ids:
+                remove(spark, os.path.join(folder, f"batch_id={i}"))
 
 
 def run_launches_hourly_stream(start_lines: DataFrame, table_path: str,
-                               checkpoint: str | None = None, delay: str = LATE_DELAY,
+                               checkpoint: str | None = None, delay: str = STATE_DELAY,
                                trigger: str | None = None, name: str | None = None):
-    """Launches per event hour, update mode, upserted per micro-batch."""
-    checkpoint = checkpoint or checkpoint_subdir(start_lines.sparkSession,
-                                                 f"streams/{name or 'launches_hourly'}")
-    parsed = applog.parse_start_logs(start_lines, keep=("offset",))
-    w = (launches_hourly_stream(parsed, delay).writeStream.outputMode("update")
-         .foreachBatch(HourlyBatchWriter(table_path))
-         .option("checkpointLocation", checkpoint))
-    if name:
-        w = w.queryName(name)
-    return _trigger(w, trigger).start()
+    """Launches per event hour, update mode, upserted per micro-batch.
+
+    Late rows add to their hour without the state; rows of a wrong clock are
+    left out (the DAU stream keeps them in its quarantine).
+    """
+    checkpoint = _checkpoint(start_lines.sparkSession, checkpoint, name)
+    arrivals = _parsed_arrivals(start_lines)
+    counted = launches_hourly_stream(arrivals.filter(F.col("kind") == IN_TIME), delay)
+    late = _fact_columns(arrivals.filter(F.col("kind") == LATE)).select(
+        "dt", "hr", F.lit(1).cast("bigint").alias("launches"), F.lit(True).alias("late"))
+    rows = counted.withColumn("late", F.lit(False)).unionByName(late)
+    return _start(rows.writeStream.outputMode("update").foreachBatch(HourlyBatchWriter(table_path)),
+                  checkpoint, trigger, name)

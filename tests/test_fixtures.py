@@ -42,6 +42,18 @@ def test_route_rejects(spark):
     assert _route(spark, vals) == ["reject"] * 3
 
 
+def test_valid_lines_with_other_types_are_kept(spark):
+    common = '"common":{"mid":"m"},"start":{}'
+    assert _route(spark, ['{"common":"x","page":1}', '{"ts":"abc","page":{}}', '{"page":1,"ts":1.5e12}',
+                          '{"common":[],"page":1}', "[1]", "5"]) == ["event"] * 6
+    starts = ['{%s,"ts":"1594995376000"}' % common, '{%s,"ts":1594995376000.0}' % common,
+              '{%s,"ts":1.594995376e12}' % common]
+    assert _route(spark, starts) == ["start"] * 3
+    assert [r.ts for r in applog.parse_start_logs(_lines(spark, starts)).collect()] == [1594995376000] * 3
+    assert _route(spark, ['{%s,"ts":"abc"}' % common, '{%s,"ts":1e300}' % common, '{%s,"ts":-1}' % common,
+                          "", None]) == ["reject"] * 5
+
+
 def test_parse_start_logs_flattens(spark):
     v = json.dumps({"common": {"mid": "m1", "uid": "u", "ar": "7", "ch": "c", "vc": "9"},
                     "start": {"entry": "icon"}, "ts": 1594995376000})
@@ -194,12 +206,13 @@ def test_jdbc_options_partitioned_read():
         jdbc_options("jdbc:x", "t", "k")
 
 
-def test_read_table_reuses_resolved_table(spark):
+def test_read_table_sees_appended_rows(spark, tmp_path):
     from daypulse.sources.tables import read_table
-    from tests.conftest import SF001
-    a = read_table(spark, "nation", SF001)
-    b = read_table(spark, "nation", SF001)
-    assert a is b and a.count() == 25
+    base = str(tmp_path)
+    spark.range(5).write.parquet(f"{base}/nation.parquet")
+    assert read_table(spark, "nation", base).count() == 5
+    spark.range(7).write.mode("append").parquet(f"{base}/nation.parquet")
+    assert read_table(spark, "nation", base).count() == 12
     assert read_table(spark, "nation", SF001, columns=["n_name"]).columns == ["n_name"]
 
 

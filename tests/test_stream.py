@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 import time
+from datetime import datetime, timezone
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -67,7 +68,8 @@ def test_kafka_options_shape():
 
 def test_router_stream_routes_archives_and_records_offsets(spark, line_dir, raw_rows):
     out, ckpt = _scratch(), _scratch()
-    q = ds.run_router_stream(line_file_stream(spark, line_dir), out, ckpt, trigger="availableNow")
+    q = ds.run_router_stream(line_file_stream(spark, line_dir), out, ckpt, topic="app_log",
+                             trigger="availableNow")
     q.awaitTermination(300)
     lines = spark.read.parquet(os.path.join(out, "lines"))
     got = {r["route"]: r["count"] for r in lines.groupBy("route").count().collect()}
@@ -147,23 +149,24 @@ def test_batch_rewrite_is_idempotent(spark):
 
 # --- micro fixtures (FIXTURES.md §4) -------------------------------------------------
 
-def _start_line(mid, ms, offset):
-    return {"partition": 0, "offset": offset, "timestamp": None,
+def _start_line(mid, ms, offset, broker_ms=None):
+    return {"partition": 0, "offset": offset,
+            "timestamp": None if broker_ms is None else datetime.fromtimestamp(broker_ms / 1000, timezone.utc),
             "value": json.dumps({"common": {"mid": mid, "uid": mid, "ar": "1", "ch": "c", "vc": "v"},
                                  "start": {"entry": "icon"}, "ts": ms})}
 
 
 def _ms(s):
-    from datetime import datetime, timezone
     return int(datetime.strptime(s, "%Y-%m-%d %H:%M:%S.%f").replace(tzinfo=timezone.utc).timestamp() * 1000)
 
 
-def _run_batches(spark, batches, mode):
+def _run_batches(spark, batches, mode, **kw):
+    """``batches``: lists of (device, event time[, broker time]); without one the broker is in time."""
     folder = os.path.join(_scratch(), "in")
     rows, off = [], 0
     for b in batches:
-        for mid, t in b:
-            rows.append(_start_line(mid, _ms(t), off))
+        for mid, t, *broker in b:
+            rows.append(_start_line(mid, _ms(t), off, _ms(broker[0] if broker else t)))
             off += 1
     # one file per micro-batch
     os.makedirs(folder, exist_ok=True)
@@ -179,14 +182,15 @@ def _run_batches(spark, batches, mode):
         os.utime(path, (now + n, now + n))
     table, ckpt = _scratch(), _scratch()
     q = ds.run_dau_stream(line_file_stream(spark, folder), table, ckpt, mode=mode,
-                          trigger="availableNow")
+                          trigger="availableNow", quarantine_path=table + "_q", **kw)
     q.awaitTermination(300)
-    return ds.read_facts(spark, table).select("mid", "dt", "hr", "mi").collect(), q
+    assert q.exception() is None
+    return ds.read_facts(spark, table).select("mid", "dt", "hr", "mi").collect(), q, table
 
 
 @pytest.mark.parametrize("mode", ["first_event", "first_arrival"])
 def test_midnight_gives_two_days(spark, mode):
-    out, _ = _run_batches(spark, [[("d1", "2024-01-01 23:59:59.999"), ("d1", "2024-01-02 00:00:00.000")]], mode)
+    out, *_ = _run_batches(spark, [[("d1", "2024-01-01 23:59:59.999"), ("d1", "2024-01-02 00:00:00.000")]], mode)
     assert sorted((r.dt, r.hr) for r in out) == [("2024-01-01", "23"), ("2024-01-02", "00")]
 
 
@@ -196,7 +200,7 @@ def test_repeat_launches_one_row_per_day(spark, mode):
                [("d2", "2024-01-01 08:00:00.000"), ("d3", "2024-01-01 09:00:00.000"),
                 ("d4", "2024-01-01 10:00:00.000")],
                [("d1", "2024-01-01 11:00:00.000")], [("d1", "2024-01-01 12:00:00.000")]]
-    out, _ = _run_batches(spark, batches, mode)
+    out, *_ = _run_batches(spark, batches, mode)
     d1 = [r for r in out if r.mid == "d1"]
     assert len(d1) == 1 and d1[0].hr == "00"
 
@@ -204,35 +208,87 @@ def test_repeat_launches_one_row_per_day(spark, mode):
 def test_disorder_first_event_keeps_earliest_hour(spark):
     batches = [[("d1", "2024-01-01 08:00:00.000")], [("d1", "2024-01-01 07:00:00.000")],
                [("d1", "2024-01-01 06:00:00.000")], [("d1", "2024-01-01 09:00:00.000")]]
-    out, _ = _run_batches(spark, batches, "first_event")
+    out, *_ = _run_batches(spark, batches, "first_event")
     assert [(r.dt, r.hr) for r in out] == [("2024-01-01", "06")]
 
 
 def test_disorder_first_arrival_keeps_one_row(spark):
     batches = [[("d1", "2024-01-01 08:00:00.000")], [("d1", "2024-01-01 07:00:00.000")]]
-    out, _ = _run_batches(spark, batches, "first_arrival")
+    out, *_ = _run_batches(spark, batches, "first_arrival")
     assert [(r.dt, r.hr) for r in out] == [("2024-01-01", "08")]
 
 
 @pytest.mark.parametrize("mode", ["first_event", "first_arrival"])
-def test_late_rows_yesterday_kept_older_dropped(spark, mode):
+def test_late_and_future_rows_lose_nothing(spark, mode):
+    """One clock a month ahead, rows one to nine days late: the batch result plus a quarantine."""
+    now = "2024-01-10 12:00:00.000"
     batches = [
-        [("a", "2024-01-09 10:00:00.000"), ("known", "2024-01-09 11:00:00.000")],
-        [("b", "2024-01-10 09:00:00.000")],                 # newest day D = 01-10
-        [("new", "2024-01-09 12:00:00.000"), ("known", "2024-01-09 13:00:00.000")],  # D-1
-        [("c", "2024-01-10 10:00:00.000")],
-        [("old", "2024-01-08 12:00:00.000")],               # D-2: late
-        [("e", "2024-01-10 11:00:00.000")],
-        [("old2", "2024-01-08 13:00:00.000")],              # D-2 again, watermark caught up
+        [("a", "2024-01-10 10:00:00.000"), ("bad", "2024-02-10 10:00:00.000", now)],
+        [("n1", "2024-01-10 11:00:00.000")],
+        [("n2", "2024-01-10 12:00:00.000"), ("y", "2024-01-09 12:00:00.000", now)],
+        [("n3", "2024-01-10 12:30:00.000"), ("old", "2024-01-07 12:00:00.000", now)],
+        [("n4", "2024-01-10 13:00:00.000"), ("old", "2024-01-07 11:00:00.000", now),
+         ("old", "2024-01-07 13:00:00.000", now), ("older", "2024-01-01 13:00:00.000", now)],
+        [("y", "2024-01-09 13:00:00.000", now), ("a", "2024-01-10 14:00:00.000")],
     ]
-    out, q = _run_batches(spark, batches, mode)
-    by = {(r.mid, r.dt): r for r in out}
-    assert ("new", "2024-01-09") in by                      # new device of D-1 kept under D-1
-    assert by[("known", "2024-01-09")].hr == "11"           # known one suppressed
-    assert ("old2", "2024-01-08") not in by                 # D-2 dropped once caught up
+    out, q, table = _run_batches(spark, batches, mode)
+    want = {}
+    for b in batches:
+        for mid, t, *_ in b:
+            if mid != "bad":
+                key = (mid, t[:10])
+                want[key] = min(want.get(key, "99"), t[11:13])
+    assert {(r.mid, r.dt): r.hr for r in out} == want and len(out) == len(want)
+    quarantine = spark.read.parquet(table + "_q")
+    assert [r.mid for r in quarantine.select("mid").collect()] == ["bad"]
+    aside = [p["observedMetrics"]["aside"] for p in q.recentProgress if "aside" in (p["observedMetrics"] or {})]
+    assert sum(x["late"] for x in aside) == 4 and sum(x["future"] for x in aside) == 1
     dropped = sum(sum(o.get("numRowsDroppedByWatermark", 0) for o in p["stateOperators"])
                   for p in q.recentProgress)
-    assert dropped >= 1
+    assert dropped == 0
+
+
+def test_dau_job_records_its_own_offsets(spark, line_dir, raw_rows, tmp_path):
+    from daypulse.operators.upsert import latest_offsets
+    from daypulse.streaming.sources import resume_kafka_options
+    prog = str(tmp_path / "progress")
+    q = ds.run_dau_stream(line_file_stream(spark, line_dir), _scratch(), _scratch(),
+                          trigger="availableNow", progress_path=prog)
+    q.awaitTermination(300)
+    want = {}
+    for r in raw_rows:
+        want[r["partition"]] = max(want.get(r["partition"], 0), r["offset"] + 1)
+    got = latest_offsets(ds.read_progress(spark, prog)).collect()
+    assert {r["partition"]: r.until_offset for r in got} == want
+    assert {(r.topic, r.grp) for r in got} == {("app_start", "dau_group")}
+    o = resume_kafka_options(spark, prog, "b:9092", "app_start", "dau_group")
+    assert json.loads(o["startingOffsets"]) == {"app_start": {str(k): v for k, v in want.items()}}
+
+
+def test_streams_need_a_name_or_a_checkpoint(spark, line_dir):
+    lines = line_file_stream(spark, line_dir)
+    for run in (lambda: ds.run_dau_stream(lines, _scratch()),
+                lambda: ds.run_router_stream(lines, _scratch(), topic="app_log"),
+                lambda: ds.run_launches_hourly_stream(lines, _scratch())):
+        with pytest.raises(ValueError):
+            run()
+
+
+def test_hourly_stream_counts_late_rows_and_compacts(spark):
+    folder, table = os.path.join(_scratch(), "in"), _scratch()
+    now = _ms("2024-01-10 12:00:00.000")
+    times = ["2024-01-10 10:00:00.000", "2024-01-10 10:30:00.000", "2024-01-01 09:00:00.000",
+             "2024-02-10 09:00:00.000", "2024-01-10 10:40:00.000", "2024-01-01 09:10:00.000"]
+    _write_line_files([_start_line("d", _ms(t), i, now) for i, t in enumerate(times)], folder, per_file=1)
+    q = ds.run_launches_hourly_stream(line_file_stream(spark, folder), table, _scratch(), trigger="availableNow")
+    q.awaitTermination(300)
+    want = {("2024-01-10", "10"): 3, ("2024-01-01", "09"): 2}
+    days = ["2024-01-01", "2024-01-10", "2024-03-01"]
+    read = lambda: {(r.dt, r.hr): r.launches for r in ds.read_hourly(spark, table, days).collect()}
+    assert read() == want
+    ds.compact_hourly_days(spark, table, days)
+    assert read() == want
+    assert len(os.listdir(os.path.join(table, "dt=2024-01-10"))) == 1
 
 
 def test_launches_hourly_stream_equals_batch(spark, line_dir):
@@ -294,7 +350,7 @@ def test_source_stream_files_and_progress_reader(spark, line_dir):
     with pytest.raises(ValueError):
         source_stream(spark, "socket")
     out = _scratch()
-    q = ds.run_router_stream(s, out, _scratch(), trigger="availableNow")
+    q = ds.run_router_stream(s, out, _scratch(), topic="app_log", trigger="availableNow")
     q.awaitTermination(300)
     prog = ds.read_progress(spark, os.path.join(out, "progress"))
     assert set(prog.columns) == {"topic", "grp", "partition", "batch_id", "until_offset"}
@@ -315,7 +371,6 @@ def test_resume_options_from_progress(spark, tmp_path):
 
 
 def test_facts_keep_processing_day_column(spark):
-    from datetime import datetime, timezone
     table = _scratch()
     rows = [("1", "1", "0", "view", "3", "2024-01-01", "10", "00", 1704103200000)]
     ds.DauBatchWriter(table)(spark.createDataFrame(rows, applog.FACT_SCHEMA), 3)
@@ -355,7 +410,7 @@ def test_fact_layout_is_day_first_and_day_reads_prune(spark):
 
 def test_router_layout_route_and_day_first(spark, line_dir):
     out = _scratch()
-    q = ds.run_router_stream(line_file_stream(spark, line_dir), out, _scratch(), trigger="availableNow")
+    q = ds.run_router_stream(line_file_stream(spark, line_dir), out, _scratch(), topic="app_log", trigger="availableNow")
     q.awaitTermination(300)
     routes = sorted(d for d in os.listdir(os.path.join(out, "lines")) if d.startswith("route="))
     assert routes == ["route=event", "route=reject", "route=start"]
@@ -368,7 +423,7 @@ def test_router_layout_route_and_day_first(spark, line_dir):
 def test_router_then_dau_chain_equals_batch(spark, line_dir):
     """Collector -> start topic -> DAU job: the DAU stream reads the router's start folder."""
     out = _scratch()
-    q1 = ds.run_router_stream(line_file_stream(spark, line_dir), out, _scratch(), trigger="availableNow")
+    q1 = ds.run_router_stream(line_file_stream(spark, line_dir), out, _scratch(), topic="app_log", trigger="availableNow")
     q1.awaitTermination(300)
     start_lines = line_file_stream(spark, os.path.join(out, "lines", "route=start"), files_per_trigger=4)
     table = _scratch()
@@ -388,11 +443,68 @@ def test_compact_final_day_keeps_current_rows(spark):
     w(spark.createDataFrame([row("a", "09", 1704099600000)], applog.FACT_SCHEMA), 2)  # earlier launch of a
     w(spark.createDataFrame([row("c", "12", 1704110400000)], applog.FACT_SCHEMA), 3)
     before = sorted(map(tuple, ds.read_facts(spark, table).collect()))
-    ds.compact_fact_days(spark, table, ["2024-01-01"])
+    ds.compact_fact_days(spark, table, ["2024-01-01", "2024-01-09"])  # the second was never written
     folders = [d for d in os.listdir(os.path.join(table, "dt=2024-01-01")) if d.startswith("batch_id=")]
-    assert folders == ["batch_id=3"]
+    assert folders == ["batch_id=-1"]
     after = sorted(map(tuple, ds.read_facts(spark, table).collect()))
     assert after == before and len(after) == 3
+    # rows of a later batch join the merged ones, and merge again
+    w(spark.createDataFrame([row("a", "08", 1704096000000), row("d", "13", 1704114000000)], applog.FACT_SCHEMA), 4)
+    ds.compact_fact_days(spark, table, ["2024-01-01"])
+    assert {r.mid: r.hr for r in ds.read_facts(spark, table).collect()} == {"a": "08", "b": "11", "c": "12", "d": "13"}
+
+
+@pytest.mark.parametrize("step", ["write", "remove"])
+def test_compaction_survives_a_failure(spark, monkeypatch, step):
+    """A merge that stops midway changes no row, nor does the run after it."""
+    table, day = _scratch(), "2024-01-01"
+    w = ds.DauBatchWriter(table)
+    row = lambda mid, hr, ts: (mid, mid, "0", "view", "3", day, hr, "00", ts)
+    w(spark.createDataFrame([row("a", "10", 1704103200000), row("b", "11", 1704106800000)], applog.FACT_SCHEMA), 1)
+    w(spark.createDataFrame([row("a", "09", 1704099600000)], applog.FACT_SCHEMA), 2)
+    w(spark.createDataFrame([row("c", "12", 1704110400000)], applog.FACT_SCHEMA), 3)
+    before = sorted(map(tuple, ds.read_facts(spark, table).collect()))
+    if step == "write":  # part of the new folder was committed before the run stopped
+        (ds.read_facts(spark, table, [day]).drop("dt").limit(1)
+         .write.parquet(os.path.join(table, f"dt={day}", "batch_id=-1")))
+    else:
+        removed = []
+
+        def remove_one(sp, path):
+            if removed:
+                raise OSError("stopped")
+            removed.append(path)
+            real(sp, path)
+
+        real = ds.remove
+        monkeypatch.setattr(ds, "remove", remove_one)
+        with pytest.raises(OSError):
+            ds.compact_fact_days(spark, table, [day])
+        monkeypatch.undo()
+    assert sorted(map(tuple, ds.read_facts(spark, table).collect())) == before
+    ds.compact_fact_days(spark, table, [day])
+    assert sorted(map(tuple, ds.read_facts(spark, table).collect())) == before
+    assert len(os.listdir(os.path.join(table, f"dt={day}"))) == 1
+
+
+def test_writer_merges_the_days_in_work(spark):
+    table = _scratch()
+    w = ds.DauBatchWriter(table, merge_every=4)
+    for i in range(8):
+        w(spark.createDataFrame([(str(i), str(i), "0", "v", "3", "2024-01-01", "10", "00", 1704103200000 + i)],
+                                applog.FACT_SCHEMA), i)
+    assert len(os.listdir(os.path.join(table, "dt=2024-01-01"))) == 1
+    assert ds.read_facts(spark, table, ["2024-01-01"]).count() == 8
+
+
+def test_a_day_read_lists_only_its_folder(spark):
+    table = _scratch()
+    w = ds.DauBatchWriter(table)
+    for i in range(1, 5):
+        w(spark.createDataFrame([("a", "a", "0", "v", "3", f"2024-01-0{i}", "10", "00", 1704103200000)],
+                                applog.FACT_SCHEMA), i)
+    files = ds.read_days(spark, table, ds.FACT_TABLE_SCHEMA, ["2024-01-02"]).inputFiles()
+    assert files and all("dt=2024-01-02" in f for f in files)
 
 
 def test_finalize_days_registers_and_compacts(spark, line_dir):
