@@ -36,12 +36,6 @@ from daypulse.functions.scalar import age_band, share_pct
 from daypulse.functions.timeparts import day_string
 from daypulse.sources.tables import read_table
 
-WIDE_COLUMNS = (
-    "order_detail_id", "order_id", "user_id", "sku_id", "user_gender", "user_age",
-    "user_level", "sku_price", "sku_name", "sku_tm_id", "dt",
-)
-# Page sizes offered by the dashboard (fixed values).
-PAGE_SIZES = (10, 20, 50, 100)
 # Total order of the detail rows for paging (every column; full rows are distinct).
 PAGE_ORDER = ("dt", "order_id", "order_detail_id", "sku_id", "user_id", "user_gender",
               "user_age", "user_level", "sku_price", "sku_name", "sku_tm_id")
@@ -212,6 +206,53 @@ def age_share(spark: SparkSession, base: str, search: Search = Search(),
     return _share(banded, "band")
 
 
+def search_shares(spark: SparkSession, base: str, search: Search = Search(),
+                  reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """Total and both shares of a search from one filtered base -> (stat, name, value, pct).
+
+    ``stat`` is ``total``, ``age`` or ``category``.  The joins run once; one
+    aggregate per (category, band) -- a handful of rows -- feeds all three.
+    """
+    cells = (sale_detail_wide(spark, base, search, reader)
+             .groupBy(F.col("user_gender").alias("category"), age_band("user_age").alias("band"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    parts = F.array(
+        F.struct(F.lit("total").alias("stat"), F.lit("total").alias("name")),
+        F.struct(F.lit("age").alias("stat"), F.col("band").alias("name")),
+        F.struct(F.lit("category").alias("stat"), F.col("category").alias("name")))
+    out = (cells.select(F.explode(parts).alias("s"), "n").groupBy("s.stat", "s.name")
+           .agg(F.sum("n").cast("bigint").alias("value")))
+    return out.withColumn("pct", share_pct("value", "stat"))
+
+
+def sale_detail_json(spark: SparkSession, base: str, search: Search = Search(),
+                     page: int = 1, size: int = 20,
+                     reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """The reply ``{"total", "stat": [{"title", "options"}, ...], "detail": [...]}``, one row.
+
+    Two passes over the lines: the shares with the total, and the page.  Only
+    the page's ``size`` rows and the share rows are gathered.  Shares are written
+    as percent with one decimal.  An empty search has total 0 and empty lists.
+    """
+    stats = search_shares(spark, base, search, reader)
+    option = F.struct("name", "value", F.round(F.col("pct") * 100, 1).alias("percent"))
+
+    def options(stat):
+        return F.array_sort(F.collect_list(F.when(F.col("stat") == stat, option)))
+
+    reply = stats.agg(
+        F.coalesce(F.max(F.when(F.col("stat") == "total", F.col("value"))), F.lit(0)).alias("total"),
+        F.array(F.struct(F.lit("age").alias("title"), options("age").alias("options")),
+                F.struct(F.lit("category").alias("title"), options("category").alias("options"))
+                ).alias("stat"))
+    rows = sale_detail_page(spark, base, search, page, size, reader).agg(
+        F.array_sort(F.collect_list(F.struct(*PAGE_ORDER))).alias("detail"))
+    # one row each; the union folds them without a join
+    both = reply.unionByName(rows, allowMissingColumns=True)
+    return both.agg(*[F.any_value(c, ignoreNulls=True).alias(c) for c in ("total", "stat", "detail")]).select(
+        F.to_json(F.struct("total", "stat", "detail")).alias("json"))
+
+
 def sale_detail_bundle(spark: SparkSession, base: str, search: Search = Search(),
                        page: int = 1, size: int = 20) -> dict[str, DataFrame]:
     """The three parts of a detail reply: total, stat (age, category), detail page."""

@@ -160,13 +160,13 @@ def select_metric(series: DataFrame, metric_id: str) -> DataFrame:
     return series.filter(F.col("id") == F.lit(metric_id))
 
 
-def hour_json(compare: DataFrame) -> DataFrame:
+def hour_json(compare: DataFrame, as_type: str = "bigint") -> DataFrame:
     """Per day ``{"yesterday":{"00":n,...},"today":{...}}`` as JSON text.
 
-    Each group is exactly the 24 hours of one day.
+    Values are written as ``as_type``.  Each group is exactly the 24 hours of one day.
     """
     entries = lambda c: F.map_from_entries(
-        F.array_sort(F.collect_list(F.struct("hr", F.col(c)))))
+        F.array_sort(F.collect_list(F.struct("hr", F.col(c).cast(as_type)))))
     agg = compare.groupBy("dt").agg(entries("yesterday").alias("y"), entries("today").alias("t"))
     return agg.select("dt", F.to_json(F.struct(F.col("y").alias(SERIES_YESTERDAY),
                                                F.col("t").alias(SERIES_TODAY))).alias("json"))

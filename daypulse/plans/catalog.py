@@ -19,6 +19,7 @@ from daypulse.operators import detail, metrics, region, upsert
 from daypulse.operators.dedup import anti_backfill, first_seen
 from daypulse.sources import applog, testdata as td
 from daypulse.sources.tables import read_table
+from daypulse.streaming.dau_stream import arrival_class
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SEARCH_KEYWORD = "red"
 SEARCH_PAGE = 2
 SEARCH_SIZE = 20
+SEARCH_DATE = "1996-08-12"
+SEARCH_LEVEL = 1
 
 
 # --- ingest -------------------------------------------------------------------
@@ -92,8 +95,32 @@ def q_dau_hour_compare(spark, base):
 
 
 def q_hour_series(spark, base):
-    series = metrics.hour_series(q_dau_hour_compare(spark, base), metrics.CARD_DAU[0])
-    return metrics.select_metric(series, metrics.CARD_DAU[0])
+    """Both polled metrics in long form."""
+    return (metrics.hour_series(q_dau_hour_compare(spark, base), metrics.CARD_DAU[0])
+            .unionByName(metrics.hour_series(q_order_amount_hour_compare(spark, base),
+                                             metrics.CARD_ORDER_AMOUNT[0])))
+
+
+def q_metric_series(spark, base):
+    """One metric picked from the table that holds both."""
+    return metrics.select_metric(q_hour_series(spark, base), metrics.CARD_ORDER_AMOUNT[0])
+
+
+def q_order_amount_hour_json(spark, base):
+    return metrics.hour_json(q_order_amount_hour_compare(spark, base), metrics.MONEY)
+
+
+def q_arrival_classes(spark, base):
+    """T5: start logs per day and class, against the time the broker took them in.
+
+    The broker time of the test logs: every seventh device's clock is some days wrong.
+    """
+    logs = td.start_logs(spark, base)
+    shift = F.when(F.col("event_id") % 7 == 0, F.col("event_id") % 11 - 5).otherwise(0)
+    logs = logs.withColumn("timestamp", F.timestamp_millis(
+        F.col("ts") - shift.cast("bigint") * F.lit(86_400_000)))
+    return (logs.select(day_of_ms("ts").alias("dt"), arrival_class().alias("arrival"))
+            .groupBy("dt", "arrival").agg(F.count(F.lit(1)).alias("rows")))
 
 
 def q_dau_hour_json(spark, base):
@@ -183,6 +210,24 @@ def q_sale_detail_total(spark, base):
     return detail.sale_detail_total(spark, base, _SEARCH)
 
 
+_FULL_SEARCH = detail.Search.of(date=SEARCH_DATE, keyword=SEARCH_KEYWORD, level=SEARCH_LEVEL)
+
+
+def q_sale_detail_search_page(spark, base):
+    """P2 + P5: keyword, date and level set."""
+    return detail.sale_detail_page(spark, base, _FULL_SEARCH, 1, SEARCH_SIZE)
+
+
+def q_sale_detail_shares(spark, base):
+    """A10 + A11 under a search, with its total."""
+    return detail.search_shares(spark, base, _SEARCH)
+
+
+def q_sale_detail_json(spark, base):
+    """The whole reply of a search as one JSON text."""
+    return detail.sale_detail_json(spark, base, _FULL_SEARCH, 1, SEARCH_SIZE)
+
+
 def q_category_share(spark, base):
     return detail.category_share(spark, base)
 
@@ -223,7 +268,10 @@ QUERIES: dict[str, Query] = {
     "dau_hour": q_dau_hour,
     "dau_hour_compare": q_dau_hour_compare,
     "hour_series": q_hour_series,
+    "metric_series": q_metric_series,
     "dau_hour_json": q_dau_hour_json,
+    "order_amount_hour_json": q_order_amount_hour_json,
+    "arrival_classes": q_arrival_classes,
     "order_amount_total": q_order_amount_total,
     "order_amount_hour": q_order_amount_hour,
     "order_amount_hour_compare": q_order_amount_hour_compare,
@@ -242,6 +290,9 @@ QUERIES: dict[str, Query] = {
     "sale_detail_wide": q_sale_detail_wide,
     "sale_detail_page": q_sale_detail_page,
     "sale_detail_total": q_sale_detail_total,
+    "sale_detail_search_page": q_sale_detail_search_page,
+    "sale_detail_shares": q_sale_detail_shares,
+    "sale_detail_json": q_sale_detail_json,
     "category_share": q_category_share,
     "age_share": q_age_share,
     "region_sales": q_region_sales,

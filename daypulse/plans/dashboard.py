@@ -12,13 +12,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daypulse.operators import detail, metrics, region, registry
 from daypulse.operators.dedup import first_seen
 from daypulse.sources import testdata as td
+from daypulse.sources.paths import read_days
 
-# Metric ids of the hour endpoint (fixed values).
-HOUR_METRICS = ("dau", "order_amount")
+# Stored day and hour tables by metric id.
+_TYPES = {"dau": T.LongType(), "order_amount": T.DoubleType()}
+_TOTAL_GOLD = {m: T.StructType([T.StructField(m, t), T.StructField("dt", T.StringType())])
+               for m, t in _TYPES.items()}
+_HOUR_GOLD = {m: T.StructType([T.StructField("hr", T.StringType()), T.StructField(m, t),
+                               T.StructField("dt", T.StringType())]) for m, t in _TYPES.items()}
 
 
 def _prev(date: str) -> str:
@@ -67,15 +73,38 @@ def realtime_hour(spark: SparkSession, base: str, metric_id: str, date: str) ->
         value = "order_amount"
     else:
         return spark.createDataFrame([], "series string, hr string, value double")
+    return _hour_pairs(spark, hourly, value, date)
+
+
+def _hour_pairs(spark: SparkSession, hourly: DataFrame, value: str, date: str) -> DataFrame:
     # a zero-valued row marks ``date`` as present, so a day without activity
     # still gets its 24 hours (and yesterday's values) instead of no rows
     present = spark.range(1).select(F.lit(date).alias("dt"), F.lit("00").alias("hr"),
                                     F.lit(0).cast(hourly.schema[value].dataType).alias(value))
     compare = metrics.hour_compare(hourly.unionByName(present), value)
-    series = metrics.hour_series(compare.filter(F.col("dt") == date), metric_id)
+    series = metrics.hour_series(compare.filter(F.col("dt") == date), value)
     return series.select("series", "hr", "value")
 
 
+def stored_total(spark: SparkSession, gold_path: str, registry_path: str, date: str) -> DataFrame:
+    """``realtime_total`` from what the stream stores: three day folders, whatever the history."""
+    day = spark.range(1).select(F.lit(date).alias("dt"))
+    dau = read_days(spark, f"{gold_path}/dau_total", _TOTAL_GOLD["dau"], [date])
+    amount = read_days(spark, f"{gold_path}/order_amount_total", _TOTAL_GOLD["order_amount"], [date])
+    new = registry.new_devices_on(spark, registry_path, [date])
+    summary = day.join(dau, "dt", "left").join(new, "dt", "left").join(amount, "dt", "left")
+    return metrics.cards(summary).drop("dt")
+
+
+def stored_hour(spark: SparkSession, gold_path: str, metric_id: str, date: str) -> DataFrame:
+    """``realtime_hour`` from the stored hours of ``date`` and the day before."""
+    if metric_id not in _HOUR_GOLD:
+        return spark.createDataFrame([], "series string, hr string, value double")
+    hourly = read_days(spark, f"{gold_path}/{metric_id}_hour", _HOUR_GOLD[metric_id],
+                       [_prev(date), date])
+    return _hour_pairs(spark, hourly, metric_id, date)
+
+
 def realtime_hour_json(spark: SparkSession, base: str, metric_id: str, date: str) -> DataFrame:
     """The same as one JSON text: ``{"yesterday":{"00":v,...},"today":{...}}``."""
     s = realtime_hour(spark, base, metric_id, date)

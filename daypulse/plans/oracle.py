@@ -8,7 +8,9 @@ like the Spark side.
 
 from __future__ import annotations
 
-from daypulse.plans.catalog import SEARCH_KEYWORD, SEARCH_PAGE, SEARCH_SIZE
+from daypulse.functions.scalar import AGE_BAND_LABELS
+from daypulse.plans.catalog import (
+    SEARCH_DATE, SEARCH_KEYWORD, SEARCH_LEVEL, SEARCH_PAGE, SEARCH_SIZE)
 
 # --- shared CTEs ------------------------------------------------------------
 
@@ -51,6 +53,15 @@ _DAU_COMPARE = f"""WITH {_SL}, {_FIRST}, {_DAU_HOUR},
 _AMOUNT_HOUR = f"""{_PURCHASE},
 amount_hour AS (SELECT dt, hr, CAST(sum(amount) AS DOUBLE) AS order_amount FROM p GROUP BY dt, hr)"""
 
+_AMOUNT_COMPARE = f"""WITH {_AMOUNT_HOUR},
+{_compare('amount_hour', 'order_amount', '0.0')}"""
+
+
+def _series(metric_id: str, compare: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{metric_id}' AS id, dt, '{s}' AS series, hr, CAST({s} AS DOUBLE) AS value
+FROM ({compare})""" for s in ("yesterday", "today"))
+
 _RAW = """raw AS (
   SELECT e.event_id, e.event_type, CAST(e.user_id AS VARCHAR) AS mid,
          CAST(c.c_nationkey AS VARCHAR) AS ar, json_extract_string(e.props, '$.k') AS vc,
@@ -86,6 +97,23 @@ _WIDE = """wide AS (
   JOIN part p ON p.p_partkey = l.l_partkey
   {where})"""
 
+_PAGE_ORDER = ("dt, order_id, order_detail_id, sku_id, user_id, user_gender, user_age, user_level, "
+               "sku_price, sku_name, sku_tm_id")
+
+_FULL = (f"WHERE lower(p.p_name) LIKE '%{SEARCH_KEYWORD}%' "
+         f"AND strftime(o.o_orderdate, '%Y-%m-%d') = '{SEARCH_DATE}' "
+         f"AND least(10, greatest(1, ceil(c.c_acctbal / 1000))) = {SEARCH_LEVEL}")
+
+_STATS = f"""named AS (
+  SELECT 'total' AS stat, 'total' AS name FROM wide
+  UNION ALL SELECT 'category', user_gender FROM wide
+  UNION ALL SELECT 'age', CASE WHEN user_age < 20 THEN '{AGE_BAND_LABELS[0]}' WHEN user_age <= 30 THEN '{AGE_BAND_LABELS[1]}'
+                               WHEN user_age IS NOT NULL THEN '{AGE_BAND_LABELS[2]}' END FROM wide),
+stats AS (
+  SELECT stat, name, value,
+         CAST(value AS DOUBLE) / CAST(sum(value) OVER (PARTITION BY stat) AS DOUBLE) AS pct
+  FROM (SELECT stat, name, count(*) AS value FROM named GROUP BY ALL))"""
+
 _REGION = """region_sales AS (
   SELECT n.n_name AS name, coalesce(x.n, 0) AS value,
          CAST(coalesce(x.amt, 0) AS DOUBLE) AS amount
@@ -131,10 +159,21 @@ FROM sl GROUP BY dt""",
     "dau_total": f"WITH {_SL}\nSELECT dt, count(DISTINCT mid) AS dau FROM sl GROUP BY dt",
     "dau_hour": f"WITH {_SL}, {_FIRST}, {_DAU_HOUR}\nSELECT * FROM dau_hour",
     "dau_hour_compare": _DAU_COMPARE,
-    "hour_series": f"""WITH cmp AS ({_DAU_COMPARE})
-SELECT 'dau' AS id, dt, 'yesterday' AS series, hr, CAST(yesterday AS DOUBLE) AS value FROM cmp
-UNION ALL
-SELECT 'dau' AS id, dt, 'today' AS series, hr, CAST(today AS DOUBLE) AS value FROM cmp""",
+    "hour_series": f"{_series('dau', _DAU_COMPARE)}\nUNION ALL\n{_series('order_amount', _AMOUNT_COMPARE)}",
+    "metric_series": _series("order_amount", _AMOUNT_COMPARE),
+    "order_amount_hour_json": f"""WITH cmp AS ({_AMOUNT_COMPARE})
+SELECT dt, CAST(to_json({{'yesterday': map_from_entries(list((hr, CAST(yesterday AS DECIMAL(18,2))) ORDER BY hr)),
+                         'today': map_from_entries(list((hr, CAST(today AS DECIMAL(18,2))) ORDER BY hr))}})
+                AS VARCHAR) AS json
+FROM cmp GROUP BY dt""",
+    "arrival_classes": f"""WITH {_SL},
+a AS (SELECT dt, epoch_ms(ts) AS t,
+             epoch_ms(ts - CASE WHEN event_id % 7 = 0 THEN event_id % 11 - 5 ELSE 0 END * 86400000) AS broker
+      FROM sl),
+b AS (SELECT dt, date_diff('day', CAST(broker AS DATE), CAST(t AS DATE)) AS ahead FROM a)
+SELECT dt, CASE WHEN ahead > 1 THEN 'future' WHEN ahead < -2 THEN 'late' ELSE 'in_time' END AS arrival,
+       count(*) AS "rows"
+FROM b GROUP BY ALL""",
     "dau_hour_json": f"""WITH cmp AS ({_DAU_COMPARE})
 SELECT dt, CAST(to_json({{'yesterday': map_from_entries(list((hr, yesterday) ORDER BY hr)),
                          'today': map_from_entries(list((hr, today) ORDER BY hr))}}) AS VARCHAR) AS json
@@ -196,12 +235,25 @@ ORDER BY dt, order_id, order_detail_id, sku_id, user_id, user_gender, user_age,
          sku_price, sku_name, sku_tm_id
 LIMIT {SEARCH_SIZE} OFFSET {(SEARCH_PAGE - 1) * SEARCH_SIZE}""",
     "sale_detail_total": f"WITH {_WIDE.format(where=_KW)}\nSELECT count(*) AS total FROM wide",
+    "sale_detail_search_page": f"""WITH {_WIDE.format(where=_FULL)}
+SELECT * FROM wide ORDER BY {_PAGE_ORDER} LIMIT {SEARCH_SIZE}""",
+    "sale_detail_shares": f"""WITH {_WIDE.format(where=_KW)}, {_STATS}
+SELECT * FROM stats""",
+    "sale_detail_json": f"""WITH {_WIDE.format(where=_FULL)}, {_STATS},
+page AS (SELECT {_PAGE_ORDER} FROM wide ORDER BY ALL LIMIT {SEARCH_SIZE}),
+opts AS (SELECT stat, list({{'name': name, 'value': value, 'percent': round(pct * 100, 1)}}
+                           ORDER BY name) AS o FROM stats GROUP BY stat)
+SELECT CAST(to_json({{
+  'total': (SELECT count(*) FROM wide),
+  'stat': [{{'title': 'age', 'options': coalesce((SELECT o FROM opts WHERE stat = 'age'), [])}},
+           {{'title': 'category', 'options': coalesce((SELECT o FROM opts WHERE stat = 'category'), [])}}],
+  'detail': coalesce((SELECT list(page ORDER BY {_PAGE_ORDER}) FROM page), [])}}) AS VARCHAR) AS json""",
     "category_share": f"""WITH {_WIDE.format(where='')},
 g AS (SELECT user_gender AS name, count(*) AS value FROM wide GROUP BY 1)
 SELECT name, value, CAST(value AS DOUBLE) / CAST(sum(value) OVER () AS DOUBLE) AS pct FROM g""",
     "age_share": f"""WITH {_WIDE.format(where='')},
-g AS (SELECT CASE WHEN user_age < 20 THEN '20岁以下' WHEN user_age <= 30 THEN '20-30岁'
-                  WHEN user_age IS NOT NULL THEN '30岁以上' END AS name,
+g AS (SELECT CASE WHEN user_age < 20 THEN '{AGE_BAND_LABELS[0]}' WHEN user_age <= 30 THEN '{AGE_BAND_LABELS[1]}'
+                  WHEN user_age IS NOT NULL THEN '{AGE_BAND_LABELS[2]}' END AS name,
              count(*) AS value FROM wide GROUP BY 1)
 SELECT name, value, CAST(value AS DOUBLE) / CAST(sum(value) OVER () AS DOUBLE) AS pct FROM g""",
     "region_sales": f"WITH {_REGION}\nSELECT * FROM region_sales",

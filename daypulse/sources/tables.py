@@ -97,16 +97,3 @@ def jdbc_options(url: str, table: str, partition_column: str | None = None,
 def day_partition(df: DataFrame, dt: str | None, col: str = "dt") -> DataFrame:
     """Restrict to one day partition (pruned when ``col`` is a partition column)."""
     return df if dt is None else df.filter(F.col(col) == F.lit(dt))
-
-
-class Tables:
-    """Lazy accessor for the test tables of one scale-factor folder."""
-
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark = spark
-        self.base = base
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return read_table(self.spark, name, self.base)
-        raise AttributeError(name)

@@ -56,3 +56,29 @@ def test_sale_detail_and_region_map(spark):
         [tuple(r) for r in c.q_sale_detail_page(spark, SF001).collect()]
     m = db.region_map(spark, SF001)
     assert m.count() == 25 and set(m.columns) == {"name", "value", "bin"}
+
+
+def test_stored_cards_and_hours_equal_the_raw_ones(spark, tmp_path):
+    """What the streams store answers the dashboard like raw events do."""
+    from daypulse.operators import metrics
+    from daypulse.operators.dedup import first_seen
+    from daypulse.operators.registry import update_device_registry
+    from daypulse.sources import applog
+    from daypulse.sources import testdata as td
+    from daypulse.streaming import dau_stream as ds
+    facts, gold, reg = (str(tmp_path / n) for n in ("facts", "gold", "reg"))
+    logs = td.start_logs(spark, SF001)
+    days = sorted(r.dt for r in metrics.dau_total(logs).select("dt").collect())[:3]
+    rows = first_seen(td.start_logs(spark, SF001, dates=days))
+    for c in ("uid", "ar", "ch", "vc"):
+        rows = rows.withColumn(c, F.lit("x"))
+    ds.DauBatchWriter(facts, gold)(rows.select(*applog.FACT_COLUMNS), 0)
+    ds.refresh_order_gold(td.purchases(spark, SF001, dates=days), gold, days)
+    for d in days:
+        update_device_registry(spark, ds.read_facts(spark, facts, [d]), reg, d)
+    for d in days[1:]:
+        pairs = lambda df: sorted(map(tuple, df.collect()))
+        assert pairs(db.stored_total(spark, gold, reg, d)) == pairs(db.realtime_total(spark, SF001, d))
+        for m in ("dau", "order_amount", "unknown"):
+            assert pairs(db.stored_hour(spark, gold, m, d)) == pairs(db.realtime_hour(spark, SF001, m, d))
+    assert [r.value for r in db.stored_total(spark, gold, reg, "2001-01-01").collect()] == [0.0] * 3
