@@ -26,7 +26,7 @@ def test_realtime_hour_for_a_date(spark):
     date = "2024-01-07"
     got = sorted((r.series, r.hr, r.value) for r in db.realtime_hour(spark, SF001, "dau", date).collect())
     want = sorted((r.series, r.hr, r.value) for r in c.q_hour_series(spark, SF001)
-                  .filter(F.col("dt") == date).collect())
+                  .filter((F.col("id") == "dau") & (F.col("dt") == date)).collect())
     assert got == want and len(got) == 48
     amt = db.realtime_hour(spark, SF001, "order_amount", date)
     want_amt = c.q_order_amount_hour_compare(spark, SF001).filter(F.col("dt") == date)
