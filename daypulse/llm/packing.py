@@ -25,6 +25,8 @@ from daypulse.llm.common import cut
 
 #: Different pieces of text whose ids a Python worker keeps at most (about 230 bytes each).
 CACHE = 800_000
+#: The space byte in the names of the vocabulary's tokens.
+SPACE_BYTE = "\u0120"
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
@@ -33,7 +35,9 @@ class Encoder:
 
     The vocabulary's pattern never lets a token run over the place before a
     space that a non-space follows, so a text without double spaces is cut at
-    its spaces and the parts, most of them seen before, are looked up.
+    its spaces and the parts, most of them seen before, are looked up.  Within
+    runs of white space a token of the vocabulary can run over a space (as that
+    of space, U+00A0, space, U+00A0 does): a text that holds one is not cut.
     """
 
     def __init__(self, path: str):
@@ -42,13 +46,17 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        # texts of the tokens with a space byte after their first place; bytes of a part of a character at their ends are left out
+        over = [i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if SPACE_BYTE in t[1:]]
+        texts = sorted({self.tokenizer.decode([i]).strip("\ufffd") for i in over}, key=len)
+        self.uncut = ["  ", *(t for k, t in enumerate(texts) if not any(x in t for x in texts[:k]))]
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, "<u4").tobytes() for e in done]
 
     def __call__(self, text: str) -> bytes:
-        if "  " in text:
+        if any(x in text for x in self.uncut):
             return self._encode([text])[0]
         parts = text.split(" ")
         parts[1:] = [" " + p for p in parts[1:]]

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from daypulse.llm import ann, chat, packing, urlfilter
 from daypulse.llm.queries import RULES
@@ -67,6 +68,22 @@ def test_encoder_equals_the_tokenizer():
         assert encode(t) == np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_tokens_over_a_space_are_kept(spark):
+    """Ids of the whole text by the tokenizer itself, also where a token runs over a space."""
+    path, rng = vocabulary("byte_bpe_50k.json"), np.random.default_rng(5)
+    whole, encode = Tokenizer.from_file(path), packing.Encoder(path)
+    assert encode.uncut == ["  ", " \xa0 \xa0"]
+    texts = ["a \xa0 \xa0 b", "a \xa0 \xa0", "a \xa0 \xa0 \xa0b", "\xa0 \xa0 b", "x" + " \xa0" * 9 + " y", "a\xa0 \xa0b \xa0 c", "a \n \xa0 \t\xa0 b"]
+    texts += ["".join(rng.choice(list(" \xa0 \xa0\n\u3000ab.7é"), int(n))) for n in rng.integers(1, 30, 3000)]
+    for t in texts:
+        assert encode(t) == np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+    rows = spark.createDataFrame(list(enumerate(texts[:7])), "doc_id long, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pack(rows, path).collect()}
+    for i, t in enumerate(texts[:7]):
+        ids = [*whole.encode(t, add_special_tokens=False).ids, 2]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_packing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "text", "1 as length", "2 as piece", "3 as offset")
     odd = spark.createDataFrame([(10**6, None, 0, 0, 0), (10**6 + 1, "", 0, 0, 0), (None, "a b", 0, 0, 0), (10**6 + 2, "long " * 30_000, 0, 0, 0)], docs.schema)
