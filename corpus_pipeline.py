@@ -35,7 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no benchmark text."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), every=True).select(*COLUMNS)
 
 
 def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

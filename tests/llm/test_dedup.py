@@ -172,6 +172,58 @@ def test_decontamination(spark):
     assert decontam.overlaps(docs.limit(0), test).count() == 0 and decontam.clean(docs, test.limit(0)).count() == len(rows)
 
 
+def brute_overlaps(rows, items):
+    """(row number, item_id, matched, window) by comparing all words at all places."""
+    out = set()
+    for r, (_, text) in enumerate(rows):
+        d = text.split()
+        for k, test in items:
+            w = test.split()
+            span = min(len(w), 16)
+            need = -(-4 * span // 5) if len(w) >= 8 else span
+            equal = [[0 <= s + i < len(d) and d[s + i] == x for i, x in enumerate(w)] for s in range(-len(w), len(d))]
+            best = max((sum(e[a : a + span]) for e in equal for a in range(len(w) - span + 1)), default=0)
+            if best >= need:
+                out.add((r, k, best, span))
+    return out
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = np.random.default_rng(11)
+    letters = [f"w{i}" for i in range(40)]
+    items = {" ".join(rng.choice(letters, int(n))) for n in [*range(1, 24)] * 2}
+    items = list(enumerate(sorted(items), 100))
+    rows = []
+    for i in range(150):
+        text = list(rng.choice(letters, int(rng.integers(1, 60))))
+        for k in rng.integers(0, len(items), 2):
+            part = items[k][1].split()
+            text[int(rng.integers(0, len(text) + 1)) : 0] = [x if rng.random() > 0.1 else "other" for x in part]
+        rows.append((i, " ".join(text)))
+    got = decontam.overlaps(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), every=True).collect()
+    want = brute_overlaps(rows, items)
+    assert {(r["doc_id"], r["item_id"], r["matched"], r["window"]) for r in got} == want and len(got) == len(want)
+    assert {r[3] for r in want} >= {1, 2, 3, 7, 8, 16}
+
+
+def test_decontamination_of_short_unspaced_and_nameless_texts(spark):
+    item, short, thai = words(30, 21), words(7, 22), "กรุงเทพมหานคร อมรรัตนโกสินทร์"
+    poem, kana = "春眠不觉晓,处处闻啼鸟。夜来风雨声,花落知多少。", "これはテストです"
+    test = spark.createDataFrame([(1, " ".join(short)), (2, "Zebra!"), (3, poem), (4, thai), (5, kana), (None, " ".join(item)), (6, "木")], "item_id long, text string")
+    rows = [
+        (1, "so " + " ".join(short) + " x"), (2, " ".join(short[:6])), (3, "a zebra, here"), (4, "zebras"), (5, "他说:" + poem + "abc"), (6, "春天不冷,处处有花。"),
+        (7, "x" + thai), (8, "前" + kana + "後"), (9, " ".join(item)), (10, " ".join(words(50, 23))), (10, " ".join(item[3:])), (None, " ".join(item)),
+        (None, " ".join(words(50, 24))), (None, None), (11, "松,木。"), (11, "松"),
+    ]
+    docs = frame(spark, rows)
+    got = [(r["doc_id"], r["item_id"]) for r in decontam.overlaps(docs, test, every=True).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1), (3, 2), (5, 3), (7, 4), (8, 5), (9, None), (10, None), (None, None), (11, 6)], key=str)
+    kept = decontam.clean(docs, test, every=True)
+    gone = [rows[i] for i in (0, 2, 4, 6, 7, 8, 10, 11, 14)]
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, (r for r in rows if r not in gone)))
+
+
 def test_decontamination_is_native(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plan = decontam.overlaps(docs, spark.read.parquet(f"{SF}/benchmark.parquet"))._jdf.queryExecution().toString()
