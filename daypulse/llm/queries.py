@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm import ann, chat, decontam, packing, pii, quality, simhash, substring, toxicity, urlfilter
+from daypulse.llm import ann, chat, decontam, packing, phrases, pii, quality, runs, simhash, substring, toxicity, urlfilter
 from daypulse.llm.common import id_remainder, table
 from daypulse.llm.tokenizers_path import vocabulary
 
@@ -72,11 +72,46 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.pieces(turns.unionByName(probe)))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, best=2000)
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text; with h = crc32(doc_id) divisible by 10 the words from a = g % n on, g = h // 10, repeat words
+    a to a + p, p = 1 + (n - a) // (3 + g % 8).  Null ids and texts without words stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # lambda arguments hold the words, a and p, so that each is computed once a row
+    repeated = F.expr(r"""
+        transform(array(regexp_extract_all(text, '([^\\x20\\x09-\\x0D]+)', 1)), w ->
+            transform(array(named_struct('n', size(w), 'a', g % size(w))), s ->
+                transform(array(1 + floor((s.n - s.a) / (3 + g % 8))), p ->
+                    array_join(transform(sequence(0, s.n - 1), i -> get(w, cast(if(i < s.a, i, s.a + (i - s.a) % p) as int))), ' ')
+                )[0])[0])[0]
+    """)
+    wordy = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & wordy, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_planted(table(spark, sf_dir, "documents")), least=12)
+    longest = F.expr("""
+        aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>), (m, r) ->
+            if(m is null or r.length > m.length, r, m))
+    """)  # runs come by start, then period: the first of equal lengths stays
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"), F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"), F.expr("top.length * 1000 div top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash, op2_url_filter, op3_packing, op4_quality, op5_pii, op6_substring_dedup, op7_ann, op8_decontamination,
-        op9_toxicity, op10_chat_format,
+        op9_toxicity, op10_chat_format, op12_phrases, op13_periodic_runs,
     )
 }
 ORACLE: dict[str, str] = {
@@ -120,4 +155,40 @@ ORACLE: dict[str, str] = {
                sum(CASE WHEN role = 'assistant' THEN stop ELSE 0 END)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op12_phrases": """
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, doc, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS k
+            FROM (SELECT lang, row_number() OVER () AS doc,
+                         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents)
+        ), t AS (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p
+        ), g AS (
+            SELECT lang, x AS len, list_aggregate(list_slice(w, i, i + x - 1), 'string_agg', ' ') AS phrase
+            FROM (SELECT lang, w, x, unnest(range(1, len(w) - x + 2)) AS i FROM t, (SELECT unnest([1, 2, 3, 4, 5]) AS x) WHERE len(w) >= x)
+        ), f AS (
+            SELECT lang, len, phrase, count(*) AS f FROM g GROUP BY ALL
+        ), n AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len = 1 GROUP BY lang
+        ), c AS (
+            SELECT lang, len, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE len > 1 AND f >= 100
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.a, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, len)) AS k FROM c) c
+        ), s AS (
+            SELECT u.lang, u.phrase, u.a, u.k, x.f AS l, y.f AS r, n.n,
+                   ((1000::HUGEINT * u.a * n.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts u JOIN f x ON x.lang = u.lang AND x.phrase = u.head JOIN f y ON y.lang = u.lang AND y.phrase = u.tail
+            JOIN n ON n.lang = u.lang
+        ), low AS (
+            SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), kept AS (
+            SELECT low.* FROM low WHERE NOT EXISTS (
+                SELECT 1 FROM c WHERE c.lang = low.lang AND c.a >= low.a AND c.phrase <> low.phrase
+                AND contains(' ' || c.phrase || ' ', ' ' || low.phrase || ' '))
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """,
 }
