@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daypulse.llm import ann, chat, decontam, packing, phrases, pii, quality, runs, simhash, substring, toxicity, urlfilter
+from daypulse.llm import ann, chat, decontam, hyperminhash, packing, phrases, pii, quality, runs, simhash, substring, toxicity, urlfilter
 from daypulse.llm.common import id_remainder, table
 from daypulse.llm.tokenizers_path import vocabulary
 
@@ -72,6 +72,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.pieces(turns.unionByName(probe)))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, best=2000)
 
@@ -111,7 +115,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash, op2_url_filter, op3_packing, op4_quality, op5_pii, op6_substring_dedup, op7_ann, op8_decontamination,
-        op9_toxicity, op10_chat_format, op12_phrases, op13_periodic_runs,
+        op9_toxicity, op10_chat_format, op11_minhash, op12_phrases, op13_periodic_runs,
     )
 }
 ORACLE: dict[str, str] = {
@@ -155,6 +159,28 @@ ORACLE: dict[str, str] = {
                sum(CASE WHEN role = 'assistant' THEN stop ELSE 0 END)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op11_minhash": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+                ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS x FROM w
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), c AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+        ), l AS (
+            SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+        ), e AS (
+            SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+        ), r AS (
+            SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached
+        )
+        SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(reached) AS component_id, r.doc_id = min(reached) AS kept
+        FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+    """,
     "op12_phrases": """
         WITH p AS (
             SELECT coalesce(lang, 'und') AS lang, doc, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS k
