@@ -97,7 +97,7 @@ class Trie:
     def states(self, words: np.ndarray, piece: np.ndarray, steps: int) -> np.ndarray:
         """What the phrase of ``steps`` words from each place on accepts (-1: nothing), never over the end of a piece."""
         found = np.full(len(words), -1, np.int64)
-        if not len(self.words) or len(words) < steps:
+        if len(words) < steps:
             return found
         symbol = np.searchsorted(self.words, words)
         symbol[symbol == len(self.words)] = 0
@@ -177,7 +177,7 @@ def _count_longer(trie, steps: int, alone: bool):
 def _tries(phrases: DataFrame, length: int):
     """The tries of the phrases (id, words), one at a time, and their number."""
     total = phrases.count()
-    shards = max(1, -(-total // SHARD))
+    shards = -(-total // SHARD)  # none for no phrases
     for k in range(shards):
         part = phrases.where(F.pmod(F.xxhash64("id"), F.lit(shards)) == k).select("id", "words").toArrow()  # about SHARD rows
         words = part.column("words").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, length)
@@ -207,6 +207,8 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5) -> tup
             summed = pairs.groupBy("id", "h").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
             parts.append(cut(summed))
             sent.unpersist()
+        if not parts:
+            break
         longer = parts[0]
         for p in parts[1:]:
             longer = longer.unionByName(p)
