@@ -19,11 +19,12 @@ the registry side is read in place and only the day's devices move.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daypulse.sources.paths import partition_values
+
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("mid", T.StringType()),
     T.StructField("first_dt", T.StringType()),
@@ -31,11 +32,13 @@ REGISTRY_SCHEMA = T.StructType([
 
 
 def read_registry(spark: SparkSession, registry_path: str) -> DataFrame:
-    """All registered devices (mid, first_dt); empty when nothing was written yet."""
-    try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(registry_path)
-    except AnalysisException:
+    """All registered devices (mid, first_dt); empty when nothing was written yet.
+
+    Only a registry that is not there counts as empty; one that cannot be read raises.
+    """
+    if not partition_values(spark, registry_path, "first_dt"):
         return spark.createDataFrame([], REGISTRY_SCHEMA)
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(registry_path)
 
 
 def update_device_registry(spark: SparkSession, day_devices: DataFrame, registry_path: str,

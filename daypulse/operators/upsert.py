@@ -67,11 +67,15 @@ def compact(spark: SparkSession, table_path: str, key: list[str] | str, order: l
 def latest_offsets(progress: DataFrame) -> DataFrame:
     """S3: per (topic, grp, partition) the until-offset of the newest batch.
 
-    -> (topic, grp, partition, batch_id, until_offset)
+    A log with an ``epoch`` column is ordered by (epoch, batch_id): batch ids
+    start over with each new checkpoint, epochs do not.  Rows without an epoch
+    were written before there were any and come first.
+    -> (topic, grp, partition, [epoch,] batch_id, until_offset)
     """
-    return (progress.groupBy("topic", "grp", "partition")
-            .agg(F.max("batch_id").alias("batch_id"),
-                 F.max_by("until_offset", "batch_id").alias("until_offset")))
+    order = (["epoch"] if "epoch" in progress.columns else []) + ["batch_id"]
+    newest = F.max(F.struct(*order, "until_offset")).alias("_last")  # NULL sorts first
+    return (progress.groupBy("topic", "grp", "partition").agg(newest)
+            .select("topic", "grp", "partition", *[f"_last.{c}" for c in order + ["until_offset"]]))
 
 
 def starting_offsets_json(offsets: DataFrame) -> DataFrame:

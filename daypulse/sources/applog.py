@@ -7,7 +7,7 @@ line is an *event* log.  Lines that are not JSON, or start logs without a
 the task.
 
 A line is valid when ``try_parse_json`` accepts it, whatever the types of its
-fields: it is parsed once into a VARIANT and the fields are read from that as
+fields: it is parsed once into a VARIANT and each field is read from that once as
 text, so a field of an unexpected type is NULL and never costs the line.
 ``ts`` may be a number, a decimal or a quoted number.  A line that repeats a
 key within one object is not accepted by ``try_parse_json`` and is rejected.
@@ -40,33 +40,38 @@ FACT_SCHEMA = T.StructType(
 )
 
 
-def _text(parsed: str, path: str):
-    """A field of the parsed line as text; NULL when absent, JSON null or below a non-object."""
-    return F.try_variant_get(F.col(parsed), path, "string")
+# Fields read from a parsed line, each once: name of the column -> path.
+_FIELDS = {"_start": "$.start", **{f"_{c}": f"$.common.{c}" for c in COMMON_FIELDS}}
 
 
-def event_ms(parsed: str = "_log"):
-    """``ts`` as epoch ms from a number, a decimal or a quoted number; else NULL."""
-    ms = _text(parsed, "$.ts").try_cast("decimal(38,6)").try_cast("bigint")
-    return F.when(ms.between(0, MAX_TS), ms)
+def read_lines(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``_valid`` and the fields of each line (``_start``, ``_mid`` ..., ``_ts``) as text and epoch ms.
 
-
-def parsed_ok(parsed: str = "_log"):
-    """The line is valid JSON."""
-    return F.col(parsed).isNotNull()
-
-
-def with_route(raw: DataFrame, value: str = "value", parsed: str = "_log") -> DataFrame:
-    """Add ``route`` (start / event / reject) and the parsed line ``parsed`` (VARIANT)."""
-    is_start = is_present(_text(parsed, "$.start"))
-    complete = _text(parsed, "$.common.mid").isNotNull() & event_ms(parsed).isNotNull()
+    A line is parsed once and each field read once: the parsed line and the
+    fields come out of one-row generators, below which no filter on them can
+    be pushed, so no predicate repeats the parse.  Absent fields, JSON nulls
+    and fields below a non-object are NULL.
+    """
+    lines = raw.select("*", F.explode(F.array(F.try_parse_json(value))).alias("_log"))
+    fields = [F.try_variant_get("_log", path, "string").alias(name) for name, path in _FIELDS.items()]
+    # a number, a decimal or a quoted number
+    ms = F.try_variant_get("_log", "$.ts", "string").try_cast("decimal(38,6)").try_cast("bigint")
+    read = F.inline(F.array(F.struct(F.col("_log").isNotNull().alias("_valid"), *fields, ms.alias("_ms"))))
+    in_range = F.when(F.col("_ms").between(0, MAX_TS), F.col("_ms"))
+    return lines.select(*raw.columns, read).withColumn("_ts", in_range).drop("_ms")
+
+
+def with_route(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``route`` (start / event / reject) and the columns of :func:`read_lines`."""
+    is_start = is_present(F.col("_start"))
+    complete = F.col("_mid").isNotNull() & F.col("_ts").isNotNull()
     route = (
-        F.when(~parsed_ok(parsed), F.lit(ROUTE_REJECT))
+        F.when(~F.col("_valid"), F.lit(ROUTE_REJECT))
         .when(is_start & complete, F.lit(ROUTE_START))
         .when(is_start, F.lit(ROUTE_REJECT))
         .otherwise(F.lit(ROUTE_EVENT))
     )
-    return raw.select("*", F.try_parse_json(value).alias(parsed)).select("*", route.alias("route"))
+    return read_lines(raw, value).withColumn("route", route)
 
 
 def route_logs(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -76,12 +81,8 @@ def route_logs(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ())
 
 def parse_start_logs(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """F1 + F2: start-route lines flattened to mid, uid, ar, ch, vc, ts (epoch ms)."""
-    routed = with_route(raw, value)
-    return routed.filter(F.col("route") == ROUTE_START).select(
-        *keep,
-        *[_text("_log", f"$.common.{c}").alias(c) for c in COMMON_FIELDS],
-        event_ms("_log").alias("ts"),
-    )
+    starts = with_route(raw, value).filter(F.col("route") == ROUTE_START)
+    return starts.select(*keep, *[F.col(f"_{c}").alias(c) for c in COMMON_FIELDS], F.col("_ts").alias("ts"))
 
 
 def split_routes(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()):

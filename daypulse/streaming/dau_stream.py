@@ -13,7 +13,8 @@ Checkpoints default to a folder below the cluster's shared
                        fact rows, refresh of the day-level gold tables.
 
 Exactly-once: every sink write of micro-batch N overwrites only the folders
-of batch N (``batch_id=N``, under ``dt=D`` for the facts), so a batch re-run
+of batch N (``batch_id=N``, under ``dt=D`` for the facts; a run with a new
+checkpoint has ids of its own, see ``epochs``), so a batch re-run
 after a failure (lost executor, driver restart from the checkpoint) rewrites
 the same folders; state, offsets and the
 batch id commit together in the query checkpoint (unlike the reference, which
@@ -54,6 +55,9 @@ from daypulse.operators.upsert import latest_by_key
 from daypulse.session import checkpoint_subdir
 from daypulse.sources import applog
 from daypulse.sources.paths import partition_values, read_days, remove
+from daypulse.streaming.epochs import Run, drop_uncommitted, epoch_of, start_run
+from daypulse.streaming.gold import fold_changes, hour_changes, mark_recount, recounted, write_changes
+from daypulse.streaming.sources import read_progress  # noqa: F401  (read back what record_offsets wrote)
 
 # Fixed streaming settings.
 BATCH_INTERVAL = "5 seconds"          # T1: micro-batch interval
@@ -100,14 +104,28 @@ def dedup_first_arrival(start: DataFrame, delay: str = STATE_DELAY) -> DataFrame
 
 
 def dedup_first_event(start: DataFrame, delay: str = STATE_DELAY,
-                      tiebreak: str = "offset") -> DataFrame:
-    """T4: earliest event per (mid, event day) -> fact columns; update mode."""
+                      tiebreak: str = "offset", track: bool = False) -> DataFrame:
+    """T4: earliest event per (mid, event day) -> fact columns; update mode.
+
+    With ``track`` the state also keeps, for each hour of the day, the
+    micro-batch time at which the device was first seen in it (a time that a
+    replay repeats), and ``prev_hr`` is the device's first hour before this
+    micro-batch: NULL for a device that is new on that day.
+    """
     carry = [c for c in ("uid", "ar", "ch", "vc") if c in start.columns]
     packed = F.struct(F.col("ts"), F.col(tiebreak), *[F.col(c) for c in carry])
-    agg = (late_policy(start, delay).groupBy("mid", "day")
-           .agg(F.min(packed).alias("_f")))
-    firsts = agg.select("mid", *[F.col(f"_f.{c}").alias(c) for c in ["ts", tiebreak] + carry])
-    return _fact_columns(firsts)
+    rows, slots, keep = late_policy(start, delay), [], ()
+    if track:
+        rows = rows.withColumn("_now", F.current_timestamp()).withColumn("_hr", F.hour("event_time"))
+        slots = [F.min(F.when(F.col("_hr") == h, F.col("_now"))).alias(f"_h{h}") for h in range(24)]
+    agg = rows.groupBy("mid", "day").agg(F.min(packed).alias("_f"), *slots)
+    firsts = agg.select("mid", *[F.col(f"_f.{c}").alias(c) for c in ["ts", tiebreak] + carry],
+                        *[f"_h{h}" for h in range(24) if track])
+    if track:
+        before = F.coalesce(*[F.when(F.col(f"_h{h}") != F.current_timestamp(), F.lit(f"{h:02d}"))
+                              for h in range(24)])
+        firsts, keep = firsts.withColumn("prev_hr", before), ("prev_hr",)
+    return _fact_columns(firsts, keep)
 
 
 def _fact_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -151,10 +169,14 @@ def raw_archive(batch: DataFrame, archive_path: str, batch_id: int) -> None:
 
 
 def record_offsets(batch: DataFrame, progress_path: str, batch_id: int,
-                   topic: str, group: str) -> None:
-    """S3 sink: until-offset per partition of this batch (written after the data sinks)."""
+                   topic: str, group: str, run: Run = Run()) -> None:
+    """S3 sink: until-offset per partition of this batch (written after the data sinks).
+
+    ``batch_id`` is the stored id (see :mod:`daypulse.streaming.epochs`).
+    """
     (batch.groupBy("partition").agg((F.max("offset") + 1).alias("until_offset"))
      .select(F.lit(topic).alias("topic"), F.lit(group).alias("grp"), "partition",
+             F.lit(run.epoch).cast("bigint").alias("epoch"), F.lit(run.run).alias("run"),
              F.lit(int(batch_id)).cast("bigint").alias("batch_id"), "until_offset")
      .write.mode("overwrite").parquet(_batch_dir(progress_path, batch_id)))
 
@@ -166,15 +188,11 @@ def record_route_counts(routed: DataFrame, stats_path: str, batch_id: int) -> No
      .write.mode("overwrite").parquet(_batch_dir(stats_path, batch_id)))
 
 
-def read_progress(spark: SparkSession, progress_path: str) -> DataFrame:
-    """The visible offset log: (topic, grp, partition, batch_id, until_offset)."""
-    return spark.read.parquet(progress_path)
-
-
 class RouterBatchWriter:
     """foreachBatch body of the router stream (S3, S4, S5; route counts for Q4)."""
 
-    def __init__(self, out_base: str, topic: str, group: str):
+    def __init__(self, out_base: str, topic: str, group: str, run: Run = Run()):
+        self.run = run
         self.lines = os.path.join(out_base, "lines")
         self.archive = os.path.join(out_base, "archive")
         self.progress = os.path.join(out_base, "progress")
@@ -182,14 +200,14 @@ class RouterBatchWriter:
         self.topic, self.group = topic, group
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        routed = (applog.with_route(batch)
-                  .withColumn("parsed", applog.parsed_ok("_log")).drop("_log").persist())
+        batch_id = self.run.batch(batch_id)
+        routed = applog.with_route(batch).select(*batch.columns, "_valid", "route").persist()
         try:
-            write_routes(routed.drop("parsed"), self.lines, batch_id)
+            write_routes(routed, self.lines, batch_id)
             # archive every valid line; invalid ones stay in the reject route
-            raw_archive(routed.filter("parsed"), self.archive, batch_id)
+            raw_archive(routed.filter("_valid"), self.archive, batch_id)
             record_route_counts(routed, self.stats, batch_id)
-            record_offsets(routed, self.progress, batch_id, self.topic, self.group)
+            record_offsets(routed, self.progress, batch_id, self.topic, self.group, self.run)
         finally:
             routed.unpersist()
 
@@ -205,7 +223,8 @@ class DauBatchWriter:
     def __init__(self, table_path: str, gold_path: str | None = None,
                  quarantine_path: str | None = None, progress_path: str | None = None,
                  topic: str | None = None, group: str | None = None,
-                 merge_every: int = MERGE_EVERY):
+                 merge_every: int = MERGE_EVERY, run: Run = Run()):
+        self.run = run
         self.table_path = table_path
         self.gold_path = gold_path
         self.quarantine_path = quarantine_path or table_path.rstrip("/") + "_quarantine"
@@ -213,7 +232,7 @@ class DauBatchWriter:
         self.merge_every = merge_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, number, batch_id = batch.sparkSession, int(batch_id), self.run.batch(batch_id)
         rows = (batch if "kind" in batch.columns
                 else batch.withColumn("kind", F.lit(IN_TIME))).persist()
         try:
@@ -221,23 +240,46 @@ class DauBatchWriter:
             found = [(r.kind, r.dt) for r in rows.filter(F.col("kind") != OFFSET)
                      .select("kind", "dt").distinct().collect()]
             days = sorted({dt for kind, dt in found if kind != FUTURE})
+            late = sorted({dt for kind, dt in found if kind == LATE})
             if days:
                 self._write_facts(rows, batch_id)
             if any(kind == FUTURE for kind, _ in found):
                 _write_days(rows.filter(F.col("kind") == FUTURE).select(*applog.FACT_COLUMNS),
                             self.quarantine_path, batch_id)
-            if self.merge_every and (batch_id + 1) % self.merge_every == 0:
+            merge = bool(self.merge_every) and (number + 1) % self.merge_every == 0
+            if merge:
                 # no other writer touches the table while this batch runs
                 compact_fact_days(spark, self.table_path, days)
             if self.gold_path:
-                for i in range(0, len(days), GOLD_DAYS):
-                    refresh_gold(spark, self.table_path, self.gold_path, days[i:i + GOLD_DAYS])
+                self._refresh(rows, batch_id, days, late, merge)
             if self.progress_path:  # S3: after the sinks
                 record_offsets(rows.filter(F.col("kind") == OFFSET), self.progress_path,
-                               batch_id, self.topic, self.group)
+                               batch_id, self.topic, self.group, self.run)
         finally:
             rows.unpersist()
 
+    def _refresh(self, rows: DataFrame, batch_id: int, days: list[str], late: list[str],
+                 merge: bool) -> None:
+        """Add this batch's changes to the stored hours; recount days whose state is not whole.
+
+        A day is recounted from its facts, now and in every later batch, once
+        it has rows that the state does not know: late ones, or those of an
+        earlier run (a new checkpoint starts with an empty state).
+        """
+        spark = rows.sparkSession
+        tracked = "prev_hr" in rows.columns
+        mark_recount(spark, self.gold_path, late if tracked else days)
+        again = recounted(spark, self.gold_path)
+        whole = [d for d in days if d in again]
+        for i in range(0, len(whole), GOLD_DAYS):
+            refresh_gold(spark, self.table_path, self.gold_path, whole[i:i + GOLD_DAYS])
+        changed = [d for d in days if d not in again]
+        for i in range(0, len(changed), GOLD_DAYS):
+            some = changed[i:i + GOLD_DAYS]
+            in_time = rows.filter((F.col("kind") == IN_TIME) & F.col("dt").isin(some))
+            write_changes(hour_changes(in_time), self.gold_path, batch_id)
+            fold_changes(spark, self.gold_path, some, merge)
+
     def _write_facts(self, rows: DataFrame, batch_id: int) -> None:
         """S6 + S8: day-first layout ``dt=D/batch_id=N``.
 
@@ -375,9 +417,12 @@ def run_router_stream(raw: DataFrame, out_base: str, checkpoint: str | None = No
 
     ``topic`` is the topic that ``raw`` was read from; its offsets are recorded under it.
     """
-    checkpoint = _checkpoint(raw.sparkSession, checkpoint, name)
-    return _start(raw.writeStream.foreachBatch(RouterBatchWriter(out_base, topic, group)),
-                  checkpoint, trigger, name)
+    spark = raw.sparkSession
+    checkpoint = _checkpoint(spark, checkpoint, name)
+    run = start_run(spark, checkpoint, [out_base])
+    writer = RouterBatchWriter(out_base, topic, group, run)
+    drop_uncommitted(spark, run, writer.progress, [writer.lines, writer.archive, writer.stats])
+    return _start(raw.writeStream.foreachBatch(writer), checkpoint, trigger, name)
 
 
 def _parsed_arrivals(start_lines: DataFrame) -> DataFrame:
@@ -397,27 +442,36 @@ def run_dau_stream(start_lines: DataFrame, table_path: str, checkpoint: str | No
     ``timestamp`` (the broker's).  ``mode`` is ``first_event`` (T4, update mode) or
     ``first_arrival`` (T3, append mode).  With ``progress_path`` the job records
     its own until-offsets after its sinks, under ``topic`` and ``group`` (S3).
-    Wrong clocks go to ``quarantine_path`` (default: beside the table).
+    Wrong clocks go to ``quarantine_path`` (default: beside the table).  With a
+    new checkpoint on a filled table the run takes a new epoch: it adds to what
+    is stored, and batches whose offsets were not recorded are dropped first.
     """
-    checkpoint = _checkpoint(start_lines.sparkSession, checkpoint, name)
+    spark = start_lines.sparkSession
+    checkpoint = _checkpoint(spark, checkpoint, name)
+    run = start_run(spark, checkpoint, [table_path, *([progress_path] if progress_path else [])])
+    if progress_path:
+        drop_uncommitted(spark, run, progress_path, [table_path])
+    if gold_path and run.new and run.epoch:  # the new state knows none of the stored days
+        mark_recount(spark, gold_path, partition_values(spark, table_path, "dt"))
     arrivals = _parsed_arrivals(start_lines)
     in_time = observed(arrivals.filter(F.col("kind") == IN_TIME), "dedup_in")
     if mode == "first_event":
-        deduped, out_mode = dedup_first_event(in_time, delay), "update"
+        deduped, out_mode = dedup_first_event(in_time, delay, track=bool(gold_path)), "update"
     elif mode == "first_arrival":
         deduped, out_mode = dedup_first_arrival(in_time, delay), "append"
+        deduped = deduped.withColumn("prev_hr", F.lit(None).cast("string"))  # a row per device and day
     else:
         raise ValueError(f"unknown dedup mode {mode!r}")
     rows = observed(deduped, "dedup_out").withColumn("kind", F.lit(IN_TIME))
     aside = arrivals.filter(F.col("kind") != IN_TIME).observe(
         "aside", F.count_if(F.col("kind") == LATE).alias(LATE),
         F.count_if(F.col("kind") == FUTURE).alias(FUTURE))
-    rows = rows.unionByName(_fact_columns(aside, keep=("kind",)))
+    rows = rows.unionByName(_fact_columns(aside, keep=("kind",)), allowMissingColumns=True)
     if progress_path:
         offsets = start_lines.select(F.lit(OFFSET).alias("kind"), "partition", "offset")
         rows = rows.unionByName(offsets, allowMissingColumns=True)
     writer = DauBatchWriter(table_path, gold_path, quarantine_path, progress_path, topic, group,
-                            merge_every)
+                            merge_every, run)
     return _start(rows.writeStream.outputMode(out_mode).foreachBatch(writer),
                   checkpoint, trigger, name)
 
@@ -438,18 +492,37 @@ class HourlyBatchWriter:
     skip the state) are counted per hour and add to it.
     """
 
-    def __init__(self, table_path: str):
-        self.table_path = table_path
+    def __init__(self, table_path: str, progress_path: str | None = None,
+                 topic: str | None = None, group: str | None = None, run: Run = Run()):
+        self.table_path, self.run = table_path, run
+        self.progress_path, self.topic, self.group = progress_path, topic, group
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.groupBy("dt", "hr", "late").agg(F.sum("launches").alias("launches"))
-        _write_days(rows, self.table_path, batch_id)
+        batch_id = self.run.batch(batch_id)
+        counted = batch.filter(F.col("late").isNotNull())
+        rows = counted.groupBy("dt", "hr", "late").agg(F.sum("launches").alias("launches"))
+        if not self.progress_path:
+            _write_days(rows, self.table_path, batch_id)
+            return
+        batch.persist()
+        try:
+            _write_days(rows, self.table_path, batch_id)
+            record_offsets(batch.filter(F.col("late").isNull()), self.progress_path, batch_id,
+                           self.topic, self.group, self.run)
+        finally:
+            batch.unpersist()
+
+
+def _hour_versions(df: DataFrame) -> DataFrame:
+    """The newest version of each (dt, hr) in each run: a run counts only the rows it read itself."""
+    versions = df.filter(~F.col("late")).withColumn("epoch", epoch_of("batch_id"))
+    return latest_by_key(versions, ["dt", "hr", "epoch"], [])
 
 
 def read_hourly(spark: SparkSession, table_path: str, days: list[str] | None = None) -> DataFrame:
-    """Current hourly launches: the newest version of each (dt, hr) plus its late rows."""
+    """Current hourly launches: each run's newest version of each (dt, hr) plus its late rows."""
     df = read_days(spark, table_path, HOURLY_SCHEMA, days)
-    newest = latest_by_key(df.filter(~F.col("late")), ["dt", "hr"], []).select("dt", "hr", "launches")
+    newest = _hour_versions(df).select("dt", "hr", "launches")
     late = df.filter("late").select("dt", "hr", "launches")
     return newest.unionByName(late).groupBy("dt", "hr").agg(F.sum("launches").alias("launches"))
 
@@ -464,7 +537,7 @@ def compact_hourly_days(spark: SparkSession, table_path: str, days: list[str]) -
         ids = [int(v) for v in partition_values(spark, folder, "batch_id")]
         df = read_days(spark, table_path, HOURLY_SCHEMA, [day])
         late_ids = {r.batch_id for r in df.filter("late").select("batch_id").distinct().collect()}
-        newest = latest_by_key(df.filter(~F.col("late")), ["dt", "hr"], [])
+        newest = _hour_versions(df)
         keep = {r.batch_id for r in newest.select("batch_id").distinct().collect()}
         for i in ids:
             if i not in keep and i not in late_ids:
@@ -473,17 +546,27 @@ def compact_hourly_days(spark: SparkSession, table_path: str, days: list[str]) -
 
 def run_launches_hourly_stream(start_lines: DataFrame, table_path: str,
                                checkpoint: str | None = None, delay: str = STATE_DELAY,
-                               trigger: str | None = None, name: str | None = None):
+                               trigger: str | None = None, name: str | None = None,
+                               progress_path: str | None = None, topic: str = "app_start",
+                               group: str = "hourly_group"):
     """Launches per event hour, update mode, upserted per micro-batch.
 
     Late rows add to their hour without the state; rows of a wrong clock are
-    left out (the DAU stream keeps them in its quarantine).
+    left out (the DAU stream keeps them in its quarantine).  With
+    ``progress_path`` the job records its own until-offsets, from which a new
+    checkpoint can go on.
     """
-    checkpoint = _checkpoint(start_lines.sparkSession, checkpoint, name)
+    spark = start_lines.sparkSession
+    checkpoint = _checkpoint(spark, checkpoint, name)
+    run = start_run(spark, checkpoint, [table_path, *([progress_path] if progress_path else [])])
+    if progress_path:
+        drop_uncommitted(spark, run, progress_path, [table_path])
     arrivals = _parsed_arrivals(start_lines)
     counted = launches_hourly_stream(arrivals.filter(F.col("kind") == IN_TIME), delay)
     late = _fact_columns(arrivals.filter(F.col("kind") == LATE)).select(
         "dt", "hr", F.lit(1).cast("bigint").alias("launches"), F.lit(True).alias("late"))
     rows = counted.withColumn("late", F.lit(False)).unionByName(late)
-    return _start(rows.writeStream.outputMode("update").foreachBatch(HourlyBatchWriter(table_path)),
-                  checkpoint, trigger, name)
+    if progress_path:
+        rows = rows.unionByName(start_lines.select("partition", "offset"), allowMissingColumns=True)
+    writer = HourlyBatchWriter(table_path, progress_path, topic, group, run)
+    return _start(rows.writeStream.outputMode("update").foreachBatch(writer), checkpoint, trigger, name)

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daypulse.sources.paths import visible_names
+
 LINE_SCHEMA = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
@@ -26,6 +28,13 @@ LINE_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
+# The visible offset log: one row per partition and batch; ``batch_id`` is the stored id.
+PROGRESS_SCHEMA = T.StructType([
+    T.StructField("topic", T.StringType()), T.StructField("grp", T.StringType()),
+    T.StructField("partition", T.IntegerType()), T.StructField("epoch", T.LongType()),
+    T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType()),
+    T.StructField("until_offset", T.LongType())])
+
 
 def kafka_options(bootstrap: str, topic: str, group: str | None = None,
                   starting_offsets: str | None = None,
@@ -79,27 +88,53 @@ def source_stream(spark: SparkSession, kind: str = "kafka", **kw) -> DataFrame:
     raise ValueError(f"unknown source kind {kind!r}")
 
 
+def read_progress(spark: SparkSession, progress_path: str) -> DataFrame:
+    """The visible offset log: (topic, grp, partition, epoch, run, batch_id, until_offset)."""
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(progress_path)
+
+
+def stored_offsets(spark: SparkSession, progress_path: str, topic: str,
+                   group: str | None = None) -> DataFrame | None:
+    """The newest until-offset of each partition of ``topic``; None when nothing was written yet.
+
+    Only a log that does not exist counts as nothing: one that cannot be read raises.
+    """
+    from daypulse.operators.upsert import latest_offsets
+
+    if not visible_names(spark, progress_path):
+        return None
+    prog = read_progress(spark, progress_path).filter(F.col("topic") == topic)
+    if group is not None:
+        prog = prog.filter(F.col("grp") == group)
+    return latest_offsets(prog)
+
+
 def resume_kafka_options(spark: SparkSession, progress_path: str, bootstrap: str, topic: str,
                          group: str | None = None, **kw) -> dict[str, str]:
     """Start from the stored offsets when there are any, else from ``latest``.
 
-    Reads the visible offset log (``topic, grp, partition, batch_id,
-    until_offset``) written by the router stream, keeps the newest until-offset
-    per partition and renders Kafka's ``startingOffsets`` JSON.  Needed only
-    for a new checkpoint; an existing checkpoint already knows its offsets.
+    Reads the visible offset log written by the streams, keeps the until-offset
+    of the newest (epoch, batch) per partition and renders Kafka's
+    ``startingOffsets`` JSON.  Needed only for a new checkpoint; an existing
+    checkpoint already knows its offsets.
+    """
+    from daypulse.operators.upsert import starting_offsets_json
+
+    stored = stored_offsets(spark, progress_path, topic, group)
+    row = starting_offsets_json(stored).first() if stored is not None else None  # one row per topic
+    return kafka_options(bootstrap, topic, group, starting_offsets=row.json if row else None, **kw)
+
+
+def resume_lines(spark: SparkSession, lines: DataFrame, progress_path: str, topic: str,
+                 group: str | None = None) -> DataFrame:
+    """S2 for a replayable source: the lines from the stored offsets on.
+
+    The offsets become a literal map (one entry per partition of the topic);
+    a partition without a stored offset is read from its start.
     """
-    from pyspark.errors import AnalysisException
-
-    from daypulse.operators.upsert import latest_offsets, starting_offsets_json
-
-    starting = None
-    try:  # works on any Hadoop-compatible path; missing / empty log -> no offsets
-        prog = spark.read.parquet(progress_path).filter(F.col("topic") == topic)
-    except AnalysisException:
-        prog = None
-    if prog is not None:
-        if group is not None:
-            prog = prog.filter(F.col("grp") == group)
-        row = starting_offsets_json(latest_offsets(prog)).first()  # one row per topic
-        starting = row.json if row else None
-    return kafka_options(bootstrap, topic, group, starting_offsets=starting, **kw)
+    stored = stored_offsets(spark, progress_path, topic, group)
+    until = {r["partition"]: r["until_offset"] for r in stored.collect()} if stored is not None else {}
+    if not until:
+        return lines
+    starts = F.create_map(*[F.lit(x) for pair in sorted(until.items()) for x in pair])
+    return lines.filter(F.col("offset") >= F.coalesce(starts[F.col("partition")], F.lit(0)))

@@ -3,10 +3,11 @@
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from daypulse.plans.catalog import QUERIES
 from tests.compare import compare
 from tests.conftest import SF001
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)

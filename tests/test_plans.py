@@ -26,3 +26,10 @@ def test_plan_shape(spark, name):
     scans = Counter(SCAN.findall(plan))
     assert scans, plan
     assert max(scans.values()) <= (2 if name in TWO_INPUTS else 1), scans
+
+
+def test_lines_are_parsed_once(spark):
+    """Neither the filter on the route nor the field reads repeat the JSON parse."""
+    for name in ("parse_logs", "dau_detail", "route_logs"):
+        plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("try_parse_json") + plan.count("parseJson") == 1, plan

@@ -353,7 +353,7 @@ def test_source_stream_files_and_progress_reader(spark, line_dir):
     q = ds.run_router_stream(s, out, _scratch(), topic="app_log", trigger="availableNow")
     q.awaitTermination(300)
     prog = ds.read_progress(spark, os.path.join(out, "progress"))
-    assert set(prog.columns) == {"topic", "grp", "partition", "batch_id", "until_offset"}
+    assert set(prog.columns) == {"topic", "grp", "partition", "epoch", "run", "batch_id", "until_offset"}
     assert prog.select("batch_id").distinct().count() == len(os.listdir(line_dir))
 
 
