@@ -29,9 +29,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daypulse.operators import keyword
 from daypulse.functions.scalar import age_band, share_pct
 from daypulse.functions.timeparts import day_string
 from daypulse.sources.tables import read_table
@@ -68,9 +69,11 @@ class DetailTables:
     """Filtered, column-pruned dimension and fact frames for one search."""
 
     def __init__(self, spark: SparkSession, base: str, search: Search = Search(),
-                 reader: Callable[[str], DataFrame] | None = None):
+                 reader: Callable[[str], DataFrame] | None = None, index: DataFrame | None = None):
         """``reader(name)`` overrides where tables come from (e.g. bucketed
-        catalog tables from ``sources.layout``); default: parquet under ``base``."""
+        catalog tables from ``sources.layout``); default: parquet under ``base``.
+        With a keyword ``index`` of the part names, the keyword reads its
+        postings instead of every name."""
         self.search = search
         read = reader or (lambda name: read_table(spark, name, base))
         self.lineitem = read("lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
@@ -92,7 +95,9 @@ class DetailTables:
             "p_partkey", F.col("p_size").alias("user_age"),
             F.col("p_retailprice").alias("sku_price"), F.col("p_name").alias("sku_name"),
             F.col("p_brand").alias("sku_tm_id"))
-        if search.keyword:
+        if search.keyword and index is not None:
+            part = keyword.matching(part, index, search.keyword, "p_partkey", "sku_name")
+        elif search.keyword:
             part = part.filter(F.lower(F.col("sku_name")).contains(search.keyword.lower()))
         self.part = part
 
@@ -103,9 +108,13 @@ class DetailTables:
 
 
 def sale_detail_wide(spark: SparkSession, base: str, search: Search = Search(),
-                     reader: Callable[[str], DataFrame] | None = None) -> DataFrame:
+                     reader: Callable[[str], DataFrame] | None = None,
+                     index: DataFrame | None = None) -> DataFrame:
     """The wide order-detail rows matching ``search``."""
-    t = DetailTables(spark, base, search, reader)
+    return _wide(DetailTables(spark, base, search, reader, index))
+
+
+def _wide(t: DetailTables) -> DataFrame:
     # no repartition by the order key before the join: only an exchange that the
     # planner adds itself can be split when one order holds many lines
     rows = (
@@ -137,6 +146,51 @@ def sale_detail_page(spark: SparkSession, base: str, search: Search = Search(),
     return wide.orderBy(*PAGE_ORDER).offset((page - 1) * size).limit(size)
 
 
+def page_directory(t: DetailTables, width: int) -> DataFrame:
+    """L3: (dt, block, n, before): matching lines per block of ``width`` order ids of a day, and those ahead of it.
+
+    Blocks follow the page order (dt, order_id, ...).  Lines are counted per
+    order before any join; the running sums go over the day rows and over the
+    blocks of one day.
+    """
+    lines = t.lineitem.join(t.part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"), "left_semi")
+    orders = t.valid_orders().select("o_orderkey", "dt")
+    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    blocks = (per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+              .groupBy("dt", F.floor(F.col("l_orderkey") / width).alias("block")).agg(F.sum("n").alias("n")))
+    ahead = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    days = blocks.groupBy("dt").agg(F.sum("n").alias("n"))
+    base = days.select("dt", ahead(Window.orderBy("dt")).alias("base"))  # one row a calendar day
+    inner = blocks.withColumn("inner", ahead(Window.partitionBy("dt").orderBy("block")))
+    return inner.join(base, "dt").select("dt", "block", "n", (F.col("base") + F.col("inner")).alias("before"))
+
+
+def sale_detail_jump(spark: SparkSession, base: str, search: Search = Search(),
+                     page: int = 1, size: int = 20, width: int = 4096,
+                     reader: Callable[[str], DataFrame] | None = None,
+                     index: DataFrame | None = None) -> DataFrame:
+    """L3: any page of the search, found by the rank directory; equal to :func:`sale_detail_page`.
+
+    The directory gives the blocks that the page lies in; only their orders
+    are joined and sorted, so a task keeps at most a block and a page of rows
+    however deep the page is.  A page beyond the last has no rows.
+    """
+    if page < 1 or size < 1:
+        raise ValueError("page and size start at 1")
+    t = DetailTables(spark, base, search, reader, index)
+    lo, hi = (page - 1) * size, page * size
+    here = page_directory(t, width).filter((F.col("before") < hi) & (F.col("before") + F.col("n") > lo))
+    # one row: the first and the last block of the page
+    span = here.agg(F.min(F.struct("dt", "block", "before")).alias("a"), F.max(F.struct("dt", "block")).alias("z")).first()
+    if span["a"] is None:
+        return _wide(t).limit(0)
+    block = F.floor(F.col("o_orderkey") / width)
+    place = F.struct(F.col("dt"), block.alias("block"))
+    at = lambda r: F.struct(F.lit(r["dt"]).alias("dt"), F.lit(r["block"]).cast("bigint").alias("block"))
+    t.orders = t.orders.filter(place.between(at(span["a"]), at(span["z"])))
+    return _wide(t).orderBy(*PAGE_ORDER).offset(lo - span["a"]["before"]).limit(size)
+
+
 def sale_detail_page_after(spark: SparkSession, base: str, search: Search = Search(),
                            after: tuple | None = None, size: int = 20,
                            reader: Callable[[str], DataFrame] | None = None) -> DataFrame:

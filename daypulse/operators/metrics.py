@@ -308,13 +308,16 @@ def realtime_total(dau: DataFrame, new_mid: DataFrame, amount: DataFrame) -> Dat
 def totals_json(cards: DataFrame) -> DataFrame:
     """Per day the JSON card list ``[{"id","name","value"}, ...]`` in card order.
 
-    Values are written as DECIMAL(18,2) numbers; each group is the 3 cards of a day.
+    Device counts are whole numbers, the amount has two decimals.  Each group is the 3 cards of a day.
     """
-    agg = cards.groupBy("dt").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "id", "name", "value"))).alias("c"))
-    return agg.select("dt", F.to_json(F.transform(
-        "c", lambda x: F.struct(x["id"].alias("id"), x["name"].alias("name"),
-                                x["value"].cast(MONEY).alias("value")))).alias("json"))
+    money = F.col("id") == CARD_ORDER_AMOUNT[0]
+    number = F.when(money, F.col("value").cast(MONEY).cast("string")).otherwise(F.col("value").cast("bigint").cast("string"))
+    # to_json writes one number form for a column, so the value goes in as text behind the named fields
+    named = F.to_json(F.struct("id", "name"))
+    card = F.concat(F.expr("left(j, length(j) - 1)"), F.lit(',"value":'), F.col("number"), F.lit("}"))
+    rows = cards.select("dt", "ord", named.alias("j"), number.alias("number")).select("dt", "ord", card.alias("card"))
+    agg = rows.groupBy("dt").agg(F.array_sort(F.collect_list(F.struct("ord", "card"))).alias("c"))
+    return agg.select("dt", F.concat(F.lit("["), F.array_join(F.col("c.card"), ","), F.lit("]")).alias("json"))
 
 
 # --- A15 -----------------------------------------------------------------------

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from daypulse.functions.scalar import dau_query_alias, dau_set_key, dau_table_name
 from daypulse.functions.timeparts import day_of_ms, epoch_ms, with_time_parts
-from daypulse.operators import detail, metrics, region, upsert
+from daypulse.operators import continuity, detail, distinct, keyword, metrics, region, upsert
 from daypulse.operators.dedup import anti_backfill, first_seen
 from daypulse.sources import applog, testdata as td
 from daypulse.sources.tables import read_table
+from daypulse.streaming import gold
 from daypulse.streaming.dau_stream import arrival_class
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,9 @@ SEARCH_PAGE = 2
 SEARCH_SIZE = 20
 SEARCH_DATE = "1996-08-12"
 SEARCH_LEVEL = 1
+# Keywords of the registered index search (of one, two and more letters, and one without a match), and its deep page.
+INDEX_KEYWORDS = ("e", "re", "red", "blue", "antique", "RED BLU", "zzzz")
+DEEP_PAGE = 1500
 
 
 # --- ingest -------------------------------------------------------------------
@@ -254,6 +258,50 @@ def q_array_terms(spark, base):
     return region.product_name_terms(spark, base)
 
 
+def q_resume_offsets(spark, base):
+    """The newest offsets of a log that new checkpoints went on with."""
+    return upsert.latest_offsets(td.restarted_progress(spark, base))
+
+
+def q_offset_gaps(spark, base):
+    """What the archive lacks and what it holds twice."""
+    return continuity.offset_report(td.archived_offsets(spark, base), block=1024)
+
+
+def q_dau_hour_folded(spark, base):
+    """The stored hours from the change rows of all micro-batches."""
+    emitted = td.emitted_firsts(spark, base)
+    changes = gold.hour_changes(emitted.withColumn("dt", F.struct("dt", "batch_id")))  # a change row per batch
+    return gold.fold(changes.select("dt.dt", "hr", "delta"))
+
+
+def q_active_windows(spark, base):
+    """Daily, weekly and monthly active devices from hourly bitmaps."""
+    logs = td.start_logs(spark, base)
+    return distinct.trailing_devices(distinct.hour_bitmaps(logs, distinct.device_numbers(logs)))
+
+
+def q_active_by_shift(spark, base):
+    """Distinct devices per day and eight-hour shift, merged from hourly bitmaps."""
+    logs = td.start_logs(spark, base)
+    hours = distinct.hour_bitmaps(logs, distinct.device_numbers(logs))
+    shift = F.floor(F.col("hr").cast("int") / 8).cast("int")
+    return distinct.devices_in(hours.withColumn("shift", shift), "dt", "shift")
+
+
+def q_keyword_matches(spark, base):
+    """Parts by keyword through the index of their names."""
+    parts = read_table(spark, "part", base).select("p_partkey", "p_name")
+    index = keyword.build_index(parts, "p_partkey", "p_name")
+    found = keyword.matches_of_all(spark, parts, index, list(INDEX_KEYWORDS), "p_partkey", "p_name")
+    return found.select("keyword", F.col("id").alias("sku_id"), F.col("text").alias("sku_name"))
+
+
+def q_sale_detail_deep_page(spark, base):
+    """L3: a deep page by the rank directory."""
+    return detail.sale_detail_jump(spark, base, page=DEEP_PAGE, size=SEARCH_SIZE)
+
+
 QUERIES: dict[str, Query] = {
     "route_logs": q_route_logs,
     "parse_logs": q_parse_logs,
@@ -299,4 +347,11 @@ QUERIES: dict[str, Query] = {
     "region_bins": q_region_bins,
     "sales_by_name": q_sales_by_name,
     "array_terms": q_array_terms,
+    "resume_offsets": q_resume_offsets,
+    "offset_gaps": q_offset_gaps,
+    "dau_hour_folded": q_dau_hour_folded,
+    "active_windows": q_active_windows,
+    "active_by_shift": q_active_by_shift,
+    "keyword_matches": q_keyword_matches,
+    "sale_detail_deep_page": q_sale_detail_deep_page,
 }

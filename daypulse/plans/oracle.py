@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from daypulse.functions.scalar import AGE_BAND_LABELS
 from daypulse.plans.catalog import (
-    SEARCH_DATE, SEARCH_KEYWORD, SEARCH_LEVEL, SEARCH_PAGE, SEARCH_SIZE)
+    DEEP_PAGE, INDEX_KEYWORDS, SEARCH_DATE, SEARCH_KEYWORD, SEARCH_LEVEL, SEARCH_PAGE, SEARCH_SIZE)
 
 # --- shared CTEs ------------------------------------------------------------
 
@@ -215,8 +215,9 @@ SELECT dt, today, yesterday,
 FROM j""",
     "realtime_total": f"WITH {_CARDS}\nSELECT * FROM cards",
     "totals_json": f"""WITH {_CARDS}
-SELECT dt, CAST(to_json(list({{'id': id, 'name': name, 'value': CAST(value AS DECIMAL(18,2))}}
-                            ORDER BY ord)) AS VARCHAR) AS json
+SELECT dt, '[' || string_agg('{{"id":"' || id || '","name":"' || name || '","value":' ||
+         CASE WHEN id = 'order_amount' THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)
+              ELSE CAST(CAST(value AS BIGINT) AS VARCHAR) END || '}}', ',' ORDER BY ord) || ']' AS json
 FROM cards GROUP BY dt""",
     "latest_offsets": """WITH prog AS (
   SELECT 'app_start' AS topic, 'dau_group' AS grp, CAST(event_id % 4 AS INTEGER) AS partition,
@@ -266,4 +267,34 @@ FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY p.p_name""",
 SELECT term, count(*) AS doc_count
 FROM (SELECT unnest(list_distinct(string_split(p_name, ' '))) AS term FROM part)
 GROUP BY term ORDER BY doc_count DESC, term ASC LIMIT 10""",
+    "resume_offsets": """WITH rows AS (
+  SELECT event_id, event_id // 2500 AS epoch, (event_id % 2500) // 1000 AS batch_id FROM events
+  UNION ALL
+  SELECT event_id, event_id // 2500 + 1, 0 FROM events WHERE event_id % 2500 >= 2000),
+prog AS (
+  SELECT CAST(event_id % 4 AS INTEGER) AS partition, epoch, batch_id, max(event_id) + 1 AS until_offset
+  FROM rows GROUP BY 1, 2, 3)
+SELECT 'app_start' AS topic, 'dau_group' AS grp, partition, epoch, batch_id, until_offset FROM prog
+QUALIFY row_number() OVER (PARTITION BY partition ORDER BY epoch DESC, batch_id DESC) = 1""",
+    "offset_gaps": """WITH a AS (
+  SELECT CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS o,
+         CASE WHEN event_id % 211 = 0 THEN 2 ELSE 1 END AS times
+  FROM events WHERE event_id % 97 <> 13 AND event_id NOT BETWEEN 500 AND 519),
+g AS (SELECT partition, o, lag(o) OVER (PARTITION BY partition ORDER BY o) AS p FROM a)
+SELECT partition, 'missing' AS kind, p + 1 AS first, o - 1 AS last, o - p - 1 AS n FROM g WHERE o - p > 1
+UNION ALL
+SELECT partition, 'repeated', o, o, CAST(times AS BIGINT) FROM a WHERE times > 1""",
+    "dau_hour_folded": f"WITH {_SL}, {_FIRST}, {_DAU_HOUR}\nSELECT dt, hr, dau FROM dau_hour",
+    "active_windows": f"""WITH {_SL}, d AS (SELECT DISTINCT dt, CAST(dt AS DATE) AS day, mid FROM sl),
+days AS (SELECT DISTINCT dt, day FROM d)
+SELECT days.dt, count(DISTINCT CASE WHEN d.day = days.day THEN mid END) AS active_1d,
+       count(DISTINCT CASE WHEN d.day > days.day - 7 THEN mid END) AS active_7d, count(DISTINCT mid) AS active_30d
+FROM days JOIN d ON d.day <= days.day AND d.day > days.day - 30 GROUP BY days.dt""",
+    "active_by_shift": f"""WITH {_SL}
+SELECT dt, CAST(CAST(hr AS INTEGER) // 8 AS INTEGER) AS shift, count(DISTINCT mid) AS devices FROM sl GROUP BY 1, 2""",
+    "keyword_matches": f"""SELECT k.keyword, p_partkey AS sku_id, p_name AS sku_name
+FROM part, (SELECT unnest({list(INDEX_KEYWORDS)!r}) AS keyword) k
+WHERE contains(lower(p_name), lower(k.keyword))""",
+    "sale_detail_deep_page": f"""WITH {_WIDE.format(where='')}
+SELECT * FROM wide ORDER BY {_PAGE_ORDER} LIMIT {SEARCH_SIZE} OFFSET {(DEEP_PAGE - 1) * SEARCH_SIZE}""",
 }

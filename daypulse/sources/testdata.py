@@ -24,10 +24,10 @@ Everything here is a lazy DataFrame over the tables, so work grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daypulse.functions.timeparts import epoch_ms, in_days
+from daypulse.functions.timeparts import day_of_ms, epoch_ms, hour_of_ms, in_days
 from daypulse.plans.parallelism import spread
 from daypulse.sources.tables import read_table
 
@@ -171,6 +171,48 @@ def stream_progress(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def restarted_progress(spark: SparkSession, base: str) -> DataFrame:
+    """An offset log over restarts: every 2500 events a run with a new checkpoint, whose batch ids start at 0 again.
+
+    The last batch of a run is read again by the next one (its offsets repeat).
+    """
+    ev = events(spark, base).select("event_id")
+    run, place = F.floor(F.col("event_id") / 2500), F.col("event_id") % 2500
+    rows = ev.select((F.col("event_id") % OFFSET_PARTITIONS).cast("int").alias("partition"), "event_id", F.inline(F.when(
+        place >= 2000, F.array(F.struct(run.alias("epoch"), F.lit(2).cast("bigint").alias("batch_id")),
+                               F.struct((run + 1).alias("epoch"), F.lit(0).cast("bigint").alias("batch_id")))).otherwise(
+        F.array(F.struct(run.alias("epoch"), F.floor(place / 1000).alias("batch_id"))))))
+    return (rows.groupBy("partition", "epoch", "batch_id").agg((F.max("event_id") + 1).alias("until_offset"))
+            .select(F.lit(START_TOPIC).alias("topic"), F.lit(CONSUMER_GROUP).alias("grp"),
+                    "partition", "epoch", "batch_id", "until_offset"))
+
+
+def archived_offsets(spark: SparkSession, base: str) -> DataFrame:
+    """Archived (partition, offset) of the events with holes and repeats: ids 97k + 13 and 500-519 lost, 211k twice."""
+    kept = events(spark, base).select("event_id").filter(
+        (F.col("event_id") % 97 != 13) & ~F.col("event_id").between(500, 519))
+    times = F.when(F.col("event_id") % 211 == 0, F.lit(2)).otherwise(F.lit(1))
+    return kept.select((F.col("event_id") % OFFSET_PARTITIONS).cast("int").alias("partition"),
+                       F.floor(F.col("event_id") / OFFSET_PARTITIONS).alias("offset"),
+                       F.explode(F.sequence(F.lit(1), times))).drop("col")
+
+
+def emitted_firsts(spark: SparkSession, base: str) -> DataFrame:
+    """What the dedup state emits per micro-batch of 1000 events: mid, dt, batch_id, hr, prev_hr.
+
+    A row for each device, day and batch; hr is the device's first hour up to
+    and with the batch, prev_hr the one before it (NULL in its first batch).
+    """
+    logs = start_logs(spark, base).select("mid", day_of_ms("ts").alias("dt"), "ts",
+                                          F.floor(F.col("event_id") / BATCH_SIZE).alias("batch_id"))
+    per_batch = logs.groupBy("mid", "dt", "batch_id").agg(F.min("ts").alias("ts"))
+    order = Window.partitionBy("mid", "dt").orderBy("batch_id")  # a row a batch
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return per_batch.select("mid", "dt", "batch_id", hour_of_ms(F.min("ts").over(so_far)).alias("hr"),
+                            hour_of_ms(F.min("ts").over(before)).alias("prev_hr"))
+
+
 def upsert_batches(spark: SparkSession, base: str) -> DataFrame:
     """Upsert input keyed by user_id: key, batch_id, event_id, event_type, value."""
     ev = events(spark, base)

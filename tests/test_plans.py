@@ -11,8 +11,9 @@ from tests.conftest import SF001
 # J2's two inputs are different tables in production (stored facts vs arrivals);
 # in the test mapping both come from ``events``.
 # The series table is a union of two metrics of different events, and the
-# search reply needs its shares and its page.
-TWO_INPUTS = {"dau_anti_backfill", "hour_series", "sale_detail_json"}
+# search reply needs its shares and its page.  Device numbers and postings are
+# stored tables of their own in production.
+TWO_INPUTS = {"dau_anti_backfill", "hour_series", "sale_detail_json", "active_windows", "active_by_shift", "keyword_matches"}
 
 SCAN = re.compile(r"FileScan parquet .*?Location: InMemoryFileIndex\(\d+ paths\)\[file:[^\]]*/(\w+)\.parquet")
 
