@@ -27,7 +27,13 @@ from daypulse.llm.common import Words, byte_texts, chunks, cut, mix
 from daypulse.llm.hashing import word_hashes
 
 #: Phrases of one trie at most: the bound of what is broadcast (and fetched to build it).
-SHARD = 1 << 20
+SHARD = 1 << 19
+#: Slots of a trie that are searched at a time; children from which a node is placed on its own.
+WINDOW, MANY = 4096, 64
+#: Languages whose counts are broadcast at most; beyond it the join shuffles.
+LANGUAGES = 100_000
+#: Parts of a language whose best phrases are found apart first.
+PARTS = 64
 #: Bytes of text that a task takes at a time.
 BLOCK = 4 << 20
 #: Language of texts without one.
@@ -49,7 +55,7 @@ class Trie:
         order = np.lexsort(symbols.T[::-1])
         ids, symbols = ids[order], symbols[order]
         size = 2 + len(self.words)
-        self.base, self.check = np.zeros(size, np.int64), np.full(size, -1, np.int64)
+        self.base, self.check, self.front = np.zeros(size, np.int32), np.full(size, -1, np.int32), 1
         self.check[0] = -2
         state = np.zeros(len(symbols), np.int64)
         for depth in range(symbols.shape[1]):
@@ -59,41 +65,85 @@ class Trie:
 
     def _grow(self, size: int) -> None:
         if size > len(self.base):
-            more = max(size, 2 * len(self.base)) - len(self.base)
-            self.base = np.concatenate((self.base, np.zeros(more, np.int64)))
-            self.check = np.concatenate((self.check, np.full(more, -1, np.int64)))
+            more = max(size, 9 * len(self.base) // 8) - len(self.base)
+            self.base = np.concatenate((self.base, np.zeros(more, np.int32)))
+            self.check = np.concatenate((self.check, np.full(more, -1, np.int32)))
 
     def _children(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Place the children of a level (sorted by parent's phrase, then symbol); the child of each row."""
+        """Place the children of a level (sorted by parent's phrase, then symbol); the child of each row.
+
+        Nodes with many children are placed one by one, the largest first;
+        those with a few all at once at random slots, again and again for
+        those that hit a taken one; single children fill the gaps.
+        """
         new = np.ones(len(state), bool)
         new[1:] = (np.diff(state) != 0) | (np.diff(symbol) != 0)
         parent, child = state[new], symbol[new]
         starts = np.flatnonzero(np.append(True, np.diff(parent) != 0))
-        bounds = np.append(starts, len(parent)).tolist()
-        free, placed = 1, np.empty(len(parent), np.int64)
-        for lo, hi in zip(bounds[:-1], bounds[1:]):
-            syms = child[lo:hi]
-            reach = int(syms[-1] - syms[0]) + 1
-            while self.check[free] != -1:
-                free += 1
-                if free + 1 >= len(self.check):
-                    self._grow(free + 2)
-            slot = free
-            while True:
-                self._grow(slot + reach + 1)
-                taken = self.check[slot + syms - syms[0]] != -1
-                if not taken.any():
-                    break
-                slot += 1
-                while slot < len(self.check) and self.check[slot] != -1:
-                    slot += 1
-            at = slot + syms - syms[0]
-            owner = parent[lo]
-            self.base[owner] = slot - syms[0]
-            self.check[at] = owner
-            placed[lo:hi] = at
+        sizes = np.diff(np.append(starts, len(parent)))
+        placed = np.empty(len(parent), np.int64)
+        for k in np.argsort(-sizes, kind="stable")[: int((sizes > MANY).sum())].tolist():
+            lo, hi = int(starts[k]), int(starts[k] + sizes[k])
+            placed[lo:hi] = self._first_fit(child[lo:hi] - child[lo]) + child[lo:hi] - child[lo]
+            self._claim(parent[lo:hi], child[lo:hi], placed[lo:hi])
+        self._grow(self.front + 4 * int(sizes[sizes <= MANY].sum()))
+        top = MANY
+        while top > 1:
+            some = np.flatnonzero((sizes <= top) & (sizes > top // 2))
+            self._scatter(parent, child, starts[some], sizes[some], placed)
+            top //= 2
+        one = starts[sizes == 1]
+        free = 1 + np.flatnonzero(self.check[1:] == -1)
+        if len(free) < len(one):
+            size = len(self.check)
+            self._grow(size + len(one))
+            free = np.concatenate((free, np.arange(size, len(self.check))))
+        placed[one] = free[: len(one)]
+        self._claim(parent[one], child[one], placed[one])
         return placed[np.cumsum(new) - 1]
 
+    def _claim(self, parent: np.ndarray, child: np.ndarray, slot: np.ndarray) -> None:
+        self.check[slot] = parent
+        self.base[parent] = slot - child
+
+    def _first_fit(self, offsets: np.ndarray) -> int:
+        """The first free slot at which all children fit, looked for a window at a time."""
+        window = self.front
+        while True:
+            self._grow(window + WINDOW + int(offsets[-1]) + 1)
+            free = window + np.flatnonzero(self.check[window : window + WINDOW] == -1)
+            if window == self.front and len(free) < WINDOW // 8:
+                self.front += WINDOW  # as good as full
+            for part in (free[:8], free[8:]):
+                for o in range(1, len(offsets), 64):
+                    if not len(part):
+                        break
+                    part = part[(self.check[part[:, None] + offsets[o : o + 64]] == -1).all(axis=1)]
+                if len(part):
+                    return int(part[0])
+            window += WINDOW
+
+    def _scatter(self, parent: np.ndarray, child: np.ndarray, starts: np.ndarray, sizes: np.ndarray, placed: np.ndarray) -> None:
+        """Place nodes with a few children each at random slots."""
+        rng = np.random.default_rng(len(starts))
+        reach = int((child[starts + sizes - 1] - child[starts]).max()) + 1 if len(starts) else 0
+        while len(starts):
+            self._grow(self.front + 2 * reach)
+            bounds = np.cumsum(sizes) - sizes
+            rows = np.arange(int(sizes.sum())) + np.repeat(starts - bounds, sizes)
+            slot = rng.integers(self.front, len(self.check) - reach, len(starts))
+            at = np.repeat(slot, sizes) + child[rows] - np.repeat(child[starts], sizes)
+            order = np.argsort(at, kind="stable")
+            taken = self.check[at] != -1
+            taken[order[1:]] |= at[order[1:]] == at[order[:-1]]
+            ok = ~np.logical_or.reduceat(taken, bounds)
+            good = np.repeat(ok, sizes)
+            placed[rows[good]] = at[good]
+            self._claim(parent[rows[good]], child[rows[good]], at[good])
+            if ok.mean() < 0.1:
+                self._grow(len(self.check) + 4 * int(sizes.sum()))
+            starts, sizes = starts[~ok], sizes[~ok]
+
     def states(self, words: np.ndarray, piece: np.ndarray, steps: int) -> np.ndarray:
         """What the phrase of ``steps`` words from each place on accepts (-1: nothing), never over the end of a piece."""
         found = np.full(len(words), -1, np.int64)
@@ -246,6 +296,7 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, best: int
     both = left.withColumn("part", rest).join(counts, "part").withColumnRenamed("part_f", "r").drop("part")
     names = words.where("word is not null").select("h", "lang", "word")
     totals = words.where("word is null").select("lang", F.col("f").alias("n"))
+    totals = F.broadcast(totals) if totals.count() <= LANGUAGES else totals
     placed = several.select("id", F.posexplode("words").alias("at", "h")).join(names, "h")
     spelled = placed.groupBy("id", "lang").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("w")).select(  # ``longest`` words
         "id", "lang", F.array_join(F.col("w.word"), " ").alias("phrase")
@@ -269,8 +320,12 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, best: int
         ).alias("words"), F.col("f").alias("a"),
     )
     kept = lowest.join(inside.distinct(), ["words", "a"], "left_anti")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     flat = kept.select("lang", "phrase", "a", F.col("low.l").alias("l"), F.col("low.r").alias("r"), "n", F.col("low.score").alias("score"))
-    return flat.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= best).select(
+    best_first = F.desc("score"), F.desc("a"), F.col("phrase")
+    apart = Window.partitionBy("lang", "part").orderBy(*best_first)
+    parts = flat.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    few = parts.withColumn("place", F.row_number().over(apart)).where(F.col("place") <= best)
+    whole = Window.partitionBy("lang").orderBy(*best_first)
+    return few.withColumn("rank", F.row_number().over(whole).cast("long")).where(F.col("rank") <= best).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )
