@@ -5,11 +5,12 @@ Answering it from raw history costs a scan of all history per call, which a
 dashboard refreshing every few seconds cannot afford.  The registry keeps the
 answer as data: one row per device, partitioned by its first day.
 
-Each day D (in order, after D's facts are final) the registry is extended with
-J2: D's distinct devices ``left_anti`` the registry's earlier partitions.  The
-result is written as partition ``first_dt=D`` with dynamic overwrite, and the
-earlier partitions alone are read (``first_dt < D``), so re-running day D is
-idempotent.  "New devices on D" is then a count of one partition.
+Each day D the registry is extended with J2: D's distinct devices ``left_anti``
+the registry's earlier partitions.  The result is written as partition
+``first_dt=D`` with dynamic overwrite, and the earlier partitions alone are
+read (``first_dt < D``), so re-running day D is idempotent.  Days need not come
+in order: a late one takes its devices out of the later partitions that hold
+them.  "New devices on D" is then a count of one partition.
 
 The daily anti join shuffles both sides on ``mid`` (a day's devices are not
 broadcastable at scale).  With billions of registered devices, store the
@@ -19,11 +20,14 @@ the registry side is read in place and only the day's devices move.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daypulse.sources.paths import partition_values
+from daypulse.session import ensure_checkpoint_dir
+from daypulse.sources.paths import partition_values, remove
 
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("mid", T.StringType()),
@@ -42,19 +46,44 @@ def read_registry(spark: SparkSession, registry_path: str) -> DataFrame:
 
 
 def update_device_registry(spark: SparkSession, day_devices: DataFrame, registry_path: str,
-                           day: str, key: str = "mid") -> None:
-    """Register the devices of ``day`` not seen on any earlier day.
+                           day: str, key: str = "mid") -> list[str]:
+    """Register the devices of ``day`` not seen on any earlier day; the later partitions rewritten for it.
 
     ``day_devices`` holds that day's activity (any columns, with ``key``); it is
     reduced to distinct keys before the anti join, and the registry side is
-    pruned to the partitions before ``day``.
+    pruned to the partitions before ``day``.  Days may come in any order and
+    again: a device that an earlier day now shows is taken out of its later
+    partition, and only partitions that lose a device are rewritten.  The day's
+    own partition is written first, so a run that stops in between leaves
+    devices in both places and is finished by running it again.
     """
-    known = read_registry(spark, registry_path).filter(F.col("first_dt") < day).select("mid")
-    new = (day_devices.select(F.col(key).cast("string").alias("mid")).distinct()
-           .join(known, "mid", "left_anti"))
-    (new.withColumn("first_dt", F.lit(day))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    known = read_registry(spark, registry_path)
+    new = (day_devices.select(F.col(key).cast("string").alias("mid")).filter(F.col("mid").isNotNull()).distinct()
+           .join(known.filter(F.col("first_dt") < day).select("mid"), "mid", "left_anti")
+           .withColumn("first_dt", F.lit(day)))
+    # the day's partition keeps what it had: a repeated day may bring only a part of its devices
+    own = new.unionByName(known.filter(F.col("first_dt") == day)).distinct()
+    _replace_partitions(own, registry_path)
+    fresh = read_registry(spark, registry_path)
+    here = fresh.filter(F.col("first_dt") == day).select("mid")
+    later = fresh.filter(F.col("first_dt") > day)
+    touched = sorted(r.first_dt for r in later.join(here, "mid", "left_semi").select("first_dt").distinct().collect())
+    if touched:  # calendar days
+        rest = later.filter(F.col("first_dt").isin(touched)).join(here, "mid", "left_anti")
+        rest = _replace_partitions(rest, registry_path)
+        left = {r.first_dt for r in rest.select("first_dt").distinct().collect()}
+        for gone in sorted(set(touched) - left):  # an empty partition is not overwritten
+            remove(spark, os.path.join(registry_path, f"first_dt={gone}"))
+    return touched
+
+
+def _replace_partitions(rows: DataFrame, registry_path: str) -> DataFrame:
+    """Overwrite the partitions that ``rows`` have; they are computed before anything is replaced."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    fixed = rows.select("mid", "first_dt").checkpoint()
+    (fixed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("first_dt").parquet(registry_path))
+    return fixed
 
 
 def new_devices_on(spark: SparkSession, registry_path: str, dates: list[str]) -> DataFrame:

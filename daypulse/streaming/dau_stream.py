@@ -21,9 +21,9 @@ batch id commit together in the query checkpoint (unlike the reference, which
 inserted into its device set before writing the sink and could lose records).
 
 Dedup flavours
-* ``first_arrival`` (T3): ``dropDuplicates([mid, day])`` under a watermark on
-  the day-truncated event time.  Emits each (device, day) once, append mode;
-  which row wins inside one micro-batch is arbitrary, so ``hr`` may vary.
+* ``first_arrival`` (T3): the smallest (micro-batch time, offset) per (device,
+  day), emitted once, in the micro-batch of the first arrival; a hot device is
+  one row a task before the state.
 * ``first_event`` (T4): ``groupBy(mid, day).agg(min(struct(ts, offset, ...)))``
   in update mode: a device is re-emitted when an *earlier* launch of the same
   day arrives, so the hour is that of the earliest event (equal to the batch
@@ -97,10 +97,20 @@ def late_policy(start: DataFrame, delay: str = STATE_DELAY) -> DataFrame:
     return with_event_day(start).withWatermark("day", delay)
 
 
-def dedup_first_arrival(start: DataFrame, delay: str = STATE_DELAY) -> DataFrame:
-    """First arrival per (mid, event day) -> fact columns; append mode."""
-    kept = late_policy(start, delay).dropDuplicates(["mid", "day"])
-    return _fact_columns(kept)
+def dedup_first_arrival(start: DataFrame, delay: str = STATE_DELAY,
+                        tiebreak: str = "offset") -> DataFrame:
+    """First arrival per (mid, event day) -> fact columns; update mode.
+
+    Arrival order is (micro-batch time, ``tiebreak``).  The smallest arrival is
+    an aggregate with a map-side partial step, so a device with a third of a
+    micro-batch reaches the state as one row a task; a device is emitted only
+    in the micro-batch of its first arrival, whose time the state keeps.
+    """
+    carry = [c for c in (tiebreak, "ts", "uid", "ar", "ch", "vc") if c in start.columns]
+    rows = late_policy(start, delay).withColumn("_now", F.current_timestamp())
+    first = F.min(F.struct("_now", *carry)).alias("_f")
+    new = rows.groupBy("mid", "day").agg(first).filter(F.col("_f._now") == F.current_timestamp())
+    return _fact_columns(new.select("mid", *[F.col(f"_f.{c}").alias(c) for c in carry]))
 
 
 def dedup_first_event(start: DataFrame, delay: str = STATE_DELAY,
@@ -352,10 +362,9 @@ def finalize_days(spark: SparkSession, table_path: str, registry_path: str,
                   days: list[str]) -> None:
     """Daily job: register the new devices of past days, compact their facts.
 
-    Days are processed in calendar order (the registry's "seen before" needs
-    the earlier days first); each step is idempotent, so a failed run is
-    simply re-run.  When late rows reach a day that was finalized, finalize
-    it and the days after it again.
+    Each step is idempotent, so a failed run is simply re-run.  When late rows
+    reach a day that was finalized, finalize that day again: the registry moves
+    its devices from the later days that hold them.
     """
     from daypulse.operators.registry import update_device_registry
 
@@ -439,8 +448,8 @@ def run_dau_stream(start_lines: DataFrame, table_path: str, checkpoint: str | No
     """T1 + T2: parse start lines, dedup per (device, event day), upsert facts.
 
     ``start_lines`` has ``value`` (JSON text), ``partition``, ``offset`` and
-    ``timestamp`` (the broker's).  ``mode`` is ``first_event`` (T4, update mode) or
-    ``first_arrival`` (T3, append mode).  With ``progress_path`` the job records
+    ``timestamp`` (the broker's).  ``mode`` is ``first_event`` (T4) or
+    ``first_arrival`` (T3).  With ``progress_path`` the job records
     its own until-offsets after its sinks, under ``topic`` and ``group`` (S3).
     Wrong clocks go to ``quarantine_path`` (default: beside the table).  With a
     new checkpoint on a filled table the run takes a new epoch: it adds to what
@@ -458,7 +467,7 @@ def run_dau_stream(start_lines: DataFrame, table_path: str, checkpoint: str | No
     if mode == "first_event":
         deduped, out_mode = dedup_first_event(in_time, delay, track=bool(gold_path)), "update"
     elif mode == "first_arrival":
-        deduped, out_mode = dedup_first_arrival(in_time, delay), "append"
+        deduped, out_mode = dedup_first_arrival(in_time, delay), "update"
         deduped = deduped.withColumn("prev_hr", F.lit(None).cast("string"))  # a row per device and day
     else:
         raise ValueError(f"unknown dedup mode {mode!r}")

@@ -61,3 +61,30 @@ def test_dau_total_approx_close(spark):
     approx = {r.dt: r.dau for r in metrics.dau_total(sl, approx=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= max(1, 0.1 * exact[k]) for k in exact)
+
+
+def test_days_in_any_order_give_the_full_computation(spark):
+    """Late and repeated days move devices to their earlier partition; only partitions that lose one are rewritten."""
+    import os
+    import random
+    rng = random.Random(3)
+    days = [f"2024-01-0{d}" for d in range(1, 8)]
+    seen = {d: {f"m{rng.randint(0, 40)}" for _ in range(15)} for d in days}
+    seen["2024-01-07"] |= {"last"}
+    path, order = tempfile.mkdtemp(prefix="daypulse-registry-"), days[:]
+    rng.shuffle(order)
+    done = set()
+    for d in [*order, order[0], "2024-01-01"]:
+        before = {f: os.path.getmtime(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("first_dt=")}
+        frame = spark.createDataFrame([(m,) for m in sorted(seen[d])] + [(None,)], "mid string")
+        touched = update_device_registry(spark, frame, path, d)
+        done.add(d)
+        first = {}
+        for x in sorted(done):
+            for m in seen[x]:
+                first.setdefault(m, x)
+        got = [(r.mid, r.first_dt) for r in read_registry(spark, path).collect()]
+        assert sorted(got) == sorted(first.items())
+        for f, at in before.items():  # the other partitions stay as they are
+            if f != f"first_dt={d}" and f.split("=")[1] not in touched:
+                assert os.path.getmtime(os.path.join(path, f)) == at
