@@ -13,9 +13,13 @@ which a ``row_number`` window would not.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daypulse.sources.paths import partition_values, remove
+
 
 def latest_by_key(df: DataFrame, key: list[str] | str, order: list[str],
                   batch_col: str = "batch_id") -> DataFrame:
@@ -64,6 +68,28 @@ def compact(spark: SparkSession, table_path: str, key: list[str] | str, order: l
     return write_batch(latest.drop("batch_id"), out_path, batch or 0, partition_by)
 
 
+def compact_in_place(spark: SparkSession, folder: str, key: list[str] | str, order: list[str]) -> None:
+    """Merge the ``batch_id=N`` folders of ``folder`` (a table, or one of its partitions) into one.
+
+    The current rows go into a new folder with a negative batch id below all
+    others, so rows of later batches still replace them; the folders that were
+    read go only after its rows are counted.  While both are there the read
+    view gives the same rows (the old ones, which are equal), so a run that
+    stops anywhere is simply repeated.  No other writer may touch the folder.
+    """
+    ids = sorted(int(v) for v in partition_values(spark, folder, "batch_id"))
+    if len(ids) < 2:
+        return
+    target = os.path.join(folder, f"batch_id={min(0, ids[0]) - 1}")
+    current = read_upsert_table(spark, folder, key, order).drop("batch_id")
+    current.write.mode("overwrite").parquet(target)
+    written, expected = spark.read.parquet(target).count(), current.count()
+    if written < expected:
+        raise RuntimeError(f"merge of {folder}: {written} rows written, {expected} expected")
+    for i in ids:
+        remove(spark, os.path.join(folder, f"batch_id={i}"))
+
+
 def latest_offsets(progress: DataFrame) -> DataFrame:
     """S3: per (topic, grp, partition) the until-offset of the newest batch.
 

@@ -151,3 +151,32 @@ def test_numbers_in_cards_are_whole_counts(spark):
         assert [c["id"] for c in parsed] == [metrics.CARD_DAU[0], metrics.CARD_NEW_MID[0], metrics.CARD_ORDER_AMOUNT[0]]
         assert isinstance(parsed[0]["value"], int) and isinstance(parsed[1]["value"], int)
         assert f'"value":{parsed[0]["value"]}}}' in r.json
+
+
+def test_upsert_table_is_merged_in_place(spark, monkeypatch):
+    import os
+
+    from daypulse.operators import upsert
+    path = tempfile.mkdtemp()
+    frame = lambda rows: spark.createDataFrame(rows, "key string, at long, v int")
+    for n, rows in enumerate([[("a", 1, 1), ("b", 1, 2)], [("a", 2, 3)], [("c", 1, 4), ("b", 0, 5)]]):
+        upsert.write_batch(frame(rows), path, n)
+    read = lambda: sorted((r.key, r.at, r.v) for r in upsert.read_upsert_table(spark, path, "key", ["at"]).collect())
+    want = [("a", 2, 3), ("b", 0, 5), ("c", 1, 4)]
+    assert read() == want
+    real = upsert.remove
+
+    def stop(*a):
+        raise OSError("stopped")
+
+    monkeypatch.setattr(upsert, "remove", stop)
+    with pytest.raises(OSError):
+        upsert.compact_in_place(spark, path, "key", ["at"])
+    assert read() == want
+    monkeypatch.setattr(upsert, "remove", real)
+    upsert.compact_in_place(spark, path, "key", ["at"])
+    assert read() == want and len(os.listdir(path)) == 1
+    upsert.write_batch(frame([("a", 0, 9)]), path, 3)  # a later batch replaces merged rows
+    assert read() == [("a", 0, 9), *want[1:]]
+    upsert.compact_in_place(spark, path, "key", ["at"])
+    assert read() == [("a", 0, 9), *want[1:]]
