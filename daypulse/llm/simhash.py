@@ -25,6 +25,8 @@ from daypulse.llm.common import byte_texts, cut
 from daypulse.llm.components import connected
 
 SEED = 42
+#: Rows that go whose ids are broadcast at most; more are joined by a shuffle.
+FEW = 2_000_000
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -50,14 +52,19 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; null text has no words and so fingerprint 0."""
+    """(doc_id, own, fp) of every row; null text has no words and so fingerprint 0, ``own`` is a hash of the text."""
 
     def run(batches):
         for b in batches:
             fps = [fingerprint(t, shingle) for t in byte_texts(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps, pa.int64())], ["doc_id", "own", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text, _own(text)).mapInArrow(run, "doc_id long, own long, fp long")
+
+
+def _own(text):
+    return F.xxhash64(text).alias("own")
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -93,6 +100,17 @@ def links(words: DataFrame, radius: int = 2) -> DataFrame:
     return balls.select("u", F.explode("vs").alias("v")).where("u <> v").distinct()
 
 
+def _groups(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root): the smallest fingerprint that each one reaches by links of at most ``max_bits`` bits."""
+    if not 0 <= max_bits <= 3:
+        raise ValueError("max_bits must be 0 to 3")
+    words = cut(fps.select("fp").distinct())
+    if not max_bits:
+        return words.select("fp", F.col("fp").alias("root"))
+    linked = connected(links(words, max_bits)).select(F.col("node").alias("fp"), "root")
+    return cut(words.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs``.
 
@@ -103,26 +121,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     groups without naming them (a group of only such rows has a null
     component_id).  Repeated rows come back repeated; no rows give no rows.
     """
-    if not 0 <= max_bits <= 3:
-        raise ValueError("max_bits must be 0 to 3")
     fps = cut(fingerprints(docs, shingle))
-    words = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    members = connected(links(words, max_bits)).select(F.col("node").alias("fp"), "root") if max_bits else None
-    if max_bits:
-        named = members.join(words, "fp")
-        best = named.groupBy("root").agg(F.min("least").alias("low"))
-        moved = named.join(best, "root").select("fp", "low", F.lit(True).alias("met"))
-        words = words.join(moved, "fp", "left").select("fp", F.expr("if(met, low, least)").alias("least"))
-    return fps.join(words, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("least").alias("component_id")
+    groups = _groups(fps, max_bits)
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    best = groups.join(least, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    # both sides of the last join come straight from an exchange, so Spark can split a hot fingerprint
+    names = cut(groups.join(best, "root").select("fp", "component_id"))
+    return fps.join(names, "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stand for their group: doc_id is its component_id.
+    """One row of ``docs`` of each group of near copies, with all its columns.
 
-    Rows with a null doc_id stay.  Of rows that repeat a doc_id all stay or go together.
+    Rows are judged one by one, by their own text: the row with the smallest
+    doc_id stays (null ids last; of rows with equal ids that of the smallest
+    hash of its text; of equal rows any one).  Groups are those of
+    :func:`near_duplicates`; no rows give no rows.  The rows that go are
+    counted first: up to ``FEW`` are broadcast, and no text is shuffled.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    fps = cut(fingerprints(docs, shingle))
+    groups = _groups(fps, max_bits)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "own")
+    # equal rows are one row here, and so is a hot fingerprint in each task
+    rows = fps.groupBy("fp", "doc_id", "own").agg(F.count("*").alias("times"))
+    firsts = groups.join(fps.groupBy("fp").agg(F.min(place).alias("first")), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    named = cut(groups.join(firsts, "root").select("fp", "first"))
+    stays = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))) & (F.col("own") == F.col("first.own"))
+    judged = cut(rows.join(named, "fp").where(~stays | (F.col("times") > 1)).select("doc_id", "own", stays.alias("stays")))
+    found = {r["stays"]: r["n"] for r in judged.groupBy("stays").agg(F.count("*").alias("n")).collect()}  # two rows
+    few = F.broadcast if sum(found.values()) <= FEW else (lambda df: df)
+    ids = judged.select(F.col("doc_id").alias("_doc_id"), F.col("own").alias("_own"), "stays")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (_own(F.col("text").cast("string")) == F.col("_own"))
+    out = docs.join(few(ids), same, "left_anti") if found else docs
+    if found.get(True):  # rows that are repeated as they are
+        again = docs.join(few(ids.where("stays")), same, "left_semi")
+        out = out.unionByName(again.dropDuplicates(["doc_id", "text"]))
+    return out

@@ -92,10 +92,22 @@ def test_simhash_odd_rows(spark):
     assert next(f for i, f, _ in by if i == 8) == f"{brute_fp(long):016x}"
     kept = simhash.keep_one(frame(spark, rows))
     assert kept.columns == ["doc_id", "text", "fp", "component_id", "u"]
-    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 1, 5, 8, 9]
+    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [1, 5, 8, 9]
     assert simhash.near_duplicates(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_keep_one_judges_each_row_by_its_own_text(spark, monkeypatch, few):
+    """Equal ids with different texts, null ids and rows that are repeated as they are."""
+    monkeypatch.setattr(simhash, "FEW", few)
+    a, b, c, d = (" ".join(words(40, 60 + k)) for k in range(4))
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, b), (None, a), (None, c), (None, c), (4, d), (4, d), (4, a)]
+    kept = simhash.keep_one(frame(spark, rows))
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("1", a), ("2", b), ("None", c), ("4", d)])
+    texts = {t for _, t in rows}
+    assert {r["text"] for r in kept.collect()} == texts
+
+
 def brute_kept(rows, k=20):
     """Kept words of each (id, text); rows that repeat an id and text are one place."""
     first, out = {}, {}
@@ -125,6 +137,17 @@ def passages():
     return rows
 
 
+def test_substring_of_different_texts_with_one_id(spark):
+    """Rows of one doc_id are documents of their own where their texts differ, in the order of their texts' hash."""
+    a, b = " ".join(words(40, 71)), " ".join(words(30, 72))
+    rows = [(1, a), (2, "x " + a + " y"), (2, b), (2, b), (2, "q r s t u v w x"), (3, b + " z"), (2, None), (2, "")]
+    got = substring.remove_repeats(frame(spark, rows)).collect()
+    seen = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in got)
+    assert seen == sorted([
+        (1, 40, 0, a), (2, 42, 40, "x y"), (2, 30, 0, b), (2, 30, 0, b), (2, 8, 0, "q r s t u v w x"), (3, 31, 30, "z"), (2, 0, 0, ""), (2, 0, 0, ""),
+    ])
+
+
 def test_substring_odd_rows(spark):
     check_substring(spark, passages())
     whole = substring.remove_repeats(frame(spark, [(None, "z " * 40), (1, "z " * 40)])).collect()
