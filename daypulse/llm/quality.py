@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from daypulse.llm.common import SPACE, Words, byte_texts, chunks, labelled_sample
 
 PASSAGE = 48
-#: Labelled documents of each class that the fit reads at most, and passages of one of them.
-PER_CLASS, PASSAGES = 2500, 32
+#: Labelled documents of each class that the fit reads at most.
+PER_CLASS = 2500
 
 #: Class of each byte: every ASCII sign its own, and lower, upper, digit, space, line end, other control, beyond ASCII.
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -126,22 +126,20 @@ def scores(texts: list[bytes], model: dict) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> dict:
     """The model from at most ``per_class`` labelled documents of each class (held-out ids left out).
 
-    Tasks turn texts into passage features; of one document at most
-    ``PASSAGES``, evenly spread, reach the driver.
+    Tasks turn texts into passage features; all passages of a chosen document
+    reach the driver, since any one may be what its label is for.  Null texts
+    count as empty and empty ones are a passage of zeros; labels other than 0
+    and 1, and those of null or unknown ids, take no part; rows that repeat an
+    id each count.  Without labels of both classes the score is their rate.
     """
 
     def run(batches):
         for b in batches:
-            bags = []
-            for t in byte_texts(b.column(0)):
-                x = passages([t])[0]
-                if len(x) > PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, PASSAGES).astype(int)]
-                bags.append(x.ravel())
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(bags, pa.list_(pa.float32()))], ["y", "x"])
-
-    sample = labelled_sample(docs, labels, label, per_class)
-    got = sample.orderBy("doc_id", "text").select("text", "y").mapInArrow(run, "y int, x array<float>").toArrow()
+            bags = [passages([t])[0].ravel() for t in byte_texts(b.column(0))]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(bags, pa.list_(pa.float32())), b.column(2), b.column(3)], ["y", "x", "doc_id", "own"])
+
+    sample = labelled_sample(docs, labels, label, per_class).select("text", "y", "doc_id", F.xxhash64("text").alias("own"))
+    got = sample.mapInArrow(run, "y int, x array<float>, doc_id long, own long").toArrow().sort_by([("doc_id", "ascending"), ("own", "ascending")])
     column = got.column("x").combine_chunks()
     bag = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()) // WIDTH)
     return fit(column.values.to_numpy().reshape(-1, WIDTH), bag, got.column("y").to_numpy())

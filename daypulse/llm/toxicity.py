@@ -2,9 +2,10 @@
 
 A sentence's logit adds up weights of its hashed words and word beginnings; a
 document's is the largest of its sentences.  The fit adds to the logistic loss
-the squared change of a sentence's logit when an identity term in it is
-swapped for another one (or one is put into a sentence that has none), so that
-the mention of a group alone moves no score.
+the squared change of a labelled sentence's score when an identity term in it
+is swapped for each other one of its row, sentence by sentence; and, so that
+no labelled text has to mention a group, the squared change of the logit when
+a term is put into a sentence.  The mention of a group alone then moves no score.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ NOTHING = 3 << BITS
 BEGINNINGS = (4, 6)
 #: Words in a sentence at most; a longer one is cut.
 LONGEST = 40
-#: Labelled documents of each class that the fit reads at most, and sentences of one of them.
-PER_CLASS, SENTENCES = 3000, 64
+#: Labelled documents of each class that the fit reads at most.
+PER_CLASS = 3000
 
 #: Standard errors of a feature's log odds that count as chance.
 ERRORS = 2.5
@@ -94,25 +95,23 @@ def _term_features() -> tuple[np.ndarray, list[tuple[int, ...]], dict[bytes, int
     return f, rows, {n.encode(): i for i, n in enumerate(names)}
 
 
-def swaps(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(features taken out, features put in) of each counterfactual of the labelled sentences.
+def swaps(flat: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sentence, term in it, term put in its place) of each counterfactual of the labelled sentences.
 
-    ``own`` holds the whole-word features found in labelled sentences: a term
-    among them is swapped for every other one of its row.  Every term is also
-    put into a sentence (out: none, given as -1).
+    ``flat`` holds the features of all sentences' words, which start at
+    ``offs``.  Every mention of a term gives one sentence for each other term
+    of its row; terms are numbers of rows of :func:`_term_features`.
     """
     f, rows, _ = _term_features()
-    present = set(np.unique(own).tolist())
-    out, into = [], []
-    for row in rows:
-        for a in row:
-            out.append(np.full(3, -1))
-            into.append(f[a])
-            for b in row:
-                if a != b and int(f[a, 0]) in present:
-                    out.append(f[a])
-                    into.append(f[b])
-    return np.array(out), np.array(into)
+    whole = flat[::3]
+    by_feature = np.argsort(f[:, 0], kind="stable")
+    at = np.minimum(np.searchsorted(f[by_feature, 0], whole), len(f) - 1)
+    place = np.flatnonzero(f[by_feature[at], 0] == whole)
+    sentence = np.searchsorted(offs // 3, place, "right") - 1
+    others = {t: [o for o in row if o != t] for row in rows for t in row}
+    found = [(s, t, o) for s, t in zip(sentence.tolist(), by_feature[at[place]].tolist()) for o in others[t]]
+    table = np.array(found, np.int64).reshape(-1, 3)
+    return table[:, 0], table[:, 1], table[:, 2]
 
 
 def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80, penalty: float = 1.0) -> tuple[np.ndarray, float]:
@@ -145,8 +144,9 @@ def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80
     weights = np.clip(known, -1, 4).astype(np.float32)
     weights[NOTHING] = 0
     told = weights != 0
-    out, into = swaps(flat)
-    weights[np.unique(into)] = 0  # identity terms start without weight
+    terms = _term_features()[0]
+    said, own, other = swaps(flat, offs)
+    weights[np.unique(terms)] = 0  # identity terms start without weight
     first = np.flatnonzero(np.diff(doc, prepend=-1))
     ids = doc[first]
     rate, square = 0.2, np.full(size, 1e-3)
@@ -163,11 +163,18 @@ def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80
         grad = np.zeros(size)
         for s, e in zip(best.tolist(), err.tolist()):
             np.add.at(grad, bags[s], e)
-        change = weights[into].sum(axis=1) - np.where(out[:, 0] >= 0, weights[out].sum(axis=1), 0)
-        push = 2 * penalty * change / len(change)
-        np.add.at(grad, into.ravel(), np.repeat(push, 3))
-        gone = out[:, 0] >= 0
-        np.add.at(grad, out[gone].ravel(), -np.repeat(push[gone], 3))
+        # a term put into a sentence: the logit changes by its weights
+        put = weights[terms].sum(axis=1)
+        np.add.at(grad, terms.ravel(), np.repeat(2 * penalty * put / len(put), 3))
+        if len(said):  # a term swapped in a labelled sentence: the score changes from p to q
+            swapped = logit[said] + put[other] - put[own]
+            p, q = (1 / (1 + np.exp(-np.clip(v, -30, 30))) for v in (logit[said], swapped))
+            step, dp, dq = 2 * penalty * (q - p) / len(said), p * (1 - p), q * (1 - q)
+            np.add.at(grad, terms[other].ravel(), np.repeat(step * dq, 3))
+            np.add.at(grad, terms[own].ravel(), -np.repeat(step * dq, 3))
+            whole = np.bincount(said, weights=step * (dq - dp), minlength=len(lens))
+            for s in np.flatnonzero(whole).tolist():
+                np.add.at(grad, bags[s], whole[s])
         grad = np.where(told, grad, 0) + 1e-5 * weights
         square += grad**2
         weights = (weights - rate * grad / np.sqrt(square)).astype(np.float32)
@@ -178,8 +185,11 @@ def fit(bags: list[np.ndarray], doc: np.ndarray, y: np.ndarray, rounds: int = 80
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
     """The model from at most ``per_class`` labelled documents of each class (held-out ids left out).
 
-    Tasks turn texts into features; of one document at most ``SENTENCES``
-    sentences, evenly spread, reach the driver: those are all that the fit reads.
+    Tasks turn texts into features; all sentences of a chosen document reach
+    the driver, whatever its label.  Null texts count as empty, and empty ones
+    have no sentence; labels other than 0 and 1, and those of null or unknown
+    ids, take no part; rows that repeat an id each count.  Without labels of
+    both classes the score is their rate.
     """
 
     def run(batches):
@@ -189,18 +199,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
             for t, y in zip(texts, b.column(1).to_pylist()):
                 f, first, _ = sentences([t])
                 parts = np.split(f.ravel(), first[1:] * 3) if len(first) else []
-                if len(parts) > SENTENCES and y == 0:
-                    parts = [parts[i] for i in np.linspace(0, len(parts) - 1, SENTENCES).astype(int)]
-                elif len(parts) > 8 * SENTENCES:
-                    parts = [parts[i] for i in np.linspace(0, len(parts) - 1, 8 * SENTENCES).astype(int)]
                 ys.append(y)
                 bags.append([p.tolist() for p in parts])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ys, pa.int32()), pa.array(bags, pa.list_(pa.list_(pa.int32())))], ["y", "bags"]
+                [pa.array(ys, pa.int32()), pa.array(bags, pa.list_(pa.list_(pa.int32()))), b.column(2), b.column(3)], ["y", "bags", "doc_id", "own"]
             )
 
-    sample = labelled_sample(docs, labels, label, per_class)
-    got = sample.orderBy("doc_id", "text").select("text", "y").mapInArrow(run, "y int, bags array<array<int>>").toArrow()
+    sample = labelled_sample(docs, labels, label, per_class).select("text", "y", "doc_id", F.xxhash64("text").alias("own"))
+    got = sample.mapInArrow(run, "y int, bags array<array<int>>, doc_id long, own long").toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("own", "ascending")])
     y = got.column("y").to_numpy()
     column = got.column("bags").combine_chunks()
     doc = np.repeat(np.arange(len(y)), np.diff(column.offsets.to_numpy()))

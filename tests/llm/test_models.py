@@ -66,6 +66,39 @@ def test_identity_terms_move_no_score():
     assert toxicity.scores([b"w4 scum w5."], *fits[1.0])[0] > 0.5
 
 
+def test_swaps_are_made_in_the_labelled_sentences():
+    """Every mention counts, in its own sentence: one counterfactual for each other term of its row."""
+    texts = [b"the muslim went. a christian and a muslim.", b"nothing here.", b"black cat"]
+    parts = [toxicity.sentences([t]) for t in texts]
+    bags = [p for f, first, _ in parts for p in np.split(f.ravel(), first[1:] * 3)]
+    lens = np.array([len(b) for b in bags])
+    said, own, other = toxicity.swaps(np.concatenate(bags), np.cumsum(lens) - lens)
+    names = [t for row in toxicity.IDENTITY_TERMS for t in row]
+    got = [(int(s), names[a], names[b]) for s, a, b in zip(said, own, other)]
+    faith, colour = toxicity.IDENTITY_TERMS[0], toxicity.IDENTITY_TERMS[2]
+    want = [(0, "muslim", o) for o in faith if o != "muslim"]
+    want += [(1, t, o) for t in ("christian", "muslim") for o in faith if o != t]
+    want += [(3, "black", o) for o in colour if o != "black"]
+    assert sorted(got) == sorted(want)
+    assert toxicity.swaps(np.concatenate(toxicity.sentences([b"no term at all"])[:1]).ravel(), np.zeros(1, int))[0].size == 0
+
+
+def test_fit_reads_every_sentence_and_passage(spark):
+    """A sign of the label that stands once, far down in long texts, is learnt."""
+    rng = np.random.default_rng(7)
+    plain = [f"w{i}" for i in range(200)]
+    def long(word, n):
+        lines = [" ".join(rng.choice(plain, 8)) for _ in range(n)]
+        lines[int(rng.integers(n // 2, n))] += word
+        return ". ".join(lines)
+    rows = [(i, long(" scum vile filth" if i % 3 == 0 else "", 150), int(i % 3 == 0)) for i in range(150)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    assert sum(got[i] == y for i, _, y in rows) >= 0.95 * len(rows)
+
+
 def test_tagger_gradient():
     rng = np.random.default_rng(2)
     model = tagger.new_model(hidden=3, embed=2)
@@ -160,7 +193,7 @@ def test_pipeline_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
     odd_rows = spark.createDataFrame([(1, None, None, None, None), (None, "", "en", "s", 0), (2, "a" * 90_000, None, "s", 1)], docs.schema)
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, odd_rows, sf).count() == 3
+    for name, stage in corpus_pipeline.STAGES[:-1]:  # the null and the empty text are near copies
+        assert stage(spark, odd_rows, sf).count() == (2 if name == "simhash_near_dedup" else 3)
     ends = corpus_pipeline.STAGES[-1][1](spark, odd_rows, sf).where("piece = 0")
     assert {r["doc_id"] for r in ends.collect()} == {1, None, 2}
