@@ -10,13 +10,14 @@ Candidates agree in a whole band of :data:`BAND` registers (a pair at the
 threshold of 0.8 is missed with probability 2e-9).  The share of equal
 registers, less the collisions that two different minima of such sets cause,
 estimates the similarity; pairs :data:`MARGIN` or more below the threshold
-(1e-10 of those at it) go.  The others are checked on the full sets.
+(2e-7 of those at it) go, and those whose sizes rule it out.  The others are
+checked on the full sets.
 
 Documents with equal sets are one node, and within a bucket no pairs are
-formed: all are compared with one of them.  Only where a bucket still holds
-several components afterwards (a few rounds, each with other leaders), those
-outside its largest component are compared, in blocks of bounded size, with
-the bucket's members of other components.
+formed: all are compared with one of them.  Buckets that still hold several
+components afterwards are taken together by their largest component.  There the nodes outside it are compared with those of
+other components in blocks of bounded size, estimates first, then full sets;
+only links leave a block, one for a node and component at most.
 """
 
 from __future__ import annotations
@@ -34,11 +35,9 @@ from daypulse.llm.hashing import word_hashes
 #: Buckets of a sketch (the first 8 bits of a hash), registers of a band, bits of a register's mantissa.
 REGISTERS, BAND, MANTISSA = 256, 5, 10
 #: How far below the threshold an estimate rules a pair out.
-MARGIN = 0.25
-#: Rounds of comparing with a leader before the rest is compared in blocks.
-ROUNDS = 3
+MARGIN = 0.15
 #: Rows of a block on each side.
-OUTSIDE, INSIDE = 256, 2048
+OUTSIDE, INSIDE = 64, 1024
 #: Nodes whose ids are broadcast to fetch their texts; beyond it the join shuffles.
 FETCH = 1_000_000
 
@@ -156,7 +155,12 @@ def _bands(batches):
         yield pa.RecordBatch.from_arrays([pa.array(h.reshape(-1).view(np.int64)), pa.array(node)], ["bucket", "node"])
 
 
-def _likely(floor: float):
+def _may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` shingles with these registers may reach ``percent``."""
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (estimate(x, y, n, m) > percent / 100 - MARGIN)
+
+
+def _likely(percent: int):
     def run(batches):
         for b in batches:
             a, c, n, m = (b.column(k).to_numpy() for k in (0, 1, 2, 3))
@@ -164,63 +168,67 @@ def _likely(floor: float):
             for lo in range(0, len(a), 4096):
                 s = slice(lo, lo + 4096)
                 x, y = (_registers(b.column(k).slice(lo, 4096)) for k in (4, 5))
-                keep[s] = estimate(x, y, n[s], m[s]) > floor
+                keep[s] = _may_link(x, y, n[s], m[s], percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(c[keep])], ["a", "b"])
 
     return run
 
 
-def _block(floor: float):
-    """Likely pairs of a block's outsiders with its members of other components."""
+def _block(percent: int):
+    """Links of a block's outsiders with its members of other components: one for an outsider and component at most."""
 
     def run(block: pa.Table) -> pa.Table:
         node, comp, n = (block.column(c).to_numpy() for c in ("node", "comp", "n"))
         regs = _registers(block.column("regs"))
+        lists = block.column("shingles").combine_chunks()
+        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+        flat, ends = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(n)))
         outside = block.column("outside").to_numpy(zero_copy_only=False)
         inside = np.flatnonzero(~outside)
         pairs = [np.zeros((0, 2), np.int64)]
         for i in np.flatnonzero(outside).tolist():
             other = inside[comp[inside] != comp[i]]
-            if len(other):
-                near = other[estimate(regs[other], regs[i][None, :], n[other], np.full(len(other), n[i])) > floor]
-                pairs.append(np.column_stack((np.minimum(node[near], node[i]), np.maximum(node[near], node[i]))))
-        found = np.unique(np.concatenate(pairs), axis=0)
-        return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
+            other = other[_may_link(regs[other], regs[i][None, :], n[other], np.full(len(other), n[i]), percent)]
+            if not len(other):
+                continue
+            own = np.sort(flat[ends[i] : ends[i + 1]])
+            theirs = np.concatenate([flat[ends[k] : ends[k + 1]] for k in other.tolist()])
+            at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+            common = np.add.reduceat((own[at] == theirs).astype(np.int64), np.cumsum(n[other]) - n[other])
+            near = other[100 * common >= percent * (n[other] + n[i] - common)]
+            near = near[np.unique(comp[near], return_index=True)[1]]
+            pairs.append(np.column_stack((np.full(len(near), node[i]), node[near])))
+        found = np.concatenate(pairs)
+        return pa.table({"u": pa.array(found[:, 0]), "v": pa.array(found[:, 1])})
 
     return run
 
 
 class _Search:
-    """The links between the nodes of one call."""
+    """Fetches and tests what one call has to compare."""
 
     def __init__(self, texts: DataFrame, sets: DataFrame, size: int, percent: int):
         self.texts, self.sets, self.size, self.percent = texts, sets, size, percent
-        self.floor = percent / 100 - MARGIN
-        self.tested: DataFrame | None = None
         self.links: DataFrame | None = None
 
-    def verify(self, pairs: DataFrame, estimated: bool = False) -> None:
-        """Test the pairs (a < b) that were not tested before; keep the links among them."""
-        new = pairs.distinct()
-        if self.tested is not None:
-            new = new.join(self.tested, ["a", "b"], "left_anti")
-        if not estimated:
-            side = {c: self.sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("regs").alias(f"r{c}")) for c in "ab"}
-            rows = cut(new).join(side["b"], "b").join(side["a"], "a").select("a", "b", "na", "nb", "ra", "rb")
-            new = rows.mapInArrow(_likely(self.floor), "a long, b long")
-        new = cut(new)
-        full = self._full(new)
+    def verify(self, pairs: DataFrame) -> None:
+        """Keep the links among ``pairs`` (a < b): likely ones by estimate, then by their full sets."""
+        side = {c: self.sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("regs").alias(f"r{c}")) for c in "ab"}
+        rows = cut(pairs.distinct()).join(side["b"], "b").join(side["a"], "a").select("a", "b", "na", "nb", "ra", "rb")
+        new = cut(rows.mapInArrow(_likely(self.percent), "a long, b long"))
+        ends = new.select(F.col("a").alias("node")).unionByName(new.select(F.col("b").alias("node")))
+        full = self.full(ends.distinct())
         side = {c: full.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab"}
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - common
         linked = new.join(side["b"], "b").join(side["a"], "a").where(common.cast("long") * 100 >= union.cast("long") * self.percent)
-        links = cut(linked.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        self.tested = new if self.tested is None else cut(self.tested.unionByName(new))
-        self.links = links if self.links is None else cut(self.links.unionByName(links))
+        self.add(linked.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
-    def _full(self, pairs: DataFrame) -> DataFrame:
-        """node, shingles of the pairs' nodes, from the texts of their first documents."""
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    def add(self, links: DataFrame) -> None:
+        self.links = cut(links if self.links is None else self.links.unionByName(links))
+
+    def full(self, nodes: DataFrame) -> DataFrame:
+        """node, shingles of ``nodes``, from the texts of their first documents."""
         asked = cut(nodes.join(self.sets, "node").select("node", "key", "least"))
         count = asked.count()
         few = (lambda df: F.broadcast(df)) if count <= FETCH else (lambda df: df)
@@ -246,33 +254,28 @@ def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFra
     search.verify(_pairs(met, "lead", "node"))
     crowd = met.where("size > 2").select("bucket", "node")  # a bucket of two is settled
     comps = search.components()
-    for turn in range(1, ROUNDS + 1):
-        named = crowd.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-        lead = F.min(F.struct(F.xxhash64("node", "bucket", F.lit(turn)).alias("h"), "node", "comp")).alias("lead")
-        mixed = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), lead).where("low < high")
-        crowd = cut(named.join(mixed.select("bucket", "lead"), "bucket"))
-        if crowd.isEmpty():
-            return comps
-        if turn < ROUNDS:
-            search.verify(_pairs(crowd.where("comp <> lead.comp").select("node", F.col("lead.node").alias("lead")), "lead", "node"))
-            comps = search.components()
-        crowd = crowd.select("bucket", "node") if turn < ROUNDS else crowd.select("bucket", "node", "comp")
-    # the rest: all outside a bucket's largest component against its members of other components, in blocks
+    named = crowd.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    mixed = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+    # both sides come straight from an exchange, so Spark can split a hot bucket
+    crowd = cut(named.join(cut(mixed.select("bucket")), "bucket"))
+    if crowd.isEmpty():
+        return comps
+    # the rest, by the largest component of the bucket: two nodes that share a bucket share its main one
     heads = crowd.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
-    shape = heads.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
-    shape = shape.select(
-        "bucket", "main", F.ceil((F.col("all") - F.col("most")) / OUTSIDE).alias("outs"), F.ceil(F.col("all") / INSIDE).alias("ins")
+    mains = cut(heads.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("main")))
+    members = cut(crowd.join(mains, "bucket").select("main", "node", "comp").distinct())
+    shape = members.groupBy("main").agg(
+        F.ceil(F.count("*") / INSIDE).alias("ins"), F.ceil(F.count_if(F.col("comp") != F.col("main")) / OUTSIDE).alias("outs")
     )
-    rows = crowd.join(shape, "bucket").join(sets.select("node", "n", "regs"), "node")
+    full = search.full(members.select("node").distinct())
+    rows = cut(members.join(cut(shape.where("outs > 0")), "main").join(full, "node").join(sets.select("node", "n", "regs"), "node"))
     h = F.xxhash64("node")
     every = F.explode(F.sequence(F.lit(0), F.col("outs") - 1))
-    inside = rows.select("bucket", F.pmod(h, "ins").alias("i"), every.alias("j"), F.lit(False).alias("outside"), "node", "comp", "n", "regs")
+    columns = ("node", "comp", "n", "regs", "shingles")
+    inside = rows.select("main", F.pmod(h, "ins").alias("i"), every.alias("j"), F.lit(False).alias("outside"), *columns)
     every = F.explode(F.sequence(F.lit(0), F.col("ins") - 1))
-    outside = rows.where("comp <> main").select(
-        "bucket", every.alias("i"), F.pmod(h, "outs").alias("j"), F.lit(True).alias("outside"), "node", "comp", "n", "regs"
-    )
-    blocks = inside.select("*").unionByName(outside.select("*"))
-    search.verify(blocks.groupBy("bucket", "i", "j").applyInArrow(_block(search.floor), "a long, b long"), estimated=True)
+    outside = rows.where("comp <> main").select("main", every.alias("i"), F.pmod(h, "outs").alias("j"), F.lit(True).alias("outside"), *columns)
+    search.add(inside.unionByName(outside).groupBy("main", "i", "j").applyInArrow(_block(percent), "u long, v long"))
     return search.components()
 
 

@@ -91,7 +91,6 @@ def test_minhash_small_sets(spark):
 
 
 def test_minhash_compares_the_rest_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(hyperminhash, "ROUNDS", 1)
     monkeypatch.setattr(hyperminhash, "OUTSIDE", 3)
     monkeypatch.setattr(hyperminhash, "INSIDE", 4)
     monkeypatch.setattr(hyperminhash, "FETCH", 2)
