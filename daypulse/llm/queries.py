@@ -217,4 +217,63 @@ ORACLE: dict[str, str] = {
         )
         SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
     """,
+    "op13_periodic_runs": """
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+                   xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+                           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))),
+                       4294967295) AS h
+            FROM documents
+        ), s AS (
+            SELECT doc_id, w, len(w)::BIGINT AS n, h, h // 10 AS g FROM d
+        ), p AS (
+            SELECT doc_id, w, n, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a, g FROM s
+        ), t AS (
+            SELECT doc_id, CASE WHEN a IS NULL THEN w
+                ELSE list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w
+            FROM p
+        ), e AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM t
+        ), m AS (
+            SELECT x.doc_id, y.i - x.i AS q, x.i FROM e x JOIN e y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i
+        ), b AS (
+            SELECT doc_id, q, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island, i FROM m
+        ), f AS (
+            SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM b GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(12, 2 * q)
+        ), r AS (
+            SELECT doc_id, start, length, min(q) AS period FROM f GROUP BY doc_id, start, length
+        ), top AS (
+            SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+        ), every AS (
+            SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+            FROM r GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS line FROM e
+            WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = e.doc_id AND e.i >= r.start + r.period AND e.i < r.start + r.length)
+            GROUP BY doc_id
+        )
+        SELECT t.doc_id, coalesce(every.n_runs, 0)::BIGINT AS n_runs, top.start::BIGINT AS start, top.length::BIGINT AS length, top.period::BIGINT AS period,
+               (1000 * top.length // top.period)::BIGINT AS exponent_milli, sha256(coalesce(every.lines, '')) AS runs_sha256,
+               sha256(coalesce(kept.line, '')) AS collapsed_sha256
+        FROM t LEFT JOIN every USING (doc_id) LEFT JOIN top USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+    "op6_substring_dedup": """
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), e AS (
+            SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d
+        ), windows AS (
+            SELECT doc_id, i, list_aggregate(list_slice(w, i + 1, i + 20), 'string_agg', ' ') AS x
+            FROM (SELECT doc_id, w, unnest(range(0, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)
+        ), again AS (
+            SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, i) > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM again
+        ), kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS line
+            FROM e ANTI JOIN gone ON gone.doc_id = e.doc_id AND gone.i = e.i GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.line, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
 }
