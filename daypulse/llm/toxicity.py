@@ -195,15 +195,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     def run(batches):
         for b in batches:
             texts = byte_texts(b.column(0))
-            ys, bags = [], []
-            for t, y in zip(texts, b.column(1).to_pylist()):
-                f, first, _ = sentences([t])
-                parts = np.split(f.ravel(), first[1:] * 3) if len(first) else []
-                ys.append(y)
-                bags.append([p.tolist() for p in parts])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ys, pa.int32()), pa.array(bags, pa.list_(pa.list_(pa.int32()))), b.column(2), b.column(3)], ["y", "bags", "doc_id", "own"]
-            )
+            for lo, hi in chunks(texts):
+                flat, ends, bags = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], [0]
+                at = 0
+                for t in texts[lo:hi]:  # features stay in arrays: as lists they take ten times the memory
+                    f, first, _ = sentences([t])
+                    flat.append(f.ravel())
+                    ends.append(at + np.append(first[1:], len(f))[: len(first)] * 3)
+                    at += f.size
+                    bags.append(bags[-1] + len(first))
+                inner = pa.ListArray.from_arrays(np.concatenate(ends).astype(np.int32), pa.array(np.concatenate(flat), pa.int32()))
+                outer = pa.ListArray.from_arrays(np.array(bags, np.int32), inner)
+                rest = [b.column(k).slice(lo, hi - lo) for k in (1, 2, 3)]
+                yield pa.RecordBatch.from_arrays([rest[0], outer, *rest[1:]], ["y", "bags", "doc_id", "own"])
 
     sample = labelled_sample(docs, labels, label, per_class).select("text", "y", "doc_id", F.xxhash64("text").alias("own"))
     got = sample.mapInArrow(run, "y int, bags array<array<int>>, doc_id long, own long").toArrow()
