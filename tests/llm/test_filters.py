@@ -182,6 +182,26 @@ def test_chat_round_trip(spark):
     assert [r["n_turns"] for r in chat.digest(chat.pieces(nulls)).collect()] == [2] and chat.materialise(nulls).count() == 1
 
 
+def test_chat_expands_every_reply_with_its_prefix(spark, monkeypatch):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "a"), (1, 2, "assistant", "</s>b"), (1, 3, "user", "c"), (1, 4, "assistant", ""), (1, 5, "user", "e"),
+            (1, 6, "user", "f"), (2, 0, "user", "no reply"), (None, 0, "assistant", "first"), (None, 0, "user", "then")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    piece = lambda role, text: f"<|{role}|>\n{text.replace('<', '&lt;')}</s>\n"
+    all_of = [piece(role, text) for c, _, role, text in rows if c == 1]
+    want = {(1, 3, 1, "".join(all_of[:3])), (1, 5, 2, "".join(all_of[:5])), (1, 6, None, all_of[5]), (1, 7, None, all_of[6]),
+            (2, 1, None, piece("user", "no reply")), (None, 1, 1, piece("assistant", "first")), (None, 2, None, piece("user", "then"))}
+    got = chat.expand(chat.pieces(df))
+    assert {(r["conv_id"], r["n"], r["example"], r["text"]) for r in got.collect()} == want and got.count() == len(want)
+    digest = chat.digest(chat.pieces(df)).collect()
+    assert {r["conv_id"]: (r["n_turns"], r["formatted_chars"], r["loss_chars"]) for r in digest} == {
+        1: (7, len("".join(all_of[:3] + all_of[:5])), 5), 2: (1, 0, 0), None: (2, len(piece("assistant", "first")), 5)}
+    # the digest reads the examples: what they lose, it loses
+    whole = chat.expand
+    monkeypatch.setattr(chat, "expand", lambda x: whole(x).where("example is null or example > 1"))
+    cut = {r["conv_id"]: r["formatted_chars"] for r in chat.digest(chat.pieces(df)).collect()}
+    assert cut[1] == len("".join(all_of[:5])) and cut[None] == 0
+
+
 def test_chat_is_native(spark):
     df = spark.read.parquet(f"{SF}/conversations.parquet")
     plan = chat.digest(chat.pieces(df))._jdf.queryExecution().toString()
