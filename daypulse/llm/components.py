@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daypulse.llm.common import cut
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """(node, root) for every node of ``links`` (u, v): root is the smallest node reachable.
 
     Each round hangs every larger neighbour on a node's smallest neighbour
     (large star), then every smaller neighbour and the node itself (small
     star).  The links end as stars after few rounds, whatever the diameter;
     no group is gathered, only minima are, and each round is cut from its
-    lineage in the shared checkpoint folder.  An empty table gives no rows.
+    lineage in the shared checkpoint folder by ``keep``.  An empty table gives
+    no rows.
     """
-    star = cut(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    star = keep(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = _mark(star)
     while mark[0]:
         both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,7 +31,7 @@ def connected(links: DataFrame) -> DataFrame:
             large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         )
-        star = cut(small)
+        star = keep(small)
         last, mark = mark, _mark(star)
         if mark == last:
             break

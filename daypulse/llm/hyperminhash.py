@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daypulse.llm.common import SPACE, Words, byte_texts, chunks, cut, mix
+from daypulse.llm.common import SPACE, Words, byte_texts, chunks, compact, cut, mix
 from daypulse.llm.components import connected
 from daypulse.llm.hashing import word_hashes
 
@@ -38,6 +38,8 @@ REGISTERS, BAND, MANTISSA = 256, 5, 10
 MARGIN = 0.15
 #: Rows of a block on each side.
 OUTSIDE, INSIDE = 64, 1024
+#: Rows with registers or sets in a partition of a kept table.
+WIDE = 2_000
 #: Nodes whose ids are broadcast to fetch their texts; beyond it the join shuffles.
 FETCH = 1_000_000
 
@@ -214,8 +216,8 @@ class _Search:
     def verify(self, pairs: DataFrame) -> None:
         """Keep the links among ``pairs`` (a < b): likely ones by estimate, then by their full sets."""
         side = {c: self.sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("regs").alias(f"r{c}")) for c in "ab"}
-        rows = cut(pairs.distinct()).join(side["b"], "b").join(side["a"], "a").select("a", "b", "na", "nb", "ra", "rb")
-        new = cut(rows.mapInArrow(_likely(self.percent), "a long, b long"))
+        rows = compact(pairs.distinct()).join(side["b"], "b").join(side["a"], "a").select("a", "b", "na", "nb", "ra", "rb")
+        new = compact(rows.mapInArrow(_likely(self.percent), "a long, b long"))
         ends = new.select(F.col("a").alias("node")).unionByName(new.select(F.col("b").alias("node")))
         full = self.full(ends.distinct())
         side = {c: full.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab"}
@@ -225,20 +227,21 @@ class _Search:
         self.add(linked.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
     def add(self, links: DataFrame) -> None:
-        self.links = cut(links if self.links is None else self.links.unionByName(links))
+        self.links = compact(links if self.links is None else self.links.unionByName(links))
 
     def full(self, nodes: DataFrame) -> DataFrame:
         """node, shingles of ``nodes``, from the texts of their first documents."""
-        asked = cut(nodes.join(self.sets, "node").select("node", "key", "least"))
+        asked = compact(nodes.join(self.sets, "node").select("node", "key", "least"))
         count = asked.count()
         few = (lambda df: F.broadcast(df)) if count <= FETCH else (lambda df: df)
         ids = few(asked.select(F.col("least").alias("_least")).distinct())
         rows = self.texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_least")), "left_semi").select("text")
         sets = rows.mapInArrow(_sets(self.size), "key binary, shingles array<long>")
-        return cut(sets.join(few(asked.select("node", "key")), "key").select("node", "shingles").dropDuplicates(["node"]))
+        full = sets.join(few(asked.select("node", "key")), "key").select("node", "shingles").dropDuplicates(["node"])
+        return compact(full, WIDE)
 
     def components(self) -> DataFrame:
-        return cut(connected(self.links).select("node", F.col("root").alias("comp")))
+        return compact(connected(self.links, compact).select("node", F.col("root").alias("comp")))
 
 
 def _pairs(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -250,25 +253,26 @@ def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFra
     search = _Search(texts, sets, size, percent)
     probes = cut(sets.select("node", "regs").mapInArrow(_bands, "bucket long, node long"))
     leads = probes.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("size")).where("size > 1")
-    met = cut(probes.join(leads, "bucket"))
+    met = compact(probes.join(leads, "bucket"))
     search.verify(_pairs(met, "lead", "node"))
     crowd = met.where("size > 2").select("bucket", "node")  # a bucket of two is settled
     comps = search.components()
-    named = crowd.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    named = compact(crowd.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp")))
     mixed = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
     # both sides come straight from an exchange, so Spark can split a hot bucket
-    crowd = cut(named.join(cut(mixed.select("bucket")), "bucket"))
+    crowd = compact(named.join(compact(mixed.select("bucket")), "bucket"))
     if crowd.isEmpty():
         return comps
     # the rest, by the largest component of the bucket: two nodes that share a bucket share its main one
     heads = crowd.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
-    mains = cut(heads.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("main")))
-    members = cut(crowd.join(mains, "bucket").select("main", "node", "comp").distinct())
+    mains = compact(heads.groupBy("bucket").agg(F.max_by("comp", F.struct("c", "comp")).alias("main")))
+    members = compact(crowd.join(mains, "bucket").select("main", "node", "comp").distinct())
     shape = members.groupBy("main").agg(
         F.ceil(F.count("*") / INSIDE).alias("ins"), F.ceil(F.count_if(F.col("comp") != F.col("main")) / OUTSIDE).alias("outs")
     )
     full = search.full(members.select("node").distinct())
-    rows = cut(members.join(cut(shape.where("outs > 0")), "main").join(full, "node").join(sets.select("node", "n", "regs"), "node"))
+    rows = members.join(compact(shape.where("outs > 0")), "main").join(full, "node").join(sets.select("node", "n", "regs"), "node")
+    rows = compact(rows, WIDE)
     h = F.xxhash64("node")
     every = F.explode(F.sequence(F.lit(0), F.col("outs") - 1))
     columns = ("node", "comp", "n", "regs", "shingles")
@@ -295,12 +299,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80) -> Dat
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = cut(own.mapInArrow(_sketch(shingle), "doc_id long, n long, key binary, regs binary"))
     sets = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("regs").alias("regs"))
-    sets = cut(sets.select(F.monotonically_increasing_id().alias("node"), "key", "least", "n", "regs"))
+    sets = compact(sets.select(F.monotonically_increasing_id().alias("node"), "key", "least", "n", "regs"), WIDE)
     comps = links(own, sets, shingle, percent)
     named = comps.join(sets.select("node", "key", "least"), "node")
     best = named.groupBy("comp").agg(F.min("least").alias("best"))
-    moved = cut(named.join(best, "comp").select("key", "best", F.lit(True).alias("met")))
-    names = cut(
+    moved = compact(named.join(best, "comp").select("key", "best", F.lit(True).alias("met")))
+    names = compact(
         sets.select("key", "least").join(moved, "key", "left").select("key", F.expr("if(met, best, least)").alias("component_id"))
     )
     linked = rows.where("n > 0").select("doc_id", "n", "key").join(names, "key").select("doc_id", "n", "component_id")

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from daypulse.llm import hyperminhash, phrases, queries, runs
+from daypulse.llm import common, hyperminhash, phrases, queries, runs
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -98,6 +98,28 @@ def test_minhash_compares_the_rest_in_blocks(spark, monkeypatch):
     same_groups(spark, list(enumerate(rows, 1)))
 
 
+def test_minhash_small_tables_take_few_partitions(spark, monkeypatch):
+    own = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in own}
+    kept, found = [], hyperminhash.links
+    monkeypatch.setattr(hyperminhash, "links", lambda *a: kept.append(found(*a)) or kept[0])
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        same_groups(spark, list(enumerate([t for k in range(3) for t in family(60 + k, 12, 7)], 1)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert kept[0].rdd.getNumPartitions() == 1  # of 80, each a task and files of every later step
+
+
+def test_compact_keeps_rows_and_bounds_partitions(spark):
+    wide = spark.range(1000, numPartitions=50).unionByName(spark.range(0))
+    assert sorted(r["id"] for r in common.compact(wide).collect()) == list(range(1000))
+    parts = [common.compact(df, 100).rdd.getNumPartitions() for df in (wide, wide.where("id < 250"), wide.limit(0))]
+    assert parts == [10, 3, 1]
+
+
 def test_estimates_are_near_the_similarity():
     rng = np.random.default_rng(2)
     for common, extra in ((400, 50), (60, 7), (3000, 3000), (0, 500)):
